@@ -55,10 +55,10 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_decontamination": r"""
-WITH iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM benchmark),
-dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents),
-isx AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(list_slice(w, i, i + 4), ' '))) AS s FROM iw WHERE len(w) >= 5),
-dsx AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(list_slice(w, i, i + 4), ' '))) AS s FROM dw WHERE len(w) >= 5),
+WITH iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+isx AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS s FROM iw WHERE len(w) >= 5),
+dsx AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS s FROM dw WHERE len(w) >= 5),
 n AS (SELECT item_id, count(*) AS n_item_shingles FROM isx GROUP BY item_id),
 m AS (SELECT doc_id, item_id, count(*) AS n_matched FROM isx JOIN dsx USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n_item_shingles, n_matched, n_matched / n_item_shingles AS containment
