@@ -25,6 +25,8 @@ beyond that both sides are shuffled on the hash. Candidate keys likewise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,21 +40,27 @@ CLASS_STEP = 4
 BROADCAST_ROWS = 500_000
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once a row, whatever the optimizer does to the projection: a bound variable, not a column that could be substituted inside a lambda."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), 0)
+
+
 def words(text: Column) -> Column:
     """Lower-cased runs of letters and digits, in order."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def shingle_starts(n: Column) -> Column:
-    return F.when(n >= SHINGLE_WORDS, F.sequence(F.lit(0), n - SHINGLE_WORDS)).otherwise(F.array().cast("array<int>"))
+def _starts(w: Column) -> Column:
+    return F.when(F.size(w) >= SHINGLE_WORDS, F.sequence(F.lit(0), F.size(w) - SHINGLE_WORDS)).otherwise(F.array().cast("array<int>"))
 
 
-def _hashes(w: str) -> Column:
-    return F.transform(shingle_starts(F.size(w)), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE_WORDS)]))
+def shingle_hashes(text: Column) -> Column:
+    return let(words(text), lambda w: F.transform(_starts(w), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE_WORDS)])))
 
 
-def _strings(w: str) -> Column:
-    return F.array_distinct(F.transform(shingle_starts(F.size(w)), lambda i: F.array_join(F.slice(w, i + 1, SHINGLE_WORDS), " ")))
+def shingle_strings(text: Column) -> Column:
+    """The distinct shingles of a text."""
+    return let(words(text), lambda w: F.array_distinct(F.transform(_starts(w), lambda i: F.array_join(F.slice(w, i + 1, SHINGLE_WORDS), " "))))
 
 
 def _bin_minima(ordered: Column, bins: int) -> Column:
@@ -61,10 +69,10 @@ def _bin_minima(ordered: Column, bins: int) -> Column:
     return F.filter(ordered, lambda x, i: (i == 0) | (F.shiftright(x, shift) != F.shiftright(F.get(ordered, i - 1), shift)))
 
 
-def _window_minima(c: int) -> Column:
+def _window_minima(h: Column, c: int) -> Column:
     """The bin minima of all windows of 2c of the shingle hashes h, one starting every c."""
-    last = F.greatest(F.ceil(F.size("h") / F.lit(float(c))).cast("int") - 2, F.lit(0))
-    windows = F.transform(F.sequence(F.lit(0), last), lambda j: F.sort_array(F.slice("h", j * c + 1, 2 * c)))
+    last = F.greatest(F.ceil(F.size(h) / F.lit(float(c))).cast("int") - 2, F.lit(0))
+    windows = F.transform(F.sequence(F.lit(0), last), lambda j: F.sort_array(F.slice(h, j * c + 1, 2 * c)))
     return F.flatten(F.transform(windows, lambda s: _bin_minima(s, c)))
 
 
@@ -77,9 +85,8 @@ def size_class(n: Column) -> Column:
 def item_shingles(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item_id, item_shingles, n_item, cls) of the items that have shingles; equal items once."""
     return (
-        benchmark.select(F.col(f"`{id_col}`").alias("item_id"), words(F.col(f"`{text_col}`")).alias("w"))
-        .where(F.size("w") >= SHINGLE_WORDS)
-        .select("item_id", F.sort_array(_strings("w")).alias("item_shingles"), F.array_distinct(_hashes("w")).alias("h"))
+        benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.sort_array(shingle_strings(F.col(f"`{text_col}`"))).alias("item_shingles"), F.array_distinct(shingle_hashes(F.col(f"`{text_col}`"))).alias("h"))
+        .where(F.size("item_shingles") > 0)
         .dropDuplicates(["item_id", "item_shingles"])
         .withColumn("n_item", F.size("item_shingles"))
         .withColumn("cls", size_class(F.col("n_item")))
@@ -103,17 +110,16 @@ def leaks_by_key(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         index = part if index is None else index.unionByName(part)
     if index is None:
         return keyed.select("id", "th").where("false").select("id", "th", F.lit(None).cast(benchmark.schema[_id_name(benchmark)].dataType).alias("item_id"), F.lit(0).cast("long").alias("n_item_shingles"), F.lit(0).cast("long").alias("n_matched"))
-    hashed = keyed.where(F.length("text") >= 2 * SHINGLE_WORDS - 1).select("id", "th", words(F.col("text")).alias("w")).select("id", "th", _hashes("w").alias("h"))
-    minima = [_window_minima(c) for c in classes]
-    # explode_outer: a plain explode infers filters that repeat the whole expression for every element
-    probes = hashed.select("id", "th", F.explode_outer(F.concat(*minima)).alias("m"))
+    signature = let(shingle_hashes(F.col("text")), lambda h: F.concat(*[_window_minima(h, c) for c in classes]))
+    # explode_outer: a plain explode infers filters that compute its array again
+    probes = keyed.select("id", "th", F.explode_outer(signature).alias("m"))
     candidates = written(probes.join(_sized(index), "m").select("id", "th", "item_id", "ih").distinct(), "candidates")
     # verification: the exact containment of the candidates' whole texts
     few = candidates.select(F.col("id").alias("cid"), F.col("th").alias("cth"), F.col("item_id"), F.col("ih"))
     texts = keyed.join(_sized(few), F.col("id").eqNullSafe(F.col("cid")) & (F.col("th") == F.col("cth"))).select("id", "th", "text", "item_id", "ih")
     exact = items.select(F.col("item_id").alias("eid"), F.xxhash64("item_shingles").alias("eh"), "item_shingles", "n_item")
     both = texts.join(_sized(exact), F.col("item_id").eqNullSafe(F.col("eid")) & (F.col("ih") == F.col("eh")))
-    counted = both.withColumn("w", words(F.col("text"))).select("id", "th", "item_id", F.col("n_item").cast("long").alias("n_item_shingles"), F.size(F.array_intersect("item_shingles", _strings("w"))).cast("long").alias("n_matched"))
+    counted = both.select("id", "th", "item_id", F.col("n_item").cast("long").alias("n_item_shingles"), F.size(F.array_intersect("item_shingles", shingle_strings(F.col("text")))).cast("long").alias("n_matched"))
     return counted.where(F.col("n_matched") >= F.lit(threshold) * F.col("n_item_shingles"))
 
 

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexicarium.llm.decontaminate import let
+
 WINDOW_LINES = 3
 
 
@@ -65,20 +67,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("th"))
     runs = removed_runs(line_windows(keyed.select("id", "th", "text"), width), width).select(F.col("id").alias("rid"), F.col("th").alias("rth"), "runs")
     joined = keyed.join(runs, F.col("id").eqNullSafe(F.col("rid")) & (F.col("th") == F.col("rth")), "left")
-    lines = F.split("text", "\n", -1)
     # the kept stretches lie before each run and after the last: slices, not a test per line
-    n = F.size("lines")
-    gaps = F.transform(
-        F.sequence(F.lit(0), F.size("runs")),
-        lambda k: F.struct(
-            F.when(k == 0, F.lit(0)).otherwise(F.get("runs", k - 1)["start"] + F.get("runs", k - 1)["len"]).alias("from"),
-            F.when(k == F.size("runs"), n).otherwise(F.get("runs", k)["start"]).alias("to"),
-        ),
-    )
-    kept = F.flatten(F.transform(gaps, lambda g: F.slice(F.col("lines"), g["from"] + 1, g["to"] - g["from"])))
+    def stretch(lines: Column, k: Column) -> Column:
+        start = F.when(k == 0, F.lit(0)).otherwise(F.get("runs", k - 1)["start"] + F.get("runs", k - 1)["len"])
+        end = F.when(k == F.size("runs"), F.size(lines)).otherwise(F.get("runs", k)["start"])
+        return F.slice(lines, start + 1, end - start)
+
+    kept = let(F.split("text", "\n", -1), lambda lines: F.flatten(F.transform(F.sequence(F.lit(0), F.size("runs")), lambda k: stretch(lines, k))))
     gone = F.coalesce(F.aggregate("runs", F.lit(0), lambda s, r: s + r["len"]), F.lit(0))
     cleaned = F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = joined.withColumn("lines", F.when(F.col("runs").isNotNull(), lines)).select(
+    out = joined.select(
         "row",
         cleaned.alias("cleaned"),
         F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"),

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexicarium.llm import bpe, decontaminate, line_dedup, quality, sharding
+from lexicarium.llm import bpe, decontaminate, jaccard_join, language_id, line_dedup, lm_score, quality, sharding
 from lexicarium.llm.store import new_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
 
@@ -26,6 +30,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, RANKS).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_corpus(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.apply_quality(docs, PIECES).drop("text", "lang")
@@ -46,8 +58,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
     "op3_bpe": op3_bpe,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op5_lm_score": op5_lm_score,
     "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
     "op10_line_dedup": op10_line_dedup,
