@@ -121,7 +121,8 @@ def _ridge_sums(batches: Iterable[pa.RecordBatch], model) -> Iterator[pa.RecordB
     marks, whiten, langs = _loaded(model.value)
     mark = np.zeros(1 << HASH_BITS, bool)
     place = {x: i for i, x in enumerate(langs)}
-    gram, target, n = np.zeros((len(whiten), len(whiten))), np.zeros((len(whiten), len(langs))), 0
+    rank = whiten.shape[1]
+    gram, target, n = np.zeros((rank, rank)), np.zeros((rank, len(langs))), 0
     for batch in batches:
         for at in range(0, batch.num_rows, BATCH):
             part = batch.slice(at, BATCH).to_pydict()

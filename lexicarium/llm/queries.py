@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexicarium.llm import bpe, decontaminate, jaccard_join, language_id, line_dedup, lm_score, quality, sharding
+from lexicarium.llm import bpe, decontaminate, jaccard_join, language_id, line_dedup, lm_score, quality, sharding, toxicity, warc
 from lexicarium.llm.store import new_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -52,6 +52,15 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_chars", F.col("_metadata.file_name").alias("shard"), F.col("_metadata.file_size").alias("shard_bytes"), F.lit(version).cast("long").alias("version"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    return toxicity.score_documents(docs, labels).select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
@@ -65,10 +74,19 @@ QUERIES = {
     "op5_lm_score": op5_lm_score,
     "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
+    "op8_toxicity": op8_toxicity,
+    "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL = {
+    "op9_warc": """
+WITH k AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, max(page_id) AS best FROM k WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, k.payload_digest,
+       CASE WHEN best IS NULL OR best = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN best <> page_id THEN best END AS refers_to
+FROM k LEFT JOIN g ON k.payload_digest = g.payload_digest AND payload_bytes >= 1000""",
     "op2_decontamination": r"""
 WITH iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
 dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
