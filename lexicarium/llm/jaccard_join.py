@@ -200,8 +200,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
             return labels
 
 
-def similarity_join(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, recall: float = TARGET_RECALL, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, class_id, n_copies, n_links), one row a row of docs."""
+def classified(docs: DataFrame, threshold: float, trees: int, recall: float, block: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node) of every row, node null where there is no word; and of every node its class, copies, links, and whether it stands for its class."""
     depth = prefix_depth(threshold, trees, recall)
     keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.unhex(F.md5(F.col(f"`{text_col}`"))).alias("node"), F.col(f"`{text_col}`").alias("text"))
     signed = keyed.mapInArrow(lambda it: _sign(it, trees, depth), "doc_id long, node binary, labels array<long>")
@@ -225,7 +225,27 @@ def similarity_join(docs: DataFrame, threshold: float = THRESHOLD, trees: int =
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     known = nodes.select("node", "copies", "least").join(components, "node", "left").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
     known = written(known, "known")
-    classes = known.groupBy("component").agg(F.min("least").alias("class_id"))
-    info = known.join(classes, "component").select("node", "class_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    joined = signed.select("doc_id", "node").join(info, "node", "left")
+    classes = known.groupBy("component").agg(F.min("least").alias("class_id"), F.min_by("node", F.struct("least", "node")).alias("chosen"))
+    info = known.join(classes, "component").select("node", "class_id", "copies", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), (F.col("node") == F.col("chosen")).alias("stands"))
+    return signed.select("doc_id", "node"), info
+
+
+def similarity_join(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, recall: float = TARGET_RECALL, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, class_id, n_copies, n_links), one row a row of docs."""
+    rows, info = classified(docs, threshold, trees, recall, block, id_col, text_col)
+    joined = rows.join(info, "node", "left")
     return joined.select("doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def keep_one_of_each_class(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each class of similar documents, that of the class id; rows without words stay."""
+    rows, info = classified(docs, threshold, TREES, TARGET_RECALL, BLOCK, id_col, text_col)
+    # the rows that a class of two or more documents decides: far fewer than all, so they travel to the texts
+    touched = rows.join(info.where("copies > 1 or not stands"), "node")
+    decided = touched.select(F.col("doc_id").alias("id_"), F.col("node").alias("node_"), (F.col("stands") & F.col("doc_id").eqNullSafe(F.col("least"))).alias("stays_"))
+    decided = written(decided.distinct(), "decided")
+    side = F.broadcast(decided) if decided.count() <= BROADCAST_ROWS else decided
+    marked = docs.join(side, docs[id_col].eqNullSafe(side["id_"]) & (F.unhex(F.md5(docs[text_col])) == side["node_"]), "left").where("stays_ is null or stays_")
+    single = marked.where("stays_ is null").select(*[docs[c] for c in docs.columns])
+    repeated = marked.where("stays_").select(*[docs[c] for c in docs.columns])
+    return single.unionByName(repeated.dropDuplicates([id_col, text_col]))

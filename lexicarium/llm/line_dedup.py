@@ -83,3 +83,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         gone.cast("long").alias("n_removed"),
     )
     return out.select(*[F.col("cleaned").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in keep], "n_lines", "n_removed")
+
+
+def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """docs with cleaned texts, docs' own columns only; size_col, where present, follows the text; documents of which no word is left go."""
+    cleaned = dedup_lines(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")))
+    kept = cleaned.where((F.col("n_removed") == 0) | (F.length(F.trim(F.replace("text", F.lit("\n"), F.lit(" ")))) > 0))
+    new = {text_col: F.col("text"), size_col: F.when(F.col("n_removed") == 0, F.col(f"row.`{size_col}`") if size_col in docs.columns else F.lit(None)).otherwise(F.length("text"))}
+    return kept.select(*[(new[c].cast(docs.schema[c].dataType) if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

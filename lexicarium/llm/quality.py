@@ -171,7 +171,15 @@ def apply_quality(docs: DataFrame, model_path: str, text_col: str = "text", lang
     taken = {n.lower() for n in OUTPUT.names}
     keep = [c for c in docs.columns if c.lower() not in taken]
     lang = F.col(f"`{lang_col}`").cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    # positional names inside the task: clashing or odd column names of the input cannot matter
     inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{text_col}`").cast("binary").alias("raw"), lang.alias("lang_"))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in inner.schema.fields[:-2]] + OUTPUT.fields)
     out = inner.mapInArrow(lambda it: _judge(it, model, bands), schema)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], *OUTPUT.names)
+
+
+def keep_good(docs: DataFrame, model_path: str, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of docs that the rules keep, with docs' own columns only."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"), (F.col(f"`{lang_col}`") if lang_col in docs.columns else F.lit(None)).cast("string").alias("lang"))
+    kept = apply_quality(row, model_path).where("kept")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
