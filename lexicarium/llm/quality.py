@@ -32,12 +32,12 @@ from pyspark.sql import types as T
 #: Fixed values. Bands of the 32k byte-fallback vocabulary: least and most characters per token,
 #: largest byte-fallback share, least token entropy (bits) of texts of ENTROPY_TOKENS tokens.
 BANDS = {
-    "en": (2.20, 12.0, 0.10, 5.3),
-    "de": (2.15, 12.0, 0.10, 5.3),
-    "fr": (2.00, 12.0, 0.10, 5.3),
-    "es": (2.00, 12.0, 0.10, 5.3),
-    "Latin": (1.90, 12.0, 0.15, 5.0),
-    "Cyrillic": (1.20, 12.0, 0.30, 5.0),
+    "en": (2.20, 12.0, 0.10, 4.6),
+    "de": (2.15, 12.0, 0.10, 4.6),
+    "fr": (2.00, 12.0, 0.10, 4.6),
+    "es": (2.00, 12.0, 0.10, 4.6),
+    "Latin": (1.90, 12.0, 0.15, 4.4),
+    "Cyrillic": (1.20, 12.0, 0.30, 4.4),
     "Greek": (0.80, 12.0, 0.60, 4.5),
     "Han": (0.30, 4.0, 0.80, 4.5),
     "Kana": (0.30, 4.0, 0.80, 4.5),
