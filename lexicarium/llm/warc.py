@@ -115,7 +115,7 @@ class ArchiveWriter:
         fs.create_dir(path, recursive=True)
         name = f"{uuid.uuid4().hex}.warc.zst"
         self.uri, self.records, self.bytes = f"{root}/{name}", 0, 0
-        self.out = fs.open_output_stream(f"{path}/{name}")
+        self.out = fs.open_output_stream(f"{path}/{name}", compression=None)  # the archive is compressed frame by frame already
         self.compressor = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_checksum=True)
         if dictionary is not None:
             data = dictionary.as_bytes()
@@ -206,7 +206,7 @@ def _frames(stream, name: str) -> Iterator[bytes]:
 
 def read_archive(uri: str) -> Iterator[dict]:
     fs, path = pafs.FileSystem.from_uri(uri)
-    with fs.open_input_stream(path) as stream:
+    with fs.open_input_stream(path, compression=None) as stream:
         for i, data in enumerate(_frames(stream, uri)):
             try:
                 yield parse_record(data)
