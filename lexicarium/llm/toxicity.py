@@ -1,6 +1,6 @@
 """Toxicity by multiple-instance learning (operator 8).
 
-A document is a bag of sentences; sentence scores p_s = sigmoid(b + sum of word weights) combine by
+A document is a bag of sentences; instance scores p_s = sigmoid(b + sum of the weights of its distinct words) combine by
 noisy-or, P = 1 - prod (1 - p_s), and only the document's label trains them. A word's weight is the
 sum of hashed features: the word, its prefixes of 4 to 6 letters and its last 4 letters, so unseen
 forms of a stem are scored too. The fitted sentence scores then locate the offending sentences.
@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 TRAIN_TOXIC = 1_500
 TRAIN_CLEAN = 3_000
 SLOT_BITS = 18
-EPOCHS = 120
-RATE = 0.05
-DECAY = 2e-4
+EPOCHS = 250
+RATE = 0.2
+DECAY = 3e-5
 OFFENDING = 0.5
+#: Texts of one-word "sentences" would be bags of thousands of instances whose small scores add up.
+LEAST_WORDS = 8
 
 _SENTENCE = re.compile(r"[^.!?\n。！？]+")
 _WORD = re.compile(r"[^\W_]+")
@@ -44,11 +46,22 @@ def word_features(word: str) -> list[int]:
 
 
 def sentences(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """(start, end, words) of the sentences that hold a word."""
+    """(start, end, distinct words) of the bag's instances: sentences, short ones joined with those that follow until LEAST_WORDS."""
+    start, words = 0, []
+    end = 0
     for m in _SENTENCE.finditer(text):
         found = _WORD.findall(m.group().lower())
-        if found:
-            yield m.start(), m.end(), found
+        if not found:
+            continue
+        if not words:
+            start = m.start()
+        words += found
+        end = m.end()
+        if len(words) >= LEAST_WORDS:
+            yield start, end, list(dict.fromkeys(words))
+            words = []
+    if words:
+        yield start, end, list(dict.fromkeys(words))
 
 
 class WordWeights(dict):
@@ -65,6 +78,10 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return np.exp(-np.logaddexp(0.0, -z))
+
+
 def train(texts: list[str], toxic: np.ndarray) -> tuple[np.ndarray, float]:
     """(slot weights, intercept) that maximise the noisy-or likelihood of the document labels."""
     index: dict[str, int] = {}
@@ -87,7 +104,7 @@ def train(texts: list[str], toxic: np.ndarray) -> tuple[np.ndarray, float]:
         z = b + np.bincount(sentence_of, weights=by_word[word], minlength=n)
         none = np.exp(-np.bincount(doc_of, weights=_softplus(z), minlength=len(texts)))  # 1 - P
         pull = np.where(toxic, -none / np.maximum(1e-9, 1 - none), 1.0)
-        g = pull[doc_of] / (1 + np.exp(-z))
+        g = pull[doc_of] * _sigmoid(z)
         gw = np.bincount(slots, weights=np.bincount(word, weights=g[sentence_of], minlength=len(features))[owner], minlength=len(used)) + DECAY * len(texts) * w
         gb = g.sum()
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw**2
@@ -119,7 +136,7 @@ def _score(batches: Iterable[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]
                     found = list(sentences(text))
                     z = fitted[1] + np.array([sum(map(known.__getitem__, words)) for _, _, words in found])
                     total = float(_softplus(z).sum())
-                    p = 1 / (1 + np.exp(-z))
+                    p = _sigmoid(z)
                     spots = [{"start": found[i][0], "end": found[i][1], "score": float(p[i])} for i in np.flatnonzero(p >= OFFENDING)]
                 scores.append(min(1.0, max(0.0, -float(np.expm1(-total)))))
                 spans.append(spots)
