@@ -42,6 +42,7 @@ DICTIONARY_BYTES = 64 << 10
 SAMPLE_RECORDS, SAMPLE_BYTES = 256, 4 << 20
 #: Revisit decisions (under 100 bytes each) are broadcast to the pages up to this many, else both sides are shuffled.
 BROADCAST_ROWS = 500_000
+MOST_READERS = 50_000
 
 # Fixed values of the formats.
 SKIPPABLE = 0x184D2A5D
@@ -253,8 +254,8 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
 
 
 def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
-    """The records of the manifest's archives, an archive a task at most."""
-    return manifest.repartition("archive").mapInArrow(lambda it: _read(it, payloads), RECORDS)
+    """The records of the manifest's archives, an archive a task up to MOST_READERS tasks; the count is given as the manifest's few bytes would all be put into one task otherwise."""
+    return manifest.repartition(max(1, min(MOST_READERS, manifest.count()))).mapInArrow(lambda it: _read(it, payloads), RECORDS)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
