@@ -98,6 +98,12 @@ def pivoted(attributes: DataFrame, keys: list[str]) -> DataFrame:
     return attributes.groupBy("object_id").agg(*[F.max(F.when(F.col("attr_key") == k, F.col("attr_value"))).alias(k) for k in keys])
 
 
+def top_concepts_of_units(units: DataFrame, concepts: DataFrame, n: int = 100, offset: int = 0) -> DataFrame:
+    """``top_concepts`` from the units: they are counted by text before they meet the concepts, so no unit is joined."""
+    counted = units.groupBy("unit_text").agg(F.count(F.lit(1)).alias("n_instances"), F.count_distinct("asset_id").alias("n_assets"))
+    return counted.join(concepts.select("unit_text"), "unit_text").orderBy(F.desc("n_instances"), "unit_text").offset(offset).limit(min(n, 10_000))
+
+
 def top_concepts(instances: DataFrame, concepts: DataFrame, n: int = 100, offset: int = 0) -> DataFrame:
     """The concepts with most instances (ties by text), a page of at most 10,000."""
     counted = instances.groupBy("concept_id").agg(F.count(F.lit(1)).alias("n_instances"), F.count_distinct("asset_id").alias("n_assets"))

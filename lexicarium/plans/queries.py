@@ -205,8 +205,7 @@ def instances(spark, sf_dir):
 @query(UNITS + CONCEPTS + "SELECT unit_text, count(*) AS n_instances, count(DISTINCT asset_id) AS n_assets FROM instances JOIN concepts USING (concept_id) GROUP BY unit_text ORDER BY n_instances DESC, unit_text LIMIT 100")
 def top_concepts(spark, sf_dir):
     u = _units(spark, sf_dir)
-    c = _concepts(u)
-    return anchors.top_concepts(anchors.instance_declarations(u, c), c)
+    return anchors.top_concepts_of_units(u, _concepts(u))
 
 
 def _attributes(spark, sf_dir) -> DataFrame:
