@@ -5,13 +5,12 @@ runs of five words. An item leaks into a document when at least ``threshold`` (0
 shingles occur in the whole document.
 
 Method. A short item inside a long document has a tiny Jaccard similarity, so MinHash over whole
-documents would miss it. Items are partitioned by size into classes of at most c shingles
-(c = 16, 64, 256, ...). For each class, documents are searched in windows of 2c consecutive
-shingles that start every c shingles: any run of c shingles lies in one window whole, and the
-similarity of item and window stays high whatever the document's length. Signatures are one-
-permutation MinHashes: the 64-bit shingle hashes fall into c bins by their leading bits, each
-bin's least value is kept. An item and a document are candidates when they share a bin minimum;
-with c bins this misses a leak of 0.8 with a probability below 1e-6 for items of 11 shingles.
+documents would miss it. Items are partitioned by size instead: an item of n shingles is sketched
+by its k least shingle hashes (bottom-k MinHash), k = n - ceil(threshold * n) + 1 following from n
+alone, and the sketch is looked up among all shingle hashes of the document. A leak lacks at most
+k - 1 of the item's shingles, so it holds at least one of any k of them, wherever they stand in the
+document: every leak is a candidate, whatever the size of the item (items of under five shingles
+have k = 1 and must be held whole).
 Candidates are then verified: the exact share of the item's shingles (as strings) in the document.
 
 Defined results: null or short texts (under five words) hold no shingle and match nothing, nor do
@@ -34,8 +33,6 @@ from lexicarium.llm.store import written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-LEAST_CLASS = 16
-CLASS_STEP = 4
 #: A joined side is broadcast up to this many rows, of under 100 bytes each, else shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -63,33 +60,18 @@ def shingle_strings(text: Column) -> Column:
     return let(words(text), lambda w: F.array_distinct(F.transform(_starts(w), lambda i: F.array_join(F.slice(w, i + 1, SHINGLE_WORDS), " "))))
 
 
-def _bin_minima(ordered: Column, bins: int) -> Column:
-    """The first value of each bin of leading bits, of an ordered array: its one-permutation MinHash."""
-    shift = 64 - (bins.bit_length() - 1)
-    return F.filter(ordered, lambda x, i: (i == 0) | (F.shiftright(x, shift) != F.shiftright(F.get(ordered, i - 1), shift)))
-
-
-def _window_minima(h: Column, c: int) -> Column:
-    """The bin minima of all windows of 2c of the shingle hashes h, one starting every c."""
-    last = F.greatest(F.ceil(F.size(h) / F.lit(float(c))).cast("int") - 2, F.lit(0))
-    windows = F.transform(F.sequence(F.lit(0), last), lambda j: F.sort_array(F.slice(h, j * c + 1, 2 * c)))
-    return F.flatten(F.transform(windows, lambda s: _bin_minima(s, c)))
-
-
-def size_class(n: Column) -> Column:
-    """Least of 16, 64, 256, ... that is at least n."""
-    steps = F.greatest(F.ceil(F.log(n / F.lit(float(LEAST_CLASS))) / F.log(F.lit(float(CLASS_STEP)))), F.lit(0))
-    return (F.lit(LEAST_CLASS) * F.pow(F.lit(float(CLASS_STEP)), steps)).cast("int")
+def sketch_size(n: Column, threshold: float) -> Column:
+    """Of how many shingles of an item of n at least one is in every document that holds threshold of them."""
+    return F.greatest(n - F.ceil(F.lit(threshold) * n) + 1, F.lit(1)).cast("int")
 
 
 def item_shingles(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item_id, item_shingles, n_item, cls) of the items that have shingles; equal items once."""
+    """(item_id, item_shingles, h, n_item) of the items that have shingles; equal items once."""
     return (
         benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.sort_array(shingle_strings(F.col(f"`{text_col}`"))).alias("item_shingles"), F.array_distinct(shingle_hashes(F.col(f"`{text_col}`"))).alias("h"))
         .where(F.size("item_shingles") > 0)
         .dropDuplicates(["item_id", "item_shingles"])
         .withColumn("n_item", F.size("item_shingles"))
-        .withColumn("cls", size_class(F.col("n_item")))
     )
 
 
@@ -101,18 +83,10 @@ def _sized(df: DataFrame) -> DataFrame:
 def leaks_by_key(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, item_id, n_item_shingles, n_matched) of every leak; th: the text's hash."""
     items = written(item_shingles(benchmark), "items")
-    classes = sorted(r.cls for r in items.select("cls").distinct().collect())  # a handful: powers of four
     keyed = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("th"), F.col(f"`{text_col}`").alias("text"))
-    index = None
-    for c in classes:
-        part = items.where(F.col("cls") == c).select("item_id", "item_shingles", F.sort_array("h").alias("h"))
-        part = part.select("item_id", F.xxhash64("item_shingles").alias("ih"), F.explode(_bin_minima(F.col("h"), c)).alias("m"))
-        index = part if index is None else index.unionByName(part)
-    if index is None:
-        return keyed.select("id", "th").where("false").select("id", "th", F.lit(None).cast(benchmark.schema[_id_name(benchmark)].dataType).alias("item_id"), F.lit(0).cast("long").alias("n_item_shingles"), F.lit(0).cast("long").alias("n_matched"))
-    signature = let(shingle_hashes(F.col("text")), lambda h: F.concat(*[_window_minima(h, c) for c in classes]))
+    index = items.select("item_id", F.xxhash64("item_shingles").alias("ih"), F.explode(F.slice(F.sort_array("h"), F.lit(1), sketch_size(F.col("n_item"), threshold))).alias("m"))
     # explode_outer: a plain explode infers filters that compute its array again
-    probes = keyed.select("id", "th", F.explode_outer(signature).alias("m"))
+    probes = keyed.select("id", "th", F.explode_outer(F.array_distinct(shingle_hashes(F.col("text")))).alias("m"))
     candidates = written(probes.join(_sized(index), "m").select("id", "th", "item_id", "ih").distinct(), "candidates")
     # verification: the exact containment of the candidates' whole texts
     few = candidates.select(F.col("id").alias("cid"), F.col("th").alias("cth"), F.col("item_id"), F.col("ih"))
@@ -123,10 +97,6 @@ def leaks_by_key(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     return counted.where(F.col("n_matched") >= F.lit(threshold) * F.col("n_item_shingles"))
 
 
-def _id_name(benchmark: DataFrame) -> str:
-    return "item_id" if "item_id" in benchmark.columns else benchmark.columns[0]
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, n_item_shingles, n_matched, containment), one row a leaking pair."""
     best = leaks_by_key(docs, benchmark, threshold).groupBy(F.col("id").alias("doc_id"), "item_id").agg(F.max(F.struct((F.col("n_matched") / F.col("n_item_shingles")).alias("c"), "n_item_shingles", "n_matched")).alias("b"))

@@ -149,6 +149,23 @@ def test_decontamination(spark, table):
     assert decontaminate.leaks(d, bench.limit(0)).count() == 0 and decontaminate.leaks(d.limit(0), bench).count() == 0
 
 
+def test_decontamination_finds_every_leak_of_short_items(spark):
+    rng = random.Random(8)
+    texts, items = [], []
+    for k in range(600):  # items of 5 to 40 words, whole or with changed ends, in texts of 600 words
+        item, body = words(rng.randint(5, 40 if k % 5 == 0 else 14), 1_000 + k), words(600, 9_000 + k)
+        cut, at = rng.randint(0, (len(item) - 4) // 5), rng.randint(0, 600)
+        texts.append(" ".join(body[:at] + item[: len(item) - cut] + body[at:]))
+        items.append((k, " ".join(item)))
+    for k, n in enumerate((20, 30, 40)):  # scattered: single runs of an item in all parts of a text
+        item = words(n, 500 + k)
+        texts.append(" ".join(w for i in range(n - 4) for w in item[i : i + 5] + words(300, 50_000 + i)))
+        items.append((600 + k, " ".join(item)))
+    expect = plain_leaks(list(enumerate(texts)), items)
+    got = {tuple(r)[:4] for r in decontaminate.leaks(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(expect) > 500 and len(expect - got) == 0 and got == expect
+
+
 # --- 4: Jaccard join ---------------------------------------------------------------------------
 def plain_join(rows):
     known = jaccard_join.WordHashes()
