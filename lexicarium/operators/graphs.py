@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from lexicarium.operators.units import CONTAINER
 
-#: Containers of more units than this are left out of co-occurrence by the operator's definition (their number is reported by ``skipped_containers``).
+#: ``skipped_containers`` reports containers of more units than this unless told otherwise.
 MOST_UNITS = 500
+#: Pairs are made within slices of this many units of a container; between slices they follow from counts.
+SLICE = 500
 SEGMENT = [*CONTAINER, "segment_index"]
 
 
@@ -19,18 +21,27 @@ def adjacency_edges(units: DataFrame) -> DataFrame:
     return steps.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
 
 
-def cooccurrence_edges(units: DataFrame, most: int = MOST_UNITS) -> DataFrame:
-    """(src, dst, weight): pairs i < j in text order within a segment of at most ``most`` units; no self-loops."""
+def cooccurrence_edges(units: DataFrame, most: int | None = None, size: int = SLICE) -> DataFrame:
+    """(src, dst, weight): pairs i < j in text order within a segment; no self-loops. ``most`` leaves larger segments out, none by default."""
     place = Window.partitionBy(*SEGMENT).orderBy("sentence_index", "char_start", "char_end")
-    ranked = units.select(*SEGMENT, F.row_number().over(place).alias("i"), F.count(F.lit(1)).over(Window.partitionBy(*SEGMENT)).alias("n"), "unit_text").where(F.col("n") <= most)
-    # the container's units as one array: its pairs are made in place, without a self-join
-    packed = ranked.groupBy(*SEGMENT).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "unit_text"))), lambda x: x["unit_text"]).alias("u")).where(F.size("u") > 1)
+    ranked = units.select(*SEGMENT, F.row_number().over(place).alias("i"), F.count(F.lit(1)).over(Window.partitionBy(*SEGMENT)).alias("n"), "unit_text")
+    ranked = (ranked.where(F.col("n") <= most) if most is not None else ranked).withColumn("slice", F.floor((F.col("i") - 1) / size))
+    # a slice's units as one array: its pairs are made in place, without a self-join
+    packed = ranked.groupBy(*SEGMENT, "slice").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "unit_text"))), lambda x: x["unit_text"]).alias("u")).where(F.size("u") > 1)
     pairs = packed.select(F.posexplode("u").alias("i", "src"), "u").select("src", F.explode_outer(F.slice("u", F.col("i") + 2, F.size("u"))).alias("dst"))
-    return pairs.where("dst is not null and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
+    near = pairs.where("dst is not null and src <> dst").select("src", "dst", F.lit(1).cast("long").alias("weight"))
+    # all of an earlier slice stands before all of a later one: the products of their texts' counts
+    counts = ranked.where(F.col("n") > size).groupBy(*SEGMENT, "slice", "unit_text").agg(F.count(F.lit(1)).alias("c"))
+    later = counts.select(*[F.col(k).alias(f"{k}_2") for k in SEGMENT], F.col("slice").alias("slice_2"), F.col("unit_text").alias("dst"), F.col("c").alias("c_2"))
+    same = F.col("slice") < F.col("slice_2")
+    for k in SEGMENT:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_2"))
+    far = counts.join(later, same).where("unit_text <> dst").select(F.col("unit_text").alias("src"), "dst", (F.col("c") * F.col("c_2")).alias("weight"))
+    return near.unionByName(far).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
 def skipped_containers(units: DataFrame, most: int = MOST_UNITS) -> DataFrame:
-    """(reason, n): how many containers co-occurrence leaves out."""
+    """(reason, n): how many containers co-occurrence leaves out when it is given ``most``."""
     sizes = units.groupBy(*SEGMENT).agg(F.count(F.lit(1)).alias("n"))
     return sizes.where(F.col("n") > most).agg(F.count(F.lit(1)).alias("n")).select(F.lit("container_too_large").alias("reason"), "n")
 

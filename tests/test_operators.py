@@ -1,5 +1,6 @@
 """Hand-made cases of the operators: coordinates, ties, nulls, boundaries, streams."""
 
+import collections
 import datetime as dt
 import json
 
@@ -95,6 +96,12 @@ def test_large_containers_are_reported(spark):
     assert graphs.cooccurrence_edges(u).count() == 10
 
 
+def test_cooccurrence_counts_every_pair_of_large_containers(spark):
+    texts = {0: [f"u{i % 9 if i % 3 else i}" for i in range(1_203)], 1: [f"u{i % 7}" for i in range(500)], 2: ["u1", "u2", "u1"]}
+    got = {(r.src, r.dst): r.weight for r in graphs.cooccurrence_edges(unit_rows(spark, [("1", "a", s, i, t) for s, ts in texts.items() for i, t in enumerate(ts)]).withColumn("value_index", F.lit(None).cast("long"))).collect()}
+    assert got == collections.Counter((a, b) for ts in texts.values() for i, a in enumerate(ts) for b in ts[i + 1 :] if a != b)
+
+
 def test_append_counts_conserve_and_merge_replaces(spark):
     new = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k long, v string")
     old = spark.createDataFrame([(2, "z"), (3, "c")], "k long, v string")
