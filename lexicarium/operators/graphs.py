@@ -118,18 +118,23 @@ def canonical_role(role: Column) -> Column:
     return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in alias.items() for x in kv]), F.lower(F.trim(role))), F.lit("unknown"))
 
 
-def tree_depths(nodes: DataFrame, most: int = 10_000) -> DataFrame:
-    """nodes with depth (roots 0, nodes that no root reaches -1) and is_leaf, by doubling pointers: rounds grow with the logarithm of the depth."""
+def _cut(df: DataFrame) -> DataFrame:
+    """df without its lineage: under ``spark.checkpoint.dir`` where that is set, else (tests) in memory."""
+    return df.checkpoint() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.localCheckpoint()
+
+
+def tree_depths(nodes: DataFrame, most: int | None = None) -> DataFrame:
+    """nodes with depth (roots 0, nodes that no root reaches -1) and is_leaf, by doubling pointers: rounds grow with the logarithm of the depth. ``most`` stops once that many steps are looked at; by default all are."""
     up = nodes.select("node_id", "parent_id")
     known = up.join(up.select(F.col("node_id").alias("p")), up["parent_id"] == F.col("p"), "left")
-    jump = known.select("node_id", F.col("p").alias("anchor"), F.when(F.col("p").isNull(), 0).otherwise(1).alias("steps"), (F.col("parent_id").isNull()).alias("rooted"))
-    reach = 1
-    while reach < most:
+    jump = _cut(known.select("node_id", F.col("p").alias("anchor"), F.when(F.col("p").isNull(), 0).otherwise(1).alias("steps"), (F.col("parent_id").isNull()).alias("rooted")))
+    reach, left = 1, jump.where("anchor is not null").count()
+    while left and (most is None or reach < most):
         up2 = jump.select(F.col("node_id").alias("a"), F.col("anchor").alias("a2"), F.col("steps").alias("s2"), F.col("rooted").alias("r2"))
-        jump = jump.join(up2, jump["anchor"] == up2["a"], "left").select("node_id", F.col("a2").alias("anchor"), (F.col("steps") + F.coalesce("s2", F.lit(0))).alias("steps"), F.coalesce("r2", "rooted").alias("rooted"))
-        jump = jump.cache()
+        jump = _cut(jump.join(up2, jump["anchor"] == up2["a"], "left").select("node_id", F.col("a2").alias("anchor"), (F.col("steps") + F.coalesce("s2", F.lit(0))).alias("steps"), F.coalesce("r2", "rooted").alias("rooted")))
         reach *= 2
-        if jump.where("anchor is not null").isEmpty():
+        before, left = left, jump.where("anchor is not null").count()
+        if left == before:  # no depth between reach / 2 and reach, so none beyond: what is left is in or below cycles
             break
     depth = F.when(F.col("anchor").isNull() & F.col("rooted"), F.col("steps")).otherwise(-1)
     parents = nodes.where("parent_id is not null").select(F.col("parent_id").alias("pid")).distinct()

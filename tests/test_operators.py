@@ -84,6 +84,13 @@ def test_tree_orphans_have_depth_minus_one(spark):
     assert got == {"r": (0, False), "a": (1, False), "b": (2, True), "o": (-1, False), "p": (-1, True), "x": (-1, False), "y": (-1, False)}
 
 
+def test_depths_of_a_very_long_conversation(spark):
+    turns = spark.range(20_000).select(F.lit(1).alias("conv_id"), F.col("id").cast("int").alias("turn"), F.lit("user").alias("role"), F.lit("t").alias("text"))
+    tree = graphs.tree_depths(graphs.conversation_nodes(turns).unionByName(spark.createDataFrame([("2", "x", "y", "user", "t"), ("2", "y", "x", "user", "t")], "asset_id string, node_id string, parent_id string, role string, text string")))
+    assert tree.where("asset_id = '1'").where(F.col("node_id") != F.concat(F.lit("1:"), F.col("depth").cast("string"))).count() == 0
+    assert tree.where("depth = -1").count() == 2 and tree.agg(F.max("depth")).first()[0] == 19_999
+
+
 def test_neighbourhood_is_bounded(spark):
     edges = spark.createDataFrame([(i, i + 1, 1) for i in range(10)], "src long, dst long, weight int")
     got = {r.node: r.hop for r in graphs.neighbourhood(edges, spark.createDataFrame([(5,)], "node long"), hops=9).collect()}
