@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: First and last code point of the blocks told apart; anything else is "other".
 BLOCKS = (("ascii", 0x0, 0x7F), ("latin_1", 0x80, 0xFF), ("latin_extended", 0x100, 0x24F), ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x4FF), ("cjk_symbols", 0x3000, 0x303F), ("hiragana", 0x3040, 0x309F), ("katakana", 0x30A0, 0x30FF), ("cjk_unified", 0x4E00, 0x9FFF), ("hangul", 0xAC00, 0xD7AF), ("fullwidth", 0xFF00, 0xFFEF))
-#: Entropy and transitions look at this many first characters, by the operator's definition.
+#: Entropy looks at this many first characters, by the operator's definition.
 ENTROPY_WINDOW = 1024
 
 
@@ -51,6 +51,27 @@ def block_transitions(values: DataFrame, top: int = 10) -> DataFrame:
     return steps.groupBy("before", "after").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "before", "after").limit(top)
 
 
+def text_block_distribution(values: DataFrame) -> DataFrame:
+    """(asset_id, block, n) of all characters; the blocks are counted in the text, without a row a character."""
+    v = F.col("value")
+    known = [F.struct(F.lit(name).alias("block"), F.regexp_count(v, F.lit(f"[\\x{{{lo:x}}}-\\x{{{hi:x}}}]")).cast("long").alias("n")) for name, lo, hi in BLOCKS]
+    counted = values.select("asset_id", F.length("value").alias("all"), F.array(*known).alias("known"))
+    rest = F.struct(F.lit("other").alias("block"), (F.col("all") - F.aggregate("known", F.lit(0).cast("long"), lambda s, x: s + x["n"])).alias("n"))
+    return counted.select("asset_id", F.explode(F.concat("known", F.array(rest))).alias("b")).where("b.n > 0").groupBy("asset_id", F.col("b.block").alias("block")).agg(F.sum("b.n").alias("n"))
+
+
+def text_block_transitions(values: DataFrame, top: int = 10) -> DataFrame:
+    """(before, after, n): as ``block_transitions``, over whole texts; a run of one block becomes one private-use character first."""
+    names = ["other", *[b[0] for b in BLOCKS]]
+    span = [f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for _, lo, hi in BLOCKS]
+    runs = F.regexp_replace("value", f"[^{''.join(span)}]+", chr(0xE000))
+    for k, x in enumerate(span):
+        runs = F.regexp_replace(runs, f"[{x}]+", chr(0xE001 + k))
+    pairs = values.select(runs.alias("r")).select(F.explode(F.transform(F.sequence(F.lit(1), F.length("r")), lambda i: F.substring("r", i, F.lit(2)))).alias("p")).where(F.length("p") == 2)
+    block = lambda at: F.get(F.array(*map(F.lit, names)), F.ascii(F.substring("p", at, 1)) - 0xE000)
+    return pairs.groupBy("p").agg(F.count(F.lit(1)).alias("n")).select(block(1).alias("before"), block(2).alias("after"), "n").orderBy(F.desc("n"), "before", "after").limit(top)
+
+
 def line_structure(values: DataFrame) -> DataFrame:
     """(asset_id, lines, blank, bullets, longest) of every value."""
     lines = F.split("value", "\n", -1)

@@ -330,6 +330,19 @@ def block_transitions(spark, sf_dir):
     return profiles.block_transitions(_values(spark, sf_dir))
 
 
+ALL_CHARS = ", c AS (SELECT asset_id, unnest(string_split(value, '')) AS ch, unnest(range(0, length(value))) AS pos FROM v)\n"
+
+
+@query(VALUES + ALL_CHARS + f"SELECT asset_id, {BLOCK_CASE} AS block, count(*) AS n FROM c WHERE ch <> '' GROUP BY ALL")
+def text_block_distribution(spark, sf_dir):
+    return profiles.text_block_distribution(_values(spark, sf_dir))
+
+
+@query(VALUES + ALL_CHARS + f", b AS (SELECT asset_id, pos, {BLOCK_CASE} AS after FROM c WHERE ch <> ''), t AS (SELECT lag(after) OVER (PARTITION BY asset_id ORDER BY pos) AS before, after FROM b) SELECT before, after, count(*) AS n FROM t WHERE before <> after GROUP BY before, after ORDER BY n DESC, before, after LIMIT 10")
+def text_block_transitions(spark, sf_dir):
+    return profiles.text_block_transitions(_values(spark, sf_dir))
+
+
 @query(VALUES + ", l AS (SELECT asset_id, string_split(value, chr(10)) AS ls FROM v) SELECT asset_id, len(ls) AS lines, len(list_filter(ls, lambda x: trim(x) = '')) AS blank, len(list_filter(ls, lambda x: regexp_matches(x, '^ *[-*•] '))) AS bullets, list_max(list_transform(ls, lambda x: length(x))) AS longest FROM l")
 def line_structure(spark, sf_dir):
     return profiles.line_structure(_values(spark, sf_dir))

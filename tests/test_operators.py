@@ -69,6 +69,14 @@ def test_eligibility_order(spark):
     assert got == {"o": "ALLOW", "f": "FREEZE", "n": "DELAY", "a": "ALLOW"}
 
 
+def test_blocks_are_counted_after_the_first_1024_characters(spark):
+    v = spark.createDataFrame([("a", "", 0, "x" * 1_100 + "жж 日\ue003😀é"), ("b", "", 0, ""), ("c", "", 0, None)], VALUE)
+    got = {(r.asset_id, r.block): r.n for r in profiles.text_block_distribution(v).collect()}
+    assert got == {("a", "ascii"): 1_101, ("a", "cyrillic"): 2, ("a", "cjk_unified"): 1, ("a", "other"): 2, ("a", "latin_1"): 1}
+    steps = {(r.before, r.after): r.n for r in profiles.text_block_transitions(v).collect()}
+    assert steps == {p: 1 for p in [("ascii", "cyrillic"), ("cyrillic", "ascii"), ("ascii", "cjk_unified"), ("cjk_unified", "other"), ("other", "latin_1")]}
+
+
 def test_graph_density_and_isolated_nodes(spark):
     edges = spark.createDataFrame([("a", "b", 1), ("b", "c", 2), ("c", "a", 3)], "src string, dst string, weight int")
     one = spark.createDataFrame([("a",)], "node string")
