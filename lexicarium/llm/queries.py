@@ -40,7 +40,7 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality.apply_quality(docs, PIECES).drop("text", "lang")
+    return quality.apply_quality(docs, PIECES, RANKS, without_text=True).drop("lang")
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

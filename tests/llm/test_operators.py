@@ -13,8 +13,8 @@ import tiktoken
 from public_tokenizers import PATTERN
 from pyspark.sql import functions as F
 
-from lexicarium.llm import bpe, decontaminate, jaccard_join, language_id, line_dedup, lm_score, quality, sharding, toxicity, warc
-from lexicarium.llm.queries import PIECES, RANKS
+from lexicarium.llm import bpe, decontaminate, jaccard_join, language_id, line_dedup, lm_score, sharding, toxicity, warc
+from lexicarium.llm.queries import RANKS
 from lexicarium.llm.store import new_path
 
 SF = "/root/testdata/sf0.001"
@@ -63,37 +63,6 @@ def test_bpe_rows(spark):
     assert bpe.encode_decode(docs_of(spark, []), RANKS).count() == 0
 
 
-# --- 6: quality --------------------------------------------------------------------------------
-def plain_counts(text):
-    ws = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text or "") if w]
-    wins = collections.Counter(zip(ws, ws[1:], ws[2:]))
-    cover = {i + k for i in range(len(ws) - 2) if wins[tuple(ws[i : i + 3])] > 1 for k in range(3)}
-    lines, seen, dup = (text or "").split("\n"), set(), 0
-    for x in lines:
-        if any(w for w in __import__("re").split(r"[\x20\x09-\x0D]+", x)):
-            dup += x in seen
-            seen.add(x)
-    return len(ws), sum(map(len, ws)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(cover)
-
-
-def test_quality_counts_match_a_plain_version(spark, table):
-    extra = docs_of(spark, [None, "", " \n ", "a b c a b c a b c", "é # * x y　z", "same\nsame\n\n \nsame", "the cat " * 60])
-    for r in quality.apply_quality(table.unionByName(extra), PIECES).collect():
-        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_counts(r.text)
-        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
-        assert not (r.base_failed and r.kept)
-
-
-def test_quality_keeps_prose_and_rejects_junk(spark):
-    prose = " ".join(words(300, 1)).capitalize() + "."
-    junk = " ".join(w + "$$$" for w in words(300, 2)).upper()
-    english = "The committee met on Tuesday to discuss its annual budget, and members agreed that every school in the district should receive new books before winter. Roads near the river need repair after last month's storm, said an engineer, who expects work to begin once funds arrive from the state. Several parents asked for safer crossings; others wanted longer library hours and a garden behind the old town hall."
-    rows = quality.apply_quality(docs_of(spark, [english, junk, prose]).withColumn("kept", F.lit(1)), PIECES).orderBy("doc_id").collect()
-    assert rows[0].kept and not rows[1].kept
-    assert quality.main_script("Привет мир") == "Cyrillic" and quality.main_script("123") == "other"
-    assert quality.keep_good(docs_of(spark, []), PIECES).columns == ["doc_id", "text", "lang", "source", "n_chars"]
-
-
 # --- 10: line dedup ----------------------------------------------------------------------------
 def plain_line_dedup(rows):
     seen, out = {}, {}
