@@ -43,10 +43,20 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_quality(docs, PIECES, RANKS, without_text=True).drop("lang")
 
 
+#: Arrivals of op7: shares of the range of ids, so that shards of several sizes meet in the table.
+ARRIVALS = (0.5, 0.75, 0.875, 0.9375)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     table = sharding.ShardedTable(spark, new_path(spark, "shards"))
-    table.append(docs)
+    ends = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    low, high = ends.low or 0, ends.high or 0
+    cuts = [int(low + (high - low + 1) * share) for share in ARRIVALS]
+    place = F.col("doc_id")
+    for k in range(len(cuts) + 1):  # every row is in one arrival, rows without an id in the first
+        after = place >= cuts[k - 1] if k else F.coalesce(place < cuts[0], F.lit(True))
+        table.append(docs.where(after & (place < cuts[k]) if 0 < k < len(cuts) else after))
     version = table.compact(docs.schema)
     rows = table.read(docs.schema)
     return rows.select("doc_id", "n_chars", F.col("_metadata.file_name").alias("shard"), F.col("_metadata.file_size").alias("shard_bytes"), F.lit(version).cast("long").alias("version"))

@@ -1,37 +1,59 @@
 """Sharding by size-tiered compaction with versioned manifests (operator 7; DataFrame functions only).
 
-A sharded table is a folder: ``data/`` holds immutable Parquet shards, ``manifests/`` one Parquet
-table of (path, bytes, rows, tier) per version, ``versions/`` one small file per committed
-version that names its manifest. ``append`` writes arrivals as small shards straight from their
-partitions; ``compact`` merges shards of similar size into files near the target; each commits
-the next version by renaming its version file into place, which fails if that version exists, so
-readers see the old table or the new one and two writers cannot both win.
-
-Merging does not shuffle: shards of one tier are packed into runs of about the target size by a
-running sum over the manifest, in lanes so that no task holds the whole manifest, and each run is
-read as one partition and written as one file. Jobs take ``RUNS_A_JOB`` runs each, so the
-driver holds only the file names of one job.
+A sharded table is a folder. ``data/<run>`` holds the immutable Parquet shards that one append or merge
+wrote, ``shards/<run>`` a Parquet table of their (path, bytes, rows), ``manifests/`` one Parquet table of
+live runs (run, bytes, rows, shards, tier) per version, and ``versions/`` one small file per committed version that names
+its manifest. ``append`` writes arrivals as small shards straight from their partitions; ``compact``
+merges runs of similar shard size into files near the target; each commits the next version by renaming
+its version file into place, which fails if that version exists, so readers see the old table or the
+new one and two writers cannot both win.
+
+Tiers: a run's tier follows the mean size of its shards, in powers of ``FANOUT`` from ``TIER_BASE``. A tier whose
+unsettled runs (mean shard of at most half the target) hold ``FANOUT`` shards or more is merged; what it
+would become may fill the next tier, so the plan is made on sizes first (``planned``) and every shard is rewritten once.
+A merge is one job of any size without a shuffle: Spark's reader packs whole files, largest first, into
+partitions of up to the target, and each is written as one file. The driver sees a row a run, never a row a shard.
 
 Defined results: every row of every append is in the latest version exactly once, repeated rows
-and null values included, with all columns; an empty append commits a version without new
-shards; an empty table compacts to itself; texts of any length stay whole.
+and null values included, with all columns (also one named ``_metadata`` or ``path``); an empty append commits a version without a new
+run; an empty table compacts to itself; texts of any length stay whole.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TARGET_BYTES = 64 << 20
 SHARD_ROWS = 2_000
 TIER_BASE = 1 << 20
 FANOUT = 4
-RUNS_A_JOB = 48
-LANE_TARGETS = 64
-MANIFEST = "path string, bytes long, rows long, tier int"
+RUNS = "run string, bytes long, rows long, shards long, tier int"
+SHARDS = "path string, bytes long, rows long"
+
+
+def tier_of(mean_bytes: float) -> int:
+    return 0 if mean_bytes < TIER_BASE else int(math.log(mean_bytes / TIER_BASE, FANOUT) + 1e-9) + 1
+
+
+def planned(runs: list[tuple[str, int, int]], target_bytes: int) -> list[list[str]]:
+    """Of runs (name, bytes, shards), the groups to merge: tiers with FANOUT shards or more, from the smallest, over and over with what their merge would give."""
+    parts = [([name], size, shards, False) for name, size, shards in runs]
+    while True:
+        tiers: dict[int, list] = {}
+        for part in parts:
+            if part[2] and 2 * part[1] <= target_bytes * part[2]:
+                tiers.setdefault(tier_of(part[1] / part[2]), []).append(part)
+        full = [t for t in sorted(tiers) if sum(p[2] for p in tiers[t]) >= FANOUT]
+        if not full:
+            return [names for names, _, _, merged in parts if merged]
+        group = tiers[full[0]]
+        size, shards = sum(p[1] for p in group), sum(p[2] for p in group)
+        after = min(max(1, math.ceil(size / target_bytes)), shards - 1)
+        parts = [p for p in parts if p not in group] + [(sorted(n for p in group for n in p[0]), size, after, True)]
 
 
 class ShardedTable:
@@ -52,16 +74,17 @@ class ShardedTable:
         return max((int(n) for n in names if n.isdigit()), default=0)
 
     def manifest(self, version: int | None = None) -> DataFrame:
+        """The live runs of a version (default: the latest)."""
         v = self.version() if version is None else version
         if v == 0:
-            return self.spark.createDataFrame([], MANIFEST)
+            return self.spark.createDataFrame([], RUNS)
         fs, p = self._fs(f"{self.root}/versions/{v:08d}")
         stream = fs.open(p)
         try:
             name = stream.readUTF()
         finally:
             stream.close()
-        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifests/{name}")
+        return self.spark.read.schema(RUNS).parquet(f"{self.root}/manifests/{name}")
 
     def commit(self, manifest: DataFrame, base: int) -> int:
         """Publish manifest as version base + 1; raises if another writer has published it."""
@@ -77,71 +100,63 @@ class ShardedTable:
         context.rename(temp, self._fs(f"{self.root}/versions/{base + 1:08d}")[1], none)
         return base + 1
 
-    # --- shards ---------------------------------------------------------------------------
-    def _described(self, folder: str, schema) -> DataFrame:
-        """(path, bytes, rows, tier) of the shards in folder; reads file footers only."""
-        files = self.spark.read.schema(schema).parquet(folder).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"))
-        tier = F.greatest(F.floor(F.log(F.col("bytes") / F.lit(float(TIER_BASE))) / F.log(F.lit(float(FANOUT)))) + 1, F.lit(0))
-        return files.groupBy("path", "bytes").agg(F.count(F.lit(1)).alias("rows")).withColumn("tier", tier.cast("int"))
+    # --- runs -----------------------------------------------------------------------------
+    def _described(self, run: str, schema) -> DataFrame:
+        """The one row of the manifest for a written run; its shards are described once, from their footers."""
+        files = self.spark.read.schema(schema).parquet(f"{self.root}/data/{run}").select(F.expr("_metadata.file_path").alias("path"), F.expr("_metadata.file_size").alias("bytes")) if "_metadata" not in schema.names else self._files(run)
+        files.groupBy("path", "bytes").agg(F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.root}/shards/{run}")
+        mean = F.col("bytes") / F.greatest(F.col("shards"), F.lit(1))
+        tier = F.when(mean < TIER_BASE, 0).otherwise(F.floor(F.log(mean / TIER_BASE) / math.log(FANOUT) + 1e-9) + 1)
+        whole = self.shards([run]).agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("shards"))
+        return whole.where("rows > 0").select(F.lit(run).alias("run"), "bytes", "rows", "shards", tier.cast("int").alias("tier"))
+
+    def _files(self, run: str) -> DataFrame:
+        """As the reader's metadata, for tables with a column of that name: rows are counted without any column."""
+        bare = self.spark.read.schema("`lexicarium none` int").parquet(f"{self.root}/data/{run}")
+        return bare.select(F.expr("_metadata.file_path").alias("path"), F.expr("_metadata.file_size").alias("bytes"))
+
+    def shards(self, runs: list[str] | None = None) -> DataFrame:
+        """(path, bytes, rows) of the shards of runs (default: those of the latest version)."""
+        runs = [r.run for r in self.manifest().select("run").collect()] if runs is None else runs  # a row a run
+        return self.spark.read.schema(SHARDS).parquet(*[f"{self.root}/shards/{r}" for r in runs]) if runs else self.spark.createDataFrame([], SHARDS)
 
     def append(self, rows: DataFrame, shard_rows: int = SHARD_ROWS) -> int:
         """Write arrivals as immutable shards of at most shard_rows rows and commit them."""
-        base = self.version()
-        folder = f"{self.root}/data/append-{uuid.uuid4().hex}"
-        rows.write.option("maxRecordsPerFile", shard_rows).option("compression", "zstd").parquet(folder)
-        return self.commit(self.manifest(base).unionByName(self._described(folder, rows.schema)), base)
-
-    def runs(self, target_bytes: int = TARGET_BYTES) -> DataFrame:
-        """(tier, lane, run, path): the shards to merge, by run; single shards and those of over half the target stay."""
-        small = self.manifest().where(F.col("bytes") * 2 <= target_bytes)
-        total = small.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first().b
-        lanes = max(1, round(total / (target_bytes * LANE_TARGETS)))
-        placed = small.withColumn("lane", F.pmod(F.xxhash64("path"), F.lit(lanes)))
-        ordered = Window.partitionBy("tier", "lane").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-        before = F.coalesce(F.sum("bytes").over(ordered), F.lit(0))
-        packed = placed.withColumn("run", F.floor(before / F.lit(target_bytes)))
-        return packed.withColumn("files", F.count(F.lit(1)).over(Window.partitionBy("tier", "lane", "run"))).where("files > 1").select("tier", "lane", "run", "path")
+        base, run = self.version(), f"append-{uuid.uuid4().hex}"
+        rows.write.option("maxRecordsPerFile", shard_rows).option("compression", "zstd").parquet(f"{self.root}/data/{run}")
+        return self.commit(self.manifest(base).unionByName(self._described(run, rows.schema)), base)
 
     def compact(self, schema, target_bytes: int = TARGET_BYTES) -> int:
-        """Merge runs of similarly sized shards into files near target_bytes and commit the result."""
+        """Merge the tiers that are full into files near target_bytes and commit the result; the version stays where there is nothing to merge."""
         base = self.version()
-        todo = f"{self.root}/manifests/runs-{uuid.uuid4().hex}"
-        self.runs(target_bytes).write.parquet(todo)
-        runs = self.spark.read.parquet(todo)
-        merged = None
-        group: list[list[str]] = []
-        grouped = runs.groupBy("tier", "lane", "run").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        for run in grouped.select("paths").toLocalIterator():
-            group.append(run.paths)
-            if len(group) == RUNS_A_JOB:
-                merged, group = self._merge(group, schema, merged), []
-        if group:
-            merged = self._merge(group, schema, merged)
-        if merged is None:
+        runs = [(r.run, r.bytes, r.shards) for r in self.manifest(base).collect()]  # a row a run
+        groups = planned(runs, target_bytes)
+        if not groups:
             return base
-        kept = self.manifest(base).join(runs.select("path"), "path", "left_anti")
-        return self.commit(kept.select("path", "bytes", "rows", "tier").unionByName(merged), base)
-
-    def _merge(self, group: list[list[str]], schema, before: DataFrame | None) -> DataFrame:
-        folder = f"{self.root}/data/merge-{uuid.uuid4().hex}"
-        parts = [self.spark.read.schema(schema).parquet(*paths).coalesce(1) for paths in group]
-        reduce(DataFrame.union, parts).write.option("compression", "zstd").parquet(folder)
-        described = self._described(folder, schema)
-        return described if before is None else before.unionByName(described)
+        packing = self.spark.newSession()  # its reader packs whole files up to the target
+        for key, value in (("maxPartitionBytes", target_bytes), ("openCostInBytes", 0), ("minPartitionNum", 1)):
+            packing.conf.set(f"spark.sql.files.{key}", str(value))
+        manifest = self.manifest(base).where(~F.col("run").isin([n for g in groups for n in g]))
+        for names in groups:
+            run = f"merge-{uuid.uuid4().hex}"
+            packing.read.schema(schema).parquet(*[f"{self.root}/data/{n}" for n in names]).write.option("compression", "zstd").parquet(f"{self.root}/data/{run}")
+            manifest = manifest.unionByName(self._described(run, schema))
+        return self.commit(manifest, base)
 
     def read(self, schema, version: int | None = None) -> DataFrame:
-        """The rows of a version (default: the latest), with ``_metadata`` of their shard."""
-        paths = [r.path for r in self.manifest(version).select("path").toLocalIterator()]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        """The rows of a version (default: the latest), with ``_metadata`` of their shard; runs are read as folders."""
+        runs = [r.run for r in self.manifest(version).select("run").collect()]  # a row a run
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/data/{n}" for n in runs]) if runs else self.spark.createDataFrame([], schema)
 
     def vacuum(self) -> int:
-        """Delete shards that the latest version does not name; returns how many. Older versions end with it."""
-        live = self.manifest().select("path")
-        every = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(f"{self.root}/data").select("path")
-        plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
-        dead = every.select("path", plain(F.col("path")).alias("k")).join(live.select(plain(F.col("path")).alias("k")), "k", "left_anti")
-        n = 0
-        for r in dead.select("path").toLocalIterator():
-            fs, p = self._fs(r.path)
-            n += bool(fs.delete(p, False))
-        return n
+        """Delete the runs that the latest version does not name; returns how many. Older versions end with it."""
+        live = {r.run for r in self.manifest().select("run").collect()}
+        gone = 0
+        fs, data = self._fs(f"{self.root}/data")
+        for status in fs.listStatus(data) if fs.exists(data) else []:
+            name = status.getPath().getName()
+            if name not in live:
+                fs.delete(status.getPath(), True)
+                fs.delete(self._fs(f"{self.root}/shards/{name}")[1], True)
+                gone += 1
+        return gone

@@ -312,7 +312,7 @@ def test_warc_reader_validates(tmp_path):
 # --- 7: sharding -------------------------------------------------------------------------------
 def test_sharding_keeps_every_row_and_versions(spark, table):
     t = sharding.ShardedTable(spark, new_path(spark, "table"))
-    rows = table.unionByName(docs_of(spark, [None, "", "x"])).unionByName(table.limit(5)).withColumn("path", F.lit("clash"))
+    rows = table.unionByName(docs_of(spark, [None, "", "x"])).unionByName(table.limit(5)).withColumn("path", F.lit("clash")).withColumn("_metadata", F.lit("clash"))
     assert t.version() == 0 and t.compact(rows.schema) == 0
     assert t.append(rows, 20) == 1 and t.append(rows.limit(0), 20) == 2 and t.append(rows.limit(7), 3) == 3
     before = t.manifest().collect()
@@ -326,3 +326,33 @@ def test_sharding_keeps_every_row_and_versions(spark, table):
     with pytest.raises(Exception, match="exist"):
         t.commit(t.manifest(), 3)
     assert t.vacuum() > 0 and key(t.read(rows.schema)) == whole
+
+
+def test_compaction_plans_by_tier():
+    mb = 1 << 20
+    assert sharding.planned([("a", 3 * mb, 3)], 64 * mb) == []  # three shards do not fill a tier
+    assert sharding.planned([("a", 4 * mb, 4), ("b", 20 * mb, 1)], 64 * mb) == [["a"]]
+    assert sharding.planned([("a", 200 * mb, 4), ("b", 64 * mb, 1)], 64 * mb) == []  # settled
+    small = [(f"s{i}", mb // 2, 1) for i in range(4)]
+    assert sharding.planned([*small, ("m", 6 * mb, 3)], 64 * mb) == [["m", "s0", "s1", "s2", "s3"]]  # what the first tier becomes fills the second
+    assert [sharding.tier_of(x * mb) for x in (0.5, 1, 3.9, 4, 16, 63)] == [0, 1, 1, 2, 3, 3]
+
+
+def test_shards_are_bounded_and_merges_pack_up_to_the_target(spark):
+    t = sharding.ShardedTable(spark, new_path(spark, "table"))
+    rows = spark.range(0, 6000, numPartitions=3).select("id", F.sha2(F.col("id").cast("string"), 512).alias("x"))
+    for k, n in enumerate((4000, 1500, 400, 100)):
+        t.append(rows.where(f"id >= {(0, 4000, 5500, 5900)[k]} and id < {(4000, 5500, 5900, 6000)[k]}"), 100)
+        assert t.manifest().count() == k + 1
+    before = t.shards().collect()
+    assert max(r.rows for r in before) <= 100 and sum(r.rows for r in before) == 6000
+    target = 150_000
+    version = t.compact(rows.schema, target)
+    after = t.shards().collect()
+    whole = sum(r.bytes for r in before)
+    plain, room = 0, 0  # next fit, largest first
+    for size in sorted((r.bytes for r in before), reverse=True):
+        plain, room = (plain, room - size) if size <= room else (plain + 1, target - size)
+    assert version == 5 and len(after) == plain and whole / target <= plain <= 2 * whole / target + 1
+    assert sorted(r.id for r in t.read(rows.schema).collect()) == list(range(6000))
+    assert t.compact(rows.schema, target) == 5 or len(t.shards().collect()) <= len(after)
