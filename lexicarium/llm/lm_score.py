@@ -1,24 +1,31 @@
 """LM scoring by a weighted backoff automaton (operator 5).
 
 Tokens: the text's bytes with A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``, then one end token.
-The model is a word bigram with Dirichlet smoothing, as an automaton: every training word is a
-state; its arcs carry ``log10 (c(h w) + m P(w)) / (c(h) + m)`` for the words seen after it, its
-failure arc leads to the root with ``log10 m / (c(h) + m)``, and the root's arcs carry the base
-``log10 P(w) = log10 (c(w)+1)/(N+1*(V+1))``. A text is traversed from left to right; the state
-after a token is that token's (the root where training never saw it), so one pass of array lookups
-over the token sequence follows it. Each state's arcs and failure mass sum to one.
+The model is a trigram with Dirichlet smoothing, as an automaton. Its states are the root, the words and
+the pairs of words (the start of a text among them) that training holds; a state h of order k has
 
-The model grows with the corpus and is never broadcast. Texts are packed into blocks of about
-``BLOCK_BYTES``; a block asks for the counts of its distinct tokens and token pairs only:
+- an arc for every word w seen after it, ``log10 (c(h w) + m_k P(w | h')) / (c(h) + m_k)``, which leads to the longest
+  state that ends in w;
+- a failure arc ``log10 m_k / (c(h) + m_k)`` to h', h without its first word.
+
+The root's arcs are the base ``log10 P(w) = log10 (c(w)+1)/(N+1*(V+1))`` for every word, known or not. A text is
+traversed once from left to right: each token is read at the state that the tokens before it led to, failure arcs are
+followed until an arc takes it, and the weights add up (``traverse``). Each state's arcs and failure mass sum to one.
+
+The model grows with the corpus and is never broadcast. Texts are packed into blocks; a block asks for the counts of
+its distinct n-grams only:
 
 1. blocks: token streams as ranks into the block's sorted token hashes (shared-folder table);
-2. requests (kind, bucket of leading hash bits, block, keys, the block's own training counts) are
-   shuffled by bucket; a bucket holds about ``BUCKET_KEYS`` keys, so the number of buckets grows
-   with the corpus and a task's memory does not; counts of equal keys are summed and sent back to
-   each asking block, aligned with its keys. A frequent pair is one key a block, not one a use;
-3. each block meets its totals, builds its part of the automaton and scores its texts.
+2. requests (bucket of leading hash bits, block, keys, the block's own training counts) are shuffled by
+   bucket; counts of equal keys are summed and sent back to each asking block, aligned with its keys. A
+   frequent n-gram is one key a block, not one a use;
+3. each block meets its totals, builds its part of the automaton and traverses its texts.
+
+Blocks and buckets both grow with the square root of the corpus (``BLOCK_BYTES`` and ``BUCKET_KEYS`` at a corpus of 1 GB, up to
+``MOST_GROWTH`` times that), so the requests, a row for each block and bucket, grow in proportion to
+the corpus up to ``MOST_GROWTH`` squared GB; beyond that a block's memory stays and requests get shorter.
 
-Keys are 64-bit hashes. Defined results: null text is the empty text (one end token); repeated
+Keys are hashes of 40 bits within a bucket. Defined results: null text is the empty text (one end token); repeated
 rows are scored (and learned from) each; a null doc_id is scored, not held out and not learned
 from; without training texts the base score is log10(1/1) = 0 per token; an empty table gives an
 empty table.
@@ -40,8 +47,9 @@ from lexicarium.llm.store import written
 
 BLOCK_BYTES = 8 << 20
 BUCKET_KEYS = 400_000
-#: Weight m of the root's distribution in every state, in tokens.
-PRIOR_TOKENS = 100.0
+MOST_GROWTH = 4.0
+#: Weights m of the shorter history's distribution in the states of one and of two words, in tokens; of seven pairs tried on sf0.1 the region of the best held-out likelihood.
+PRIOR_TOKENS = (400.0, 40.0)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _START, _END = np.uint64(xxhash.xxh64_intdigest(b"\t")), xxhash.xxh64_intdigest(b"\n")  # no word holds white space
 
@@ -74,21 +82,39 @@ def _block(ids, held, learn, raws) -> tuple:
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     tokens = rank[np.array(stream, np.int64)]  # -1: the end token, last of hashes
-    vocabulary = hashes[order]
-    pairs = len(np.unique(pair_keys(vocabulary, tokens, np.array(lengths))))
     packed = zlib.compress(_planes(tokens.astype("<u4")), 1)
-    return uuid.uuid4().hex, ids, held, learn, lengths, pack(vocabulary), packed, len(vocabulary) + pairs
+    return uuid.uuid4().hex, ids, held, learn, lengths, pack(hashes[order]), packed, len(hashes) + 2 * len(tokens)
 
 
-def pair_keys(vocabulary: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The key of (previous token or start, token) at every position."""
-    h = vocabulary[tokens]
-    before = np.concatenate([[_START], h[:-1]])
-    before[np.cumsum(lengths)[:-1]] = _START
+def _joined(before: np.ndarray, h: np.ndarray) -> np.ndarray:
     mixed = (before ^ (before >> np.uint64(31))) * _MIX + h
     return (mixed ^ (mixed >> np.uint64(32))) * _MIX
 
 
+def ngrams(vocabulary: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of (previous word or start, word) and of (the two before, word) at every position; a text's first position has no third order and repeats the second."""
+    h = vocabulary[tokens]
+    first = np.cumsum(lengths)[:-1]
+    before = np.concatenate([[_START], h[:-1]])
+    before[first] = _START
+    pair = _joined(before, h)
+    history = np.concatenate([pair[:1], pair[:-1]])  # the pair that ends at the word before
+    triple = _joined(history, ~h)
+    start = np.concatenate([[0], first])
+    triple[start] = pair[start]
+    return pair, triple
+
+
+def block_keys(vocabulary: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The block's sorted distinct keys (bucket and 40 bits, the last telling words from longer n-grams) and where its words, pairs and triples stand among them."""
+    pair, triple = ngrams(vocabulary, tokens, lengths)
+    shift, one = np.uint64(24 - bits), np.uint64(1)
+    keys = np.concatenate([(vocabulary >> shift) | one, (pair >> shift) & ~one, (triple >> shift) & ~one])
+    keys, at = np.unique(keys, return_inverse=True)
+    n, v = len(tokens), len(vocabulary)
+    return keys, at[:v][tokens], at[v : v + n], at[v + n :]
+
+
 def _to_blocks(batches: Iterable[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = np.array([len(x) if x is not None else 0 for x in batch.column("raw").to_pylist()], np.int64)
@@ -102,8 +128,8 @@ def _to_blocks(batches: Iterable[pa.RecordBatch], block_bytes: int) -> Iterator[
 
 
 BLOCK_TYPES = {"block": pa.string(), "doc_ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "learn": pa.list_(pa.bool_()), "lengths": pa.list_(pa.int32()), "vocabulary": pa.binary(), "stream": pa.binary(), "n_keys": pa.int64()}
-REQUEST_TYPES = {"kind": pa.int32(), "bucket": pa.int64(), "block": pa.string(), "keys": pa.binary(), "counts": pa.binary()}
-TOTAL_TYPES = {"kind": pa.int32(), "bucket": pa.int64(), "block": pa.string(), "totals": pa.binary(), "n_distinct": pa.int64(), "mass": pa.int64()}
+REQUEST_TYPES = {"bucket": pa.int64(), "block": pa.string(), "keys": pa.binary(), "counts": pa.binary()}
+TOTAL_TYPES = {"bucket": pa.int64(), "block": pa.string(), "totals": pa.binary(), "n_distinct": pa.int64(), "mass": pa.int64()}
 RESULT_TYPES = {"doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
 
 
@@ -123,13 +149,13 @@ def _requests(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.Recor
     for batch in batches:
         for row in batch.to_pylist():
             vocabulary, tokens, lengths, learn = _open(row)
-            pairs, at = np.unique(pair_keys(vocabulary, tokens, lengths), return_inverse=True)
-            out = []
-            for kind, keys, where in ((0, vocabulary, tokens), (1, pairs, at)):
-                counts = np.bincount(where[learn], minlength=len(keys)).astype(np.uint32)
-                bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-                edges = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() + [len(keys)]
-                out += [(kind, int(bucket[a]), row["block"], pack(keys[a:b]), _planes(counts[a:b])) for a, b in zip(edges, edges[1:], strict=False)]
+            keys, words, pairs, triples = block_keys(vocabulary, tokens, lengths, bits)
+            inner = np.ones(len(tokens), bool)
+            inner[np.cumsum(lengths) - lengths] = False  # where a text starts there is no triple
+            counts = sum(np.bincount(where[learn & use], minlength=len(keys)) for where, use in ((words, True), (pairs, True), (triples, inner))).astype(np.uint32)
+            bucket = (keys >> np.uint64(40)).astype(np.int64)
+            edges = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() + [len(keys)]
+            out = [(int(bucket[a]), row["block"], pack(keys[a:b] & np.uint64((1 << 40) - 1)), _planes(counts[a:b])) for a, b in zip(edges, edges[1:], strict=False)]
             for a in range(0, len(out), 512):
                 yield _rows(out[a : a + 512], REQUEST_TYPES)
 
@@ -144,45 +170,69 @@ def _plain(data: bytes, kind: str) -> np.ndarray:
 
 
 def _sum_bucket(table: pa.Table) -> pa.Table:
-    """Totals of one bucket's keys, to every block that asked."""
-    rows = table.to_pylist()
+    """Totals of one bucket's keys, to every block that asked; the first answer carries the bucket's distinct words and their mass."""
+    rows = table.select(["bucket", "block", "keys", "counts"]).to_pylist()
     keys = [unpack(r["keys"]) for r in rows]
-    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.bincount(at, weights=np.concatenate([_plain(r["counts"], "<u4") for r in rows])).astype(np.uint64)
+    words = totals[(found & np.uint64(1)) == 1]
     ends = np.cumsum([len(k) for k in keys])
     out = []
     for i, (r, end, k) in enumerate(zip(rows, ends, keys, strict=True)):
         mine = totals[at[end - len(k) : end]]
-        out.append((r["kind"], r["bucket"], r["block"], zlib.compress(_planes(mine), 1), int((totals > 0).sum()) if i == 0 else 0, int(totals.sum()) if i == 0 else 0))
+        out.append((r["bucket"], r["block"], zlib.compress(_planes(mine), 1), int((words > 0).sum()) if i == 0 else 0, int(words.sum()) if i == 0 else 0))
     return pa.Table.from_batches([_rows(out, TOTAL_TYPES)])
 
 
-def _score_block(blocks: pa.Table, totals: pa.Table, n_train: int, n_types: int, prior: float) -> pa.Table:
+def traverse(words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, first: np.ndarray, starts: float, n_train: int, n_types: int, prior: tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """(base, score) of every position, from the training counts of the word, pair and triple that end there; first: where texts start; starts: how many texts training holds.
+
+    ``state`` is what the traversal carries: 2, 1 or 0 for the longest state that the tokens before a position end in.
+    """
+    root = np.log10((words + 1) / (n_train + 1.0 * (n_types + 1)))
+    held = [None, np.concatenate([[starts], words[:-1]]), np.concatenate([[0.0], pairs[:-1]])]  # c of the states of one and two words
+    held[1][first], held[2][first] = starts, 0
+    arcs, seen, fail = [root], [None, pairs, triples], [None]
+    for k in (1, 2):
+        arcs.append(np.log10((seen[k] + prior[k - 1] * 10.0 ** arcs[k - 1]) / (held[k] + prior[k - 1])))
+        fail.append(np.log10(prior[k - 1] / (held[k] + prior[k - 1])))
+    state = np.where(held[2] > 0, 2, np.where(held[1] > 0, 1, 0))
+    score, waiting = np.zeros(len(words)), np.arange(len(words))
+    while len(waiting):  # at most two failures
+        at = state[waiting]
+        taken = at == 0
+        for k in (1, 2):
+            taken |= (at == k) & (seen[k][waiting] > 0)
+        for k in (0, 1, 2):
+            here = waiting[taken & (at == k)]
+            score[here] += arcs[k][here]
+            if k:
+                here = waiting[~taken & (at == k)]
+                score[here] += fail[k][here]
+        waiting = waiting[~taken]
+        state[waiting] -= 1
+    return root, score
+
+
+def _score_block(blocks: pa.Table, totals: pa.Table, bits: int, n_train: int, n_types: int, prior: tuple[float, float]) -> pa.Table:
     """Build the block's part of the automaton and traverse its texts."""
     rows = []
     for row in blocks.to_pylist():
         vocabulary, tokens, lengths, _ = _open(row)
-        found = sorted(totals.to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
-        counts = [np.concatenate([_plain(zlib.decompress(r["totals"]), "<u8") for r in found if r["kind"] == k]).astype(np.float64) for k in (0, 1)]
-        _, arc = np.unique(pair_keys(vocabulary, tokens, lengths), return_inverse=True)
-        root = np.log10((counts[0] + 1) / (n_train + 1.0 * (n_types + 1)))  # the root's arcs
+        found = sorted(totals.to_pylist(), key=lambda r: r["bucket"])
+        count = np.concatenate([_plain(zlib.decompress(r["totals"]), "<u8") for r in found]).astype(np.float64)
+        _, words, pairs, triples = block_keys(vocabulary, tokens, lengths, bits)
         first = np.cumsum(lengths) - lengths
-        end = tokens[-1]
-        state = np.concatenate([[end], tokens[:-1]])
-        state[first] = end  # a text starts as often as one ends
-        seen, held = counts[1][arc], counts[0][state]
-        fail = np.log10(prior / (held + prior))  # 0 at states that training never saw: they are the root
-        with np.errstate(divide="ignore"):
-            follow = np.log10((seen + prior * 10.0 ** root[tokens]) / (held + prior))
-        step = np.where(seen > 0, follow, fail + root[tokens])
-        base, score = np.add.reduceat(root[tokens], first), np.add.reduceat(step, first)
-        known = np.add.reduceat((counts[0][tokens] > 0).astype(np.int64), first)
-        rows += zip(row["doc_ids"], row["held"], lengths.tolist(), known.tolist(), base.tolist(), score.tolist(), strict=True)
+        seen = count[triples]
+        seen[first] = 0
+        known = count[words]
+        base, score = traverse(known, count[pairs], seen, first, known[-1], n_train, n_types, prior)  # the last word is an end: as many as starts
+        rows += zip(row["doc_ids"], row["held"], lengths.tolist(), np.add.reduceat((known > 0).astype(np.int64), first).tolist(), np.add.reduceat(base, first).tolist(), np.add.reduceat(score, first).tolist(), strict=True)
     return pa.Table.from_batches([_rows(rows, RESULT_TYPES)])
 
 
-def score_corpus(docs: DataFrame, fold: int = 7, held_fold: int = 2, prior: float = PRIOR_TOKENS, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row a row of docs."""
+def score_corpus(docs: DataFrame, fold: int = 7, held_fold: int = 2, prior: tuple[float, float] = PRIOR_TOKENS, block_bytes: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row a row of docs; ``block_bytes`` sets the blocks' size by hand."""
     part = F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % fold
     keyed = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
@@ -190,14 +240,17 @@ def score_corpus(docs: DataFrame, fold: int = 7, held_fold: int = 2, prior: floa
         F.coalesce(part != held_fold, F.lit(False)).alias("learn"),
         F.col(f"`{text_col}`").cast("binary").alias("raw"),
     )
+    size = keyed.agg(F.coalesce(F.sum(F.octet_length("raw")), F.lit(0)).alias("n")).first().n
+    growth = min(MOST_GROWTH, max(1 / 16, (size / 1e9) ** 0.5))
+    block_bytes = block_bytes or int(BLOCK_BYTES * growth)
     blocks = written(keyed.mapInArrow(lambda it: _to_blocks(it, block_bytes), BLOCK_SCHEMA), "lm-blocks")
     keys = blocks.agg(F.coalesce(F.sum("n_keys"), F.lit(0)).alias("n")).first().n
-    bits = max(0, int(np.ceil(np.log2(max(1.0, keys / BUCKET_KEYS)))))
-    asked = blocks.mapInArrow(lambda it: _requests(it, bits), "kind int, bucket long, block string, keys binary, counts binary")
-    totals = written(asked.groupBy("kind", "bucket").applyInArrow(_sum_bucket, "kind int, bucket long, block string, totals binary, n_distinct long, mass long"), "lm-totals")
-    whole = totals.where("kind = 0").agg(F.coalesce(F.sum("n_distinct"), F.lit(0)).alias("v"), F.coalesce(F.sum("mass"), F.lit(0)).alias("n")).first()
+    bits = min(24, max(0, int(np.ceil(np.log2(max(1.0, keys / (BUCKET_KEYS * growth)))))))
+    asked = blocks.mapInArrow(lambda it: _requests(it, bits), "bucket long, block string, keys binary, counts binary")
+    totals = written(asked.groupBy("bucket").applyInArrow(_sum_bucket, "bucket long, block string, totals binary, n_distinct long, mass long"), "lm-totals")
+    whole = totals.agg(F.coalesce(F.sum("n_distinct"), F.lit(0)).alias("v"), F.coalesce(F.sum("mass"), F.lit(0)).alias("n")).first()
     n_train, n_types = int(whole.n), int(whole.v)
     # what is asked and answered only: the other columns stay behind
-    answers = totals.select("block", "kind", "bucket", "totals")
-    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _score_block(a, b, n_train, n_types, prior), RESULT_SCHEMA)
+    answers = totals.select("block", "bucket", "totals")
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _score_block(a, b, bits, n_train, n_types, prior), RESULT_SCHEMA)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score")

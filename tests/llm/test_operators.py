@@ -8,6 +8,7 @@ import random
 import struct
 import zlib
 
+import numpy as np
 import pytest
 import tiktoken
 from public_tokenizers import PATTERN
@@ -194,41 +195,85 @@ def test_connected_components_of_a_chain(spark):
 
 
 # --- 5: LM scoring -----------------------------------------------------------------------------
-def test_lm_score_matches_a_plain_automaton(spark, table):
-    extra = [None, "", "A b\x0bC", "a b c " * 300, "é É"]
+def plain_automaton(texts, prior):
+    """States as dictionaries: arcs, failure weight; one token after the other. Returns N and a function text -> (tokens, known, base, score)."""
+    count, starts = collections.Counter(), 0
+    for words_ in texts:
+        history = ("<s>", *words_)
+        starts += 1
+        for i in range(1, len(history)):
+            for k in range(3):
+                if k <= i:
+                    count[history[i - k : i + 1]] += 1
+    n, v = sum(c for g, c in count.items() if len(g) == 1), sum(len(g) == 1 for g in count)
+    count["<s>",] = starts
+    states = {(): {}}
+    for g in count:
+        if len(g) > 1:
+            states.setdefault(g[:-1], {})[g[-1]] = count[g]
+    p0 = lambda w: (count[w,] * (w != "<s>") + 1) / (n + v + 1)
+
+    def chance(h, w):
+        if not h:
+            return p0(w)
+        return (states.get(h, {}).get(w, 0) + prior[len(h) - 1] * chance(h[1:], w)) / (count[h] + prior[len(h) - 1])
+
+    def longest(h):
+        while h and not count[h]:
+            h = h[1:]
+        return h
+
+    def read(words_):
+        state, score, base = longest(("<s>",)), 0.0, 0.0
+        for w in words_:
+            base += math.log10(p0(w))
+            at = state
+            while at and w not in states.get(at, {}):
+                score += math.log10(prior[len(at) - 1] / (count[at] + prior[len(at) - 1]))
+                at = at[1:]
+            score += math.log10(chance(at, w))
+            state = longest((*state, w)[-2:])
+        return len(words_), sum(count[w,] > 0 for w in words_), base, score
+
+    return n, read
+
+
+@pytest.mark.parametrize("block_bytes", [60_000, None])
+def test_lm_score_matches_a_plain_automaton(spark, table, block_bytes):
+    extra = [None, "", "A b\x0bC", "a b c " * 300, "é É", "a b c", "x a b"]
     d = table.unionByName(spark.createDataFrame([(1000 + i, t, "en", "s", 0) for i, t in enumerate(extra)], DOC))
-    d = d.unionByName(d.where("doc_id = 3"))
+    d = d.unionByName(d.where("doc_id = 3")).unionByName(spark.createDataFrame([(None, "a b c", "en", "s", 0)], DOC))
     rows = [(r.doc_id, r.text) for r in d.collect()]
-    tokens = lambda t: (t or "").encode().lower().split() + [b"\n"]
-    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
-    uni, pair, starts = collections.Counter(), collections.Counter(), 0
-    for i, t in rows:
-        if not held(i):
-            w = tokens(t)
-            uni.update(w)
-            pair.update(zip([b"\t", *w], w))
-            starts += 1
-    n, v, m = sum(uni.values()), len(uni), lm_score.PRIOR_TOKENS
+    tokens = lambda t: [*(t or "").encode().lower().split(), b"\n"]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    n, read = plain_automaton([tokens(t) for i, t in rows if i is not None and not held(i)], lm_score.PRIOR_TOKENS)
     expect = collections.Counter()
     for i, t in rows:
-        base = score = 0.0
-        before, count = b"\t", starts
-        for w in tokens(t):
-            p = (uni[w] + 1) / (n + v + 1)
-            base += math.log10(p)
-            score += math.log10((pair[before, w] + m * p) / (count + m))
-            before, count = w, uni[w]
-        expect[i, held(i), len(tokens(t)), sum(w in uni for w in tokens(t)), n, round(base, 6), round(score, 6)] += 1
-    got = collections.Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in lm_score.score_corpus(d, block_bytes=60_000).collect())
+        tok, known, base, score = read(tokens(t))
+        expect[i, held(i), tok, known, n, round(base, 5), round(score, 5)] += 1
+    got = collections.Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in lm_score.score_corpus(d, block_bytes=block_bytes).collect())
     assert got == expect
-    assert lm_score.score_corpus(d.limit(0)).count() == 0
+
+
+def test_lm_score_edges(spark, table):
+    assert lm_score.score_corpus(table.limit(0)).count() == 0
+    alone = spark.createDataFrame([(None, "a b", "en", "s", 0)], DOC)  # nothing to learn from
+    assert [(r.n_known, r.train_tokens, r.base_score, r.score) for r in lm_score.score_corpus(alone).collect()] == [(0, 0, 0.0, 0.0)]
 
 
 def test_lm_states_sum_to_one():
-    uni, follow = {"a": 3, "b": 2, "e": 1}, {"a": 2, "b": 1}
-    n, v, m = 6, 3, lm_score.PRIOR_TOKENS
-    p = {w: (c + 1) / (n + v + 1) for w, c in uni.items()} | {"?": 1 / (n + v + 1)}
-    assert math.isclose(sum((follow.get(w, 0) + m * p[w]) / (3 + m) for w in p), 1)
+    texts = ["a b a c".split() + ["e"], "b a b".split() + ["e"]]
+    count = lambda *g: sum(tuple(t[i : i + len(g)]) == g for t in (["<s>", *t] for t in texts) for i in range(len(t)))
+    words_, n, v = ["a", "b", "c", "e", "?"], 9, 4
+    for h in (("<s>",), ("a",), ("b", "a"), ("<s>", "b"), ("a", "b")):
+        w = np.array([count(x) for x in words_], float)
+        with np.errstate(divide="ignore"):
+            total = 0.0
+            for x, c in zip(words_, w, strict=True):
+                counts = np.array([c, c]), np.array([0.0, count(h[-1], x)]), np.array([0.0, count(*h, x) if len(h) == 2 else 0.0])
+                counts[0][0], counts[1][0] = (len(texts) if h[-1] == "<s>" else count(h[-1])), (count(*h) if len(h) == 2 else 0)
+                total += 10 ** lm_score.traverse(*counts, np.array([0]), 2.0, n, v, (60.0, 5.0))[1][1]
+        assert math.isclose(total, 1, rel_tol=1e-9)
 
 
 # --- 1: language -------------------------------------------------------------------------------
