@@ -5,19 +5,23 @@ words between white space) is at least 0.8. ``similarity_join`` returns one row
 ``class_id`` (the least doc_id of its connected component of links) and ``n_links`` (how many other
 documents it is similar to, exact copies included).
 
-Method. Texts that are equal are folded into one node first, so copies cost nothing later. Each
-node gets ``TREES`` sequences of MinHash values, the paths of ``TREES`` prefix tries. Starting from
-the deepest prefix, the matched prefix is shortened until a pair at the threshold shares a prefix
-in some trie with at least the target recall (``prefix_depth``); sorting the prefixes puts the
-nodes of one trie branch side by side. Branches of two or more nodes are verified exactly on the
-shingle sets of whole texts. A branch whose members equal those of an earlier trie's branch is
-verified once, and a pair is counted only in the first trie that it shares, so links are counted
-once without a distinct over pairs.
-
-Skew. A branch with more than ``BLOCK`` nodes is dealt into blocks and the pairs of blocks become
-units of work of at most 2 x BLOCK texts; a unit counts its links in a matrix product and returns
-one row a member (its links and the root of its component within the unit), never the pairs. No
-branch is capped or dropped.
+Forest. Texts of equal shingle sets are folded into one node, so copies cost nothing later. Each node has a path in each of
+``TREES`` prefix tries: ``MAX_DEPTH`` MinHash values of ``LEVEL_BITS`` bits, most significant first, so that sorted
+paths are the sorted trie and a branch is a run of equal prefixes. The matched prefix starts at the deepest level and is shortened
+
+- for all branches until the recall computed at the threshold and the recall measured reach the target. Measured:
+  documents with ids divisible by 100 (at most ``QUERIES`` of them, drawn by hash) are joined exactly with all rows
+  in the signing pass, which also notes how deep each true pair meets (``forest_depth``);
+- then, branch by branch, by one more level where a node has met no other in any trie.
+
+Verification is exact, on the shingle sets of whole texts. In a branch of more than ``BLOCK`` nodes, each node is first compared
+with one representative (the ball's centre): nodes at a distance of at most half the threshold's are similar to each other by the triangle
+inequality of the Jaccard distance, so a ball's links are counted from its size. What is left of a branch is dealt into blocks of about
+``BLOCK`` nodes, and pairs of blocks that are not of one ball become units of work, which count their
+links in a matrix product and return one row a member (its links and the root of its component within the unit), never the pairs. So a group
+of close copies costs one comparison a node; only nodes farther apart than a ball meet pair by pair. No branch is capped or
+dropped. A branch whose members equal those of an earlier trie's branch is verified once, and a pair is counted only in
+the first trie that it shares.
 
 Defined results: null texts and texts without words form a class of their own each and have no
 link; texts of one to four words have one shingle, all their words; repeated rows are copies of
@@ -27,6 +31,7 @@ other); an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,17 +40,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexicarium.llm.store import written
+from lexicarium.llm.store import delete, stored, written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 TREES = 16
-MAX_DEPTH = 8
+MAX_DEPTH = 5
+LEVEL_BITS = 12
 TARGET_RECALL = 0.9995
-BLOCK = 512
+#: The sample of exactly joined queries: at most so many documents, of at most so many shingles each.
+QUERIES = 512
+QUERY_SHINGLES = 5_000
+BLOCK = 256
 SEED = 20_031
-#: Candidate keys (under 200 bytes each) are broadcast to the texts up to this many, else both sides are shuffled.
+#: Rows of under 200 bytes are broadcast up to this many, shingle sets up to CENTRES, else both sides are shuffled.
 BROADCAST_ROWS = 200_000
+CENTRES = 5_000
+#: Parts of a hot key where a join beyond the broadcast meets one.
+SALTS = 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -84,32 +96,77 @@ def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, target: float
     return depth
 
 
-def _functions(trees: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def _functions(trees: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
-    a = rng.integers(0, 1 << 63, trees * depth, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
-    return a, rng.integers(0, 1 << 63, trees * depth, dtype=np.uint64)
+    a = rng.integers(0, 1 << 63, trees * MAX_DEPTH, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+    return a, rng.integers(0, 1 << 63, trees * MAX_DEPTH, dtype=np.uint64)
 
 
-def prefixes(shingles: np.ndarray, trees: int, depth: int, functions=None) -> np.ndarray:
-    """One 64-bit label a trie: its index and the first ``depth`` MinHash values of its path."""
-    a, b = functions or _functions(trees, depth)
+def trie_paths(shingles: np.ndarray, trees: int, functions=None) -> np.ndarray:
+    """A node's path in each trie, as one integer: LEVEL_BITS of each of its MAX_DEPTH MinHash values."""
+    a, b = functions or _functions(trees)
     least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 4096):
         np.minimum(least, (a[:, None] * shingles[None, at : at + 4096] + b[:, None]).min(axis=1), out=least)
-    label = np.arange(1, trees + 1, dtype=np.uint64)
-    for k in range(depth):
-        label = (label ^ (label >> np.uint64(31))) * _MIX + least.reshape(trees, depth)[:, k]
-    return (label ^ (label >> np.uint64(32))).view(np.int64)
-
-
-def _sign(batches: Iterable[pa.RecordBatch], trees: int, depth: int) -> Iterator[pa.RecordBatch]:
-    known, functions = WordHashes(), _functions(trees, depth)
+    digit = ((least ^ (least >> np.uint64(29))) * _MIX >> np.uint64(64 - LEVEL_BITS)).reshape(trees, MAX_DEPTH)
+    path = np.zeros(trees, np.uint64)
+    for k in range(MAX_DEPTH):
+        path = path << np.uint64(LEVEL_BITS) | digit[:, k]
+    return path.view(np.int64)
+
+
+def met_at(a: np.ndarray, b: np.ndarray) -> int:
+    """The deepest level at which two nodes share a branch of some trie."""
+    apart = int((a ^ b).min())
+    return MAX_DEPTH - -(-apart.bit_length() // LEVEL_BITS)
+
+
+class Sample:
+    """Queries (sorted shingle sets and paths) that each signed node is compared with exactly."""
+
+    def __init__(self, sets: list[np.ndarray], paths: list[np.ndarray]):
+        self.sizes, self.paths = np.array([len(s) for s in sets], np.int64), paths
+        flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+        order = np.argsort(flat, kind="stable")
+        self.shingles, self.owner = flat[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def hits(self, shingles: np.ndarray, path: np.ndarray, threshold: float) -> np.ndarray | None:
+        """How many queries of another shingle set are similar to the node, by the level where they meet it."""
+        lo, hi = np.searchsorted(self.shingles, shingles), np.searchsorted(self.shingles, shingles, "right")
+        lo, n = lo[hi > lo], (hi - lo)[hi > lo]
+        if not len(n):
+            return None
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        shared = np.bincount(self.owner[at], minlength=len(self.sizes))
+        union = self.sizes + len(shingles) - shared
+        near = np.flatnonzero((shared >= threshold * union) & (shared < union))
+        return np.bincount([met_at(self.paths[q], path) for q in near], minlength=MAX_DEPTH + 1) if len(near) else None
+
+
+def _sign(batches: Iterable[pa.RecordBatch], trees: int, sample, threshold: float) -> Iterator[pa.RecordBatch]:
+    known, functions = WordHashes(), _functions(trees)
+    queries = pickle.loads(sample.value)
     for batch in batches:
-        labels = []
+        nodes, paths, hits = [], [], []
         for text in batch.column("text"):
             s = shingle_set(text.as_py(), known)
-            labels.append(prefixes(s, trees, depth, functions) if len(s) else None)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), pa.array(labels, pa.list_(pa.int64()))], names=["doc_id", "node", "labels"])
+            path = trie_paths(s, trees, functions) if len(s) else None
+            found = queries.hits(s, path, threshold) if len(s) and len(queries.shingles) else None
+            nodes.append(xxhash.xxh128_digest(s.tobytes()) if len(s) else None)
+            paths.append(path)
+            hits.append(found)
+        columns = [batch.column("doc_id"), batch.column("th"), pa.array(nodes, pa.binary()), pa.array(paths, pa.list_(pa.int64())), pa.array(hits, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "node", "paths", "hits"])
+
+
+def _shingled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingle sets of texts, in place of the texts."""
+    known = WordHashes()
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1024):
+            part = batch.slice(start, 1024)
+            sets = [shingle_set(t.as_py(), known).view(np.int64) for t in part.column("text")]
+            yield pa.RecordBatch.from_arrays([part.column("node"), part.column("copies"), part.column("paths"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "copies", "paths", "shingles"])
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -143,16 +200,19 @@ def _roots(linked: np.ndarray, nodes: list[bytes]) -> list[bytes]:
     return [ordered[r] for r in rank]
 
 
-def _unit(rows: list[tuple], trie: int, cross: bool, threshold: float, known: WordHashes) -> Iterator[tuple]:
+def _unit(rows: list[tuple], trie: int, shift: int, cross: bool, threshold: float) -> Iterator[tuple]:
     """(node, root, links) of the members of one unit that have a link counted in it."""
-    sides, copies, nodes, labels, texts = zip(*rows, strict=True)
-    sets = [shingle_set(t, known) for t in texts]
+    sides, copies, nodes, balls, paths, shingles = zip(*rows, strict=True)
+    sets = [np.array(x, np.int64).view(np.uint64) for x in shingles]
     size = np.array([len(s) for s in sets], np.float64)
     linked = overlaps(sets) * (1 + threshold) >= threshold * (size[:, None] + size[None, :]) - 1e-6
     np.fill_diagonal(linked, False)
-    table = np.array(labels, np.int64)
+    table = np.array(paths, np.int64) >> shift
     for t in range(trie):  # counted in an earlier trie
         linked &= table[:, t][:, None] != table[:, t][None, :]
+    index = {b: i for i, b in enumerate(dict.fromkeys(balls))}
+    ball = np.array([index[b] for b in balls])
+    linked &= (ball[:, None] != ball[None, :]) | (np.array([b is None for b in balls]))[:, None]  # counted by their ball
     if cross:
         side = np.array(sides)
         linked &= side[:, None] != side[None, :]
@@ -162,90 +222,185 @@ def _unit(rows: list[tuple], trie: int, cross: bool, threshold: float, known: Wo
             yield node, root, int(n)
 
 
+UNIT = ["depth", "t", "label", "lo", "hi"]
+
+
 def _verify(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """Batches sorted by unit; a unit may span batches."""
-    known, unit, rows, out = WordHashes(), None, [], []
+    unit, rows, out = None, [], []
 
     def packed() -> pa.RecordBatch:
         columns = zip(*out, strict=True) if out else ([], [], [])
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.binary(), pa.int64()), strict=True)], names=["node", "root", "links"])
 
+    def ended() -> None:
+        if len(rows) > 1:
+            depth, t, _, lo, hi = unit
+            out.extend(_unit(rows, t, LEVEL_BITS * (MAX_DEPTH - depth), lo != hi, threshold))
+
     for batch in batches:
-        for start in range(0, batch.num_rows, 1024):
-            part = batch.slice(start, 1024)
-            for t, label, lo, hi, side, copies, node, labels, text in zip(*[c.to_pylist() for c in part.columns], strict=True):
-                if (label, lo, hi) != unit:
-                    if len(rows) > 1:
-                        out.extend(_unit(rows, trie, unit[1] != unit[2], threshold, known))
-                    unit, trie, rows = (label, lo, hi), t, []
-                rows.append((side, copies, node, labels, text))
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            for depth, t, label, lo, hi, *row in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                if (depth, t, label, lo, hi) != unit:
+                    ended()
+                    unit, rows = (depth, t, label, lo, hi), []
+                rows.append(tuple(row))
             yield packed()
             out.clear()
-    if len(rows) > 1:
-        out.extend(_unit(rows, trie, unit[1] != unit[2], threshold, known))
+    ended()
     yield packed()
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """(node, component): the least node each node reaches over edges (u, v); least-label steps with pointer jumping, a shared-folder table a round."""
-    both = written(edges.where("u <> v").select("u", "v").union(edges.where("u <> v").select("v", "u")).distinct(), f"{name}-edges")
-    labels = written(both.groupBy(F.col("u").alias("node")).agg(F.min(F.least("u", "v")).alias("component")), name)
+    """(node, component): the least node each node reaches over edges (u, v); least-label steps with pointer jumping, a shared-folder table a round, of which the last stays."""
+    spark = edges.sparkSession
+    both, edge_path = stored(edges.where("u <> v").select("u", "v").union(edges.where("u <> v").select("v", "u")).distinct(), f"{name}-edges")
+    labels, path = stored(both.groupBy(F.col("u").alias("node")).agg(F.min(F.least("u", "v")).alias("component")), name)
     while True:
         near = both.join(labels, both["v"] == labels["node"]).groupBy("u").agg(F.min("component").alias("near"))
         step = labels.join(near, labels["node"] == near["u"]).select("node", F.col("component").alias("old"), F.least("component", "near").alias("next"))
         far = labels.select(F.col("node").alias("at"), F.col("component").alias("far"))
-        jumped = written(step.join(far, step["next"] == far["at"], "left").select("node", "old", F.least("next", F.coalesce("far", "next")).alias("component")), name)
-        labels = jumped.select("node", "component")
+        jumped, new = stored(step.join(far, step["next"] == far["at"], "left").select("node", "old", F.least("next", F.coalesce("far", "next")).alias("component")), name)
+        delete(spark, path)
+        labels, path = jumped.select("node", "component"), new
         if jumped.where("component <> old").isEmpty():
+            delete(spark, edge_path)
             return labels
 
 
-def classified(docs: DataFrame, threshold: float, trees: int, recall: float, block: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node) of every row, node null where there is no word; and of every node its class, copies, links, and whether it stands for its class."""
+def _sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df, marked for broadcast when it is counted to be small."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def query_sample(keyed: DataFrame, trees: int, most: int = QUERIES) -> Sample:
+    """The exactly joined queries: of the rows whose id is divisible by 100, ``most`` by a hash (the share is set by their count)."""
+    rows = keyed.where(F.col("doc_id") % 100 == 0).where(F.col("text").isNotNull())
+    share = most / max(1, rows.count())
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit("queries"), "doc_id"), 11) / F.lit(float(1 << 53))
+    drawn = rows.where(draw < share).select(F.col("th").alias("node"), F.lit(1).cast("long").alias("copies"), F.array().cast("array<long>").alias("paths"), "text")
+    sets = [np.array(r.shingles, np.int64).view(np.uint64) for r in drawn.mapInArrow(_shingled, "node binary, copies long, paths array<long>, shingles array<long>").where(F.size("shingles").between(1, QUERY_SHINGLES)).select("shingles").limit(2 * most).collect()]
+    return Sample(sets, [trie_paths(s, trees) for s in sets])
+
+
+def forest_depth(signed: DataFrame, threshold: float, trees: int, recall: float) -> tuple[int, float | None]:
+    """(depth, measured recall at it): the computed depth, shortened until the sample's true pairs meet with the target recall; None without such pairs."""
+    hits = signed.where("hits is not null").agg(*[F.coalesce(F.sum(F.get("hits", F.lit(k))), F.lit(0)) for k in range(MAX_DEPTH + 1)]).first()
     depth = prefix_depth(threshold, trees, recall)
-    keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.unhex(F.md5(F.col(f"`{text_col}`"))).alias("node"), F.col(f"`{text_col}`").alias("text"))
-    signed = keyed.mapInArrow(lambda it: _sign(it, trees, depth), "doc_id long, node binary, labels array<long>")
-    signed = written(signed.withColumn("node", F.when(F.col("labels").isNotNull(), F.col("node"))), "signatures")
-    nodes = written(signed.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.first("labels").alias("labels")), "nodes")
-    slots = nodes.select("node", F.posexplode("labels").alias("t", "label"))
-    branches = slots.groupBy("t", "label").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(SEED), "node")).alias("y")).where("c > 1")
-    distinct = written(branches.groupBy("c", "x", "y").agg(F.min(F.struct("t", "label")).alias("k")).select("k.t", "k.label", "c"), "branches")
-    members = written(slots.join(distinct, ["t", "label"]).select("t", "label", "c", "node"), "members")
-    wanted = written(nodes.join(members.select("node").distinct(), "node").select("node", "least", "copies", "labels"), "wanted")
-    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    texts = keyed.join(few, (keyed["node"] == few["node"]) & keyed["doc_id"].eqNullSafe(few["least"])).select(few["node"], "copies", "labels", "text").dropDuplicates(["node"])
-    parts = F.ceil(F.col("c") / F.lit(float(block))).cast("int")
-    dealt = members.select("t", "label", "node", parts.alias("parts")).withColumn("side", F.pmod(F.xxhash64(F.lit(SEED + 1), "node"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    units = dealt.select("t", "label", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "node")
-    rows = units.join(texts, "node").select("t", "label", "lo", "hi", "side", "copies", "node", "labels", "text")
-    rows = rows.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi")
+    at = lambda d: sum(hits[d:]) / sum(hits) if sum(hits) else None
+    while depth > 1 and sum(hits) and at(depth) < recall:
+        depth -= 1
+    return depth, at(depth)
+
+
+def _branches(slots: DataFrame, depth: int) -> DataFrame:
+    """(depth, t, label, c, node, lonely): the members of branches of two or more nodes, of which one at least is lonely; branches of equal members once."""
+    placed = slots.withColumn("label", F.shiftrightunsigned("path", LEVEL_BITS * (MAX_DEPTH - depth)))
+    found = placed.groupBy("t", "label").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(SEED), "node")).alias("y"), F.max("lonely").alias("wanted")).where("c > 1 and wanted")
+    once = found.groupBy("c", "x", "y").agg(F.min(F.struct("t", "label")).alias("k")).select("k.t", "k.label", "c")
+    return placed.join(_sized(written(once, "branches")), ["t", "label"]).select(F.lit(depth).alias("depth"), "t", "label", "c", "node", "lonely")
+
+
+def _balls(members: DataFrame, sets: DataFrame, block: int, threshold: float) -> DataFrame:
+    """(node, centre): nodes of large branches within half the threshold's distance of a representative of the largest one that holds them."""
+    large = members.where(F.col("c") > block)
+    centres = large.groupBy("t", "label").agg(F.min("node").alias("centre"))
+    home = large.join(_sized(written(centres, "centres")), ["t", "label"]).groupBy("node").agg(F.max_by("centre", F.struct("c", "centre")).alias("centre"))
+    home = written(home, "homes")
+    salts = F.array(*[F.lit(k) for k in range(SALTS)])
+    middle = sets.join(_sized(home.select(F.col("centre").alias("node")).distinct()), "node").select(F.col("node").alias("centre_"), F.col("shingles").alias("middle"))
+    if middle.limit(CENTRES + 1).count() <= CENTRES:
+        both = sets.join(home, "node").join(F.broadcast(middle), F.col("centre") == F.col("centre_"))
+    else:  # a centre may be a hot key
+        salted = sets.join(home, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+        both = salted.join(middle.withColumn("salt_", F.explode(salts)), (F.col("centre") == F.col("centre_")) & (F.col("salt") == F.col("salt_")))
+    shared = F.size(F.array_intersect("shingles", "middle"))
+    inside = shared >= (1 - (1 - threshold) / 2 + 1e-9) * (F.size("shingles") + F.size("middle") - shared)
+    return both.where(inside).select("node", "centre")
+
+
+def _units(members: DataFrame, block: int) -> DataFrame:
+    """(depth, t, label, lo, hi, side, node, ball): the pairs of blocks of each branch, blocks of one ball not with each other nor themselves."""
+    branch = ["depth", "t", "label"]
+    sizes = members.groupBy(*branch, "ball").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("parts"))
+    sides = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.xxhash64("ball", i))
+    group = F.struct(F.xxhash64("ball").alias("k"), "parts", sides.alias("sides"))
+    blocks = sizes.groupBy(*branch).agg(F.collect_list(group).alias("groups"))  # a value a block, not a node
+    dealt = members.withColumn("k", F.xxhash64("ball")).withColumn("free", F.col("ball").isNull()).join(_sized(written(blocks, "blocks")), branch)
+    own = F.filter("groups", lambda g: g["k"] == F.col("k"))[0]["parts"]
+    dealt = dealt.withColumn("side", F.xxhash64("ball", F.pmod(F.xxhash64(F.lit(SEED + 1), "node"), own).cast("int")))
+    others = F.flatten(F.transform(F.filter("groups", lambda g: F.col("free") | (g["k"] != F.col("k"))), lambda g: g["sides"]))
+    out = dealt.select(*branch, "node", "ball", "side", F.explode(others).alias("other"))
+    return out.select(*branch, F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "node", "ball")
+
+
+def classified(docs: DataFrame, threshold: float, trees: int, recall: float, block: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, float | None]:
+    """(doc_id, th, node) of every row, node null where there is no word; of every node with a link or copies its class, copies, links and the row that stands for it; and the measured recall."""
+    keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.unhex(F.md5(F.col(f"`{text_col}`"))).alias("th"), F.col(f"`{text_col}`").alias("text"))
+    sample = docs.sparkSession.sparkContext.broadcast(pickle.dumps(query_sample(keyed, trees)))
+    signed = written(keyed.mapInArrow(lambda it: _sign(it, trees, sample, threshold), "doc_id long, th binary, node binary, paths array<long>, hits array<long>"), "signatures")
+    depth, measured = forest_depth(signed, threshold, trees, recall)
+    nodes = written(signed.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("at"), F.first("paths").alias("paths")), "nodes")
+    # the forest at its depth, then one level up for the nodes that met no other
+    slots = nodes.select("node", F.posexplode("paths").alias("t", "path"), F.lit(True).alias("lonely"))
+    members = written(_branches(slots, depth), "members")
+    if depth > 1:
+        met = members.select(F.col("node").alias("met_")).distinct()
+        left = nodes.select("node", "paths").join(met, F.col("node") == F.col("met_"), "left").select("node", F.posexplode("paths").alias("t", "path"), F.col("met_").isNull().alias("lonely"))
+        more = written(_branches(left, depth - 1), "members")
+    else:
+        more = members.limit(0)
+    wanted = members.select("node").union(more.select("node")).distinct()
+    few = _sized(written(nodes.join(wanted, "node").select("node", "copies", "paths", F.col("at.doc_id").alias("at_id"), F.col("at.th").alias("at_th")), "wanted"))
+    texts = keyed.join(few, keyed["doc_id"].eqNullSafe(few["at_id"]) & (keyed["th"] == few["at_th"])).select(few["node"], "copies", "paths", "text").dropDuplicates(["node"])
+    sets = written(texts.mapInArrow(_shingled, "node binary, copies long, paths array<long>, shingles array<long>"), "sets")
+    balls = written(_balls(members, sets, block, threshold), "balls")
+    # pairs of one ball are counted by it; above the forest's depth, so are pairs of nodes that met others
+    inside = members.join(balls.select(F.col("node").alias("node_"), "centre"), F.col("node") == F.col("node_"), "left").select("depth", "t", "label", "node", F.col("centre").alias("ball"))
+    above = more.select("depth", "t", "label", "node", F.when(~F.col("lonely"), F.lit(b"met")).alias("ball"))
+    units = _units(inside.unionByName(above), block)
+    rows = units.join(sets, "node").select(*UNIT, "side", "copies", "node", "ball", "paths", "shingles").repartition(*UNIT).sortWithinPartitions(*UNIT)
     verified = written(rows.mapInArrow(lambda it: _verify(it, threshold), "node binary, root binary, links long"), "verified")
-    components = connected_components(verified.select(F.col("node").alias("u"), F.col("root").alias("v")))
-    links = verified.groupBy("node").agg(F.sum("links").alias("links"))
-    known = nodes.select("node", "copies", "least").join(components, "node", "left").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    centred = balls.join(nodes.select("node", "copies"), "node")
+    size = _sized(centred.groupBy(F.col("centre").alias("centre_")).agg(F.sum("copies").alias("size")))
+    by_ball = centred.join(size, F.col("centre") == F.col("centre_")).select("node", F.col("centre").alias("root"), (F.col("size") - F.col("copies")).alias("links"))
+    linked = written(verified.unionByName(by_ball), "linked")
+    components = connected_components(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    links = linked.groupBy("node").agg(F.sum("links").alias("links"))
+    known = nodes.select("node", "copies", "at").join(components, "node", "left").join(links, "node", "left").where("copies > 1 or links > 0").withColumn("component", F.coalesce("component", "node"))
     known = written(known, "known")
-    classes = known.groupBy("component").agg(F.min("least").alias("class_id"), F.min_by("node", F.struct("least", "node")).alias("chosen"))
-    info = known.join(classes, "component").select("node", "class_id", "copies", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), (F.col("node") == F.col("chosen")).alias("stands"))
-    return signed.select("doc_id", "node"), info
+    classes = known.groupBy("component").agg(F.min(F.struct("at", "node")).alias("first"))
+    info = known.join(classes, "component").select("node", F.col("first.at.doc_id").alias("class_id"), "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), (F.col("node") == F.col("first.node")).alias("stands"), "at")
+    return signed.select("doc_id", "th", "node"), written(info, "classes"), measured
+
+
+def _met(rows: DataFrame, info: DataFrame, how: str) -> DataFrame:
+    """rows joined with their node's class; copies of one text may be a hot key, so beyond a broadcast both sides are salted."""
+    side = info.withColumnRenamed("node", "node_")
+    if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(side), F.col("node") == F.col("node_"), how)
+    salted = rows.withColumn("salt_", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    side = side.withColumn("salted_", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
+    return salted.join(side, (F.col("node") == F.col("node_")) & (F.col("salt_") == F.col("salted_")), how)
 
 
 def similarity_join(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, recall: float = TARGET_RECALL, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, class_id, n_copies, n_links), one row a row of docs."""
-    rows, info = classified(docs, threshold, trees, recall, block, id_col, text_col)
-    joined = rows.join(info, "node", "left")
-    return joined.select("doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    """(doc_id, class_id, n_copies, n_links, measured_recall), one row a row of docs; measured_recall: of the forest on the sample of exactly joined queries, null where they are similar to nothing."""
+    rows, info, measured = classified(docs, threshold, trees, recall, block, id_col, text_col)
+    joined = _met(rows, info, "left")
+    alone = F.col("node_").isNull()
+    return joined.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.lit(measured).cast("double").alias("measured_recall"))
 
 
 def keep_one_of_each_class(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each class of similar documents, that of the class id; rows without words stay."""
-    rows, info = classified(docs, threshold, TREES, TARGET_RECALL, BLOCK, id_col, text_col)
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    rows, info, _ = classified(row, threshold, TREES, TARGET_RECALL, BLOCK, "doc_id", "text")
     # the rows that a class of two or more documents decides: far fewer than all, so they travel to the texts
-    touched = rows.join(info.where("copies > 1 or not stands"), "node")
-    decided = touched.select(F.col("doc_id").alias("id_"), F.col("node").alias("node_"), (F.col("stands") & F.col("doc_id").eqNullSafe(F.col("least"))).alias("stays_"))
-    decided = written(decided.distinct(), "decided")
-    side = F.broadcast(decided) if decided.count() <= BROADCAST_ROWS else decided
-    marked = docs.join(side, docs[id_col].eqNullSafe(side["id_"]) & (F.unhex(F.md5(docs[text_col])) == side["node_"]), "left").where("stays_ is null or stays_")
-    single = marked.where("stays_ is null").select(*[docs[c] for c in docs.columns])
-    repeated = marked.where("stays_").select(*[docs[c] for c in docs.columns])
-    return single.unionByName(repeated.dropDuplicates([id_col, text_col]))
+    chosen = F.col("doc_id").eqNullSafe(F.col("at.doc_id")) & (F.col("th") == F.col("at.th"))
+    decided = written(_met(rows, info, "inner").select(F.col("doc_id").alias("id_"), F.col("th").alias("th_"), (F.col("stands") & chosen).alias("stays_")).distinct(), "decided")
+    marked = row.join(_sized(decided), F.col("doc_id").eqNullSafe(F.col("id_")) & (F.unhex(F.md5("text")) == F.col("th_")), "left").where("stays_ is null or stays_")
+    single = marked.where("stays_ is null").select("row")
+    repeated = marked.where("stays_").dropDuplicates(["id_", "th_"]).select("row")
+    return single.unionByName(repeated).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

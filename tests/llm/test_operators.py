@@ -160,7 +160,7 @@ def plain_join(rows):
     return collections.Counter((rows[i][0], min(least[top(i)]), links[i]) for i in range(len(rows)))
 
 
-@pytest.mark.parametrize("block", [512, 4])
+@pytest.mark.parametrize("block", [256, 4])
 def test_similarity_join(spark, table, block):
     base = words(200, 9)
     near = []
@@ -184,6 +184,50 @@ def test_similarity_join_edges(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(0, "a b c d e f"), (0, "other words stand here entirely now"), (2, None), (3, "")], key=str)
 
 
+def test_close_copies_fold_into_balls(spark):
+    texts = []
+    for g, n in ((0, 60), (1, 50)):  # two groups of close copies, one of which drifts apart
+        base = words(150, 70 + g)
+        for k in range(n):
+            rng, w = random.Random(100 * g + k), list(base)
+            for _ in range(rng.randint(0, 2 + 4 * g)):
+                w[rng.randrange(150)] = f"n{rng.random()}"
+            texts.append(" ".join(w))
+    texts += [t.upper() for t in texts[:7]] + [" ".join(words(40, 900 + k)) for k in range(30)]
+    d = docs_of(spark, texts)
+    got = collections.Counter((r.doc_id, r.class_id, r.n_links) for r in jaccard_join.similarity_join(d, block=8).collect())
+    assert got == plain_join(list(enumerate(texts)))
+
+
+def test_keep_one_of_each_class_takes_any_columns(spark):
+    d = docs_of(spark, ["a b c d e f", "A b c d  e f", "x y z", None]).withColumn("stays_", F.lit(False)).withColumn("a.b", F.lit(1)).withColumn("node", F.lit("n")).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    kept = jaccard_join.keep_one_of_each_class(d)
+    assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == [0, 2, 3]
+
+
+def test_forest_levels_and_measured_recall(spark, table):
+    known = jaccard_join.WordHashes()
+    a = jaccard_join.trie_paths(jaccard_join.shingle_set(" ".join(words(60, 1)), known), 16)
+    b = jaccard_join.trie_paths(jaccard_join.shingle_set(" ".join(words(60, 1)[1:]), known), 16)
+    plain = max(next((k for k in range(5, 0, -1) if x >> (12 * (5 - k)) == y >> (12 * (5 - k))), 0) for x, y in zip(a.tolist(), b.tolist()))
+    assert jaccard_join.met_at(a, b) == plain > 0 and jaccard_join.met_at(a, a) == 5
+    base = [" ".join(w if i % 100 != k else f"v{k}" for i, w in enumerate(words(200, 11))) for k in range(20)]
+    d = spark.createDataFrame([(100 * i, t, "en", "s", 0) for i, t in enumerate(base)], DOC)  # every id a query
+    keyed = d.select("doc_id", F.unhex(F.md5("text")).alias("th"), "text")
+    sample = jaccard_join.query_sample(keyed, 16)
+    sets = [jaccard_join.shingle_set(t, known) for t in base]
+    paths = [jaccard_join.trie_paths(s, 16) for s in sets]
+    share = lambda x, y: len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+    expect = collections.Counter(jaccard_join.met_at(paths[i], paths[j]) for i in range(20) for j in range(20) if i != j and share(sets[i], sets[j]) >= 0.8)
+    found = collections.Counter()
+    for s, p in zip(sets, paths, strict=True):
+        hits = sample.hits(s, p, 0.8)
+        found.update({k: int(n) for k, n in enumerate(hits if hits is not None else []) if n})
+    assert found == expect and sum(found.values())
+    assert {r.measured_recall for r in jaccard_join.similarity_join(d).collect()} == {1.0}
+    assert {r.measured_recall for r in jaccard_join.similarity_join(d.where("doc_id = 0")).collect()} == {None}
+
+
 def test_prefix_depth_meets_the_recall():
     k = jaccard_join.prefix_depth()
     assert 1 - (1 - 0.8**k) ** jaccard_join.TREES >= jaccard_join.TARGET_RECALL > 1 - (1 - 0.8 ** (k + 1)) ** jaccard_join.TREES
