@@ -274,6 +274,15 @@ def _sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def _hot_join(rows: DataFrame, side: DataFrame, key: str, name: str, salt: str, how: str = "inner") -> DataFrame:
+    """rows joined with side on rows.key = side.name, where one key may hold a third of the rows: side broadcast when it is counted to be small, else both sides salted."""
+    if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(side), F.col(key) == F.col(name), how)
+    salted = rows.withColumn("salt_", F.pmod(F.xxhash64(salt), F.lit(SALTS)))
+    parts = side.withColumn("salted_", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
+    return salted.join(parts, (F.col(key) == F.col(name)) & (F.col("salt_") == F.col("salted_")), how)
+
+
 def query_sample(keyed: DataFrame, trees: int, most: int = QUERIES) -> Sample:
     """The exactly joined queries: of the rows whose id is divisible by 100, ``most`` by a hash (the share is set by their count)."""
     rows = keyed.where(F.col("doc_id") % 100 == 0).where(F.col("text").isNotNull())
@@ -370,25 +379,15 @@ def classified(docs: DataFrame, threshold: float, trees: int, recall: float, blo
     links = linked.groupBy("node").agg(F.sum("links").alias("links"))
     known = nodes.select("node", "copies", "at").join(components, "node", "left").join(links, "node", "left").where("copies > 1 or links > 0").withColumn("component", F.coalesce("component", "node"))
     known = written(known, "known")
-    classes = known.groupBy("component").agg(F.min(F.struct("at", "node")).alias("first"))
-    info = known.join(classes, "component").select("node", F.col("first.at.doc_id").alias("class_id"), "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), (F.col("node") == F.col("first.node")).alias("stands"), "at")
-    return signed.select("doc_id", "th", "node"), written(info, "classes"), measured
-
-
-def _met(rows: DataFrame, info: DataFrame, how: str) -> DataFrame:
-    """rows joined with their node's class; copies of one text may be a hot key, so beyond a broadcast both sides are salted."""
-    side = info.withColumnRenamed("node", "node_")
-    if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(side), F.col("node") == F.col("node_"), how)
-    salted = rows.withColumn("salt_", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    side = side.withColumn("salted_", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
-    return salted.join(side, (F.col("node") == F.col("node_")) & (F.col("salt_") == F.col("salted_")), how)
+    classes = written(known.groupBy(F.col("component").alias("class_")).agg(F.min(F.struct("at", "node")).alias("first")), "classes")
+    info = _hot_join(known, classes, "component", "class_", "node").select("node", F.col("first.at.doc_id").alias("class_id"), "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), (F.col("node") == F.col("first.node")).alias("stands"), "at")
+    return signed.select("doc_id", "th", "node"), written(info, "info"), measured
 
 
 def similarity_join(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, recall: float = TARGET_RECALL, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, class_id, n_copies, n_links, measured_recall), one row a row of docs; measured_recall: of the forest on the sample of exactly joined queries, null where they are similar to nothing."""
     rows, info, measured = classified(docs, threshold, trees, recall, block, id_col, text_col)
-    joined = _met(rows, info, "left")
+    joined = _hot_join(rows, info.withColumnRenamed("node", "node_"), "node", "node_", "doc_id", "left")
     alone = F.col("node_").isNull()
     return joined.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.lit(measured).cast("double").alias("measured_recall"))
 
@@ -399,7 +398,7 @@ def keep_one_of_each_class(docs: DataFrame, threshold: float = THRESHOLD, id_col
     rows, info, _ = classified(row, threshold, TREES, TARGET_RECALL, BLOCK, "doc_id", "text")
     # the rows that a class of two or more documents decides: far fewer than all, so they travel to the texts
     chosen = F.col("doc_id").eqNullSafe(F.col("at.doc_id")) & (F.col("th") == F.col("at.th"))
-    decided = written(_met(rows, info, "inner").select(F.col("doc_id").alias("id_"), F.col("th").alias("th_"), (F.col("stands") & chosen).alias("stays_")).distinct(), "decided")
+    decided = written(_hot_join(rows, info.withColumnRenamed("node", "node_"), "node", "node_", "doc_id").select(F.col("doc_id").alias("id_"), F.col("th").alias("th_"), (F.col("stands") & chosen).alias("stays_")).distinct(), "decided")
     marked = row.join(_sized(decided), F.col("doc_id").eqNullSafe(F.col("id_")) & (F.unhex(F.md5("text")) == F.col("th_")), "left").where("stays_ is null or stays_")
     single = marked.where("stays_ is null").select("row")
     repeated = marked.where("stays_").dropDuplicates(["id_", "th_"]).select("row")
