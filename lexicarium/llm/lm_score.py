@@ -21,9 +21,9 @@ its distinct n-grams only:
    frequent n-gram is one key a block, not one a use;
 3. each block meets its totals, builds its part of the automaton and traverses its texts.
 
-Blocks and buckets both grow with the square root of the corpus (``BLOCK_BYTES`` and ``BUCKET_KEYS`` at a corpus of 1 GB, up to
-``MOST_GROWTH`` times that), so the requests, a row for each block and bucket, grow in proportion to
-the corpus up to ``MOST_GROWTH`` squared GB; beyond that a block's memory stays and requests get shorter.
+A block is about ``BLOCK_BYTES`` of text, so a task's memory is bounded. Buckets hold ``BUCKET_KEYS`` keys at a corpus of 1 GB and grow with
+it up to ``MOST_KEYS``, so the requests, a row for each block and bucket, grow in proportion to the corpus up to ten GB of text;
+beyond that there are more buckets and requests get shorter, to one key at about 100 TB (each key travels once a block in any case).
 
 Keys are hashes of 40 bits within a bucket. Defined results: null text is the empty text (one end token); repeated
 rows are scored (and learned from) each; a null doc_id is scored, not held out and not learned
@@ -47,7 +47,9 @@ from lexicarium.llm.store import written
 
 BLOCK_BYTES = 8 << 20
 BUCKET_KEYS = 400_000
-MOST_GROWTH = 4.0
+MOST_KEYS = 4_000_000
+#: Positions that are traversed at once, to the end of a text.
+SLICE_TOKENS = 200_000
 #: Weights m of the shorter history's distribution in the states of one and of two words, in tokens; of seven pairs tried on sf0.1 the region of the best held-out likelihood.
 PRIOR_TOKENS = (400.0, 40.0)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -110,7 +112,9 @@ def block_keys(vocabulary: np.ndarray, tokens: np.ndarray, lengths: np.ndarray,
     pair, triple = ngrams(vocabulary, tokens, lengths)
     shift, one = np.uint64(24 - bits), np.uint64(1)
     keys = np.concatenate([(vocabulary >> shift) | one, (pair >> shift) & ~one, (triple >> shift) & ~one])
+    del pair, triple
     keys, at = np.unique(keys, return_inverse=True)
+    at = at.astype(np.int32)
     n, v = len(tokens), len(vocabulary)
     return keys, at[:v][tokens], at[v : v + n], at[v + n :]
 
@@ -152,7 +156,7 @@ def _requests(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.Recor
             keys, words, pairs, triples = block_keys(vocabulary, tokens, lengths, bits)
             inner = np.ones(len(tokens), bool)
             inner[np.cumsum(lengths) - lengths] = False  # where a text starts there is no triple
-            counts = sum(np.bincount(where[learn & use], minlength=len(keys)) for where, use in ((words, True), (pairs, True), (triples, inner))).astype(np.uint32)
+            counts = sum(np.bincount(where[learn & use], minlength=len(keys)).astype(np.uint32) for where, use in ((words, True), (pairs, True), (triples, inner)))
             bucket = (keys >> np.uint64(40)).astype(np.int64)
             edges = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() + [len(keys)]
             out = [(int(bucket[a]), row["block"], pack(keys[a:b] & np.uint64((1 << 40) - 1)), _planes(counts[a:b])) for a, b in zip(edges, edges[1:], strict=False)]
@@ -214,25 +218,30 @@ def traverse(words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, first: n
     return root, score
 
 
-def _score_block(blocks: pa.Table, totals: pa.Table, bits: int, n_train: int, n_types: int, prior: tuple[float, float]) -> pa.Table:
+def _score_block(blocks: pa.Table, totals: pa.Table, bits: int, n_train: int, n_types: int, prior: tuple[float, float], slice_tokens: int) -> pa.Table:
     """Build the block's part of the automaton and traverse its texts."""
     rows = []
     for row in blocks.to_pylist():
         vocabulary, tokens, lengths, _ = _open(row)
         found = sorted(totals.to_pylist(), key=lambda r: r["bucket"])
-        count = np.concatenate([_plain(zlib.decompress(r["totals"]), "<u8") for r in found]).astype(np.float64)
-        _, words, pairs, triples = block_keys(vocabulary, tokens, lengths, bits)
-        first = np.cumsum(lengths) - lengths
-        seen = count[triples]
-        seen[first] = 0
-        known = count[words]
-        base, score = traverse(known, count[pairs], seen, first, known[-1], n_train, n_types, prior)  # the last word is an end: as many as starts
-        rows += zip(row["doc_ids"], row["held"], lengths.tolist(), np.add.reduceat((known > 0).astype(np.int64), first).tolist(), np.add.reduceat(base, first).tolist(), np.add.reduceat(score, first).tolist(), strict=True)
+        count = np.concatenate([_plain(zlib.decompress(r["totals"]), "<u8") for r in found])
+        keys, words, pairs, triples = block_keys(vocabulary, tokens, lengths, bits)
+        del keys, tokens, found
+        starts = float(count[words[-1]])  # the last word is an end: as many as starts
+        ends = np.cumsum(lengths)
+        cut = np.flatnonzero(np.diff(ends // slice_tokens, append=-1))  # the last text of each slice
+        for a, b in zip(np.concatenate([[0], cut[:-1] + 1]), cut + 1, strict=True):
+            at = slice(ends[a] - lengths[a], ends[b - 1])
+            first = ends[a:b] - lengths[a:b] - at.start
+            known, seen = count[words[at]].astype(np.float64), count[triples[at]].astype(np.float64)
+            seen[first] = 0
+            base, score = traverse(known, count[pairs[at]].astype(np.float64), seen, first, starts, n_train, n_types, prior)
+            rows += zip(row["doc_ids"][a:b], row["held"][a:b], lengths[a:b].tolist(), np.add.reduceat((known > 0).astype(np.int64), first).tolist(), np.add.reduceat(base, first).tolist(), np.add.reduceat(score, first).tolist(), strict=True)
     return pa.Table.from_batches([_rows(rows, RESULT_TYPES)])
 
 
-def score_corpus(docs: DataFrame, fold: int = 7, held_fold: int = 2, prior: tuple[float, float] = PRIOR_TOKENS, block_bytes: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row a row of docs; ``block_bytes`` sets the blocks' size by hand."""
+def score_corpus(docs: DataFrame, fold: int = 7, held_fold: int = 2, prior: tuple[float, float] = PRIOR_TOKENS, block_bytes: int = BLOCK_BYTES, slice_tokens: int = SLICE_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row a row of docs."""
     part = F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % fold
     keyed = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
@@ -241,16 +250,14 @@ def score_corpus(docs: DataFrame, fold: int = 7, held_fold: int = 2, prior: tupl
         F.col(f"`{text_col}`").cast("binary").alias("raw"),
     )
     size = keyed.agg(F.coalesce(F.sum(F.octet_length("raw")), F.lit(0)).alias("n")).first().n
-    growth = min(MOST_GROWTH, max(1 / 16, (size / 1e9) ** 0.5))
-    block_bytes = block_bytes or int(BLOCK_BYTES * growth)
     blocks = written(keyed.mapInArrow(lambda it: _to_blocks(it, block_bytes), BLOCK_SCHEMA), "lm-blocks")
     keys = blocks.agg(F.coalesce(F.sum("n_keys"), F.lit(0)).alias("n")).first().n
-    bits = min(24, max(0, int(np.ceil(np.log2(max(1.0, keys / (BUCKET_KEYS * growth)))))))
+    bits = min(24, max(0, int(np.ceil(np.log2(max(1.0, keys / min(MOST_KEYS, BUCKET_KEYS * max(1 / 16, size / 1e9))))))))
     asked = blocks.mapInArrow(lambda it: _requests(it, bits), "bucket long, block string, keys binary, counts binary")
     totals = written(asked.groupBy("bucket").applyInArrow(_sum_bucket, "bucket long, block string, totals binary, n_distinct long, mass long"), "lm-totals")
     whole = totals.agg(F.coalesce(F.sum("n_distinct"), F.lit(0)).alias("v"), F.coalesce(F.sum("mass"), F.lit(0)).alias("n")).first()
     n_train, n_types = int(whole.n), int(whole.v)
     # what is asked and answered only: the other columns stay behind
     answers = totals.select("block", "bucket", "totals")
-    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _score_block(a, b, bits, n_train, n_types, prior), RESULT_SCHEMA)
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _score_block(a, b, bits, n_train, n_types, prior, slice_tokens), RESULT_SCHEMA)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score")
