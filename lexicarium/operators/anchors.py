@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexicarium import policy
 from lexicarium.operators.units import COORDINATE
 
 
@@ -19,10 +20,38 @@ def concept_declarations(decisions: DataFrame) -> DataFrame:
     return kept.select(F.sha2("unit_text", 256).alias("concept_id"), "unit_text")
 
 
-def instance_declarations(units: DataFrame, concepts: DataFrame) -> DataFrame:
-    """(instance_id, concept_id, coordinate) of units whose concept is declared."""
-    found = units.join(concepts.select("concept_id", F.col("unit_text").alias("ct")), F.col("unit_text") == F.col("ct"))
-    return found.select(component_hash(*COORDINATE).alias("instance_id"), "concept_id", *COORDINATE)
+INSTANCE_PARTS = ["concept_id", "asset_id", "path", "segment_index", "char_start", "char_end"]
+
+
+def instance_declarations(units: DataFrame, concepts: DataFrame | None = None) -> DataFrame:
+    """(instance_id, concept_id, coordinate) of units; with ``concepts``, of those only whose concept is declared (a semi-join on its id, without texts)."""
+    own = units.where("trim(unit_text) <> ''").withColumn("concept_id", F.sha2(F.trim("unit_text"), 256))
+    own = own.join(concepts.select("concept_id"), "concept_id", "left_semi") if concepts is not None else own
+    return own.select(component_hash(*INSTANCE_PARTS).alias("instance_id"), "concept_id", *COORDINATE)
+
+
+def stable_attribute_id(scope: Column | None = None, kind: Column | None = None, state: str = "active", evidence: Column | None = None, creator: str = "lexicarium") -> Column:
+    """SHA-256 of the nine fields of an attribute, missing ones as the empty string."""
+    none = F.lit("")
+    parts = [F.col("object_type"), F.col("object_id"), scope if scope is not None else none, F.col("attr_key"), F.col("attr_value"), kind if kind is not None else none, F.lit(state), evidence if evidence is not None else none, F.lit(creator)]
+    return F.sha2(F.concat_ws("|", *[F.coalesce(p.cast("string"), none) for p in parts]), 256)
+
+
+def concept_attributes(profile: DataFrame, allowed: dict = policy.ATTRIBUTES, gate: bool = True) -> DataFrame:
+    """(attr_id, object_type, object_id, attr_key, attr_value, attr_state) of the profiled concepts: known columns as rows, nulls left out.
+
+    With ``gate`` only texts that are decided ALLOW have attributes. A value that its key does not allow is left out; of rows of one
+    (object, key) the last value in order stays.
+    """
+    keys = [k for k in allowed if k in profile.columns]
+    rows = profile.where(F.col("decision").eqNullSafe("ALLOW")) if gate else profile
+    wide = rows.where("trim(unit_text) <> ''").select(F.sha2(F.trim("unit_text"), 256).alias("object_id"), *[F.col(k).cast("string").alias(k) for k in keys])
+    long = wide.unpivot("object_id", keys, "attr_key", "attr_value").where("attr_value is not null")
+    for k in keys:
+        if allowed[k]:
+            long = long.where((F.col("attr_key") != k) | F.col("attr_value").isin(*allowed[k]))
+    last = long.groupBy("object_id", "attr_key").agg(F.max("attr_value").alias("attr_value")).select(F.lit("concept").alias("object_type"), "object_id", "attr_key", "attr_value", F.lit("active").alias("attr_state"))
+    return last.select(stable_attribute_id().alias("attr_id"), "*")
 
 
 def attribute_declarations(profile: DataFrame, keys: list[str], object_type: str = "concept", id_col: str = "object_id") -> DataFrame:
@@ -139,3 +168,65 @@ def audit(**checks: DataFrame) -> DataFrame:
         row = bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), F.when(F.col("violations") == 0, "pass").otherwise("fail").alias("status"), "violations")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+# --- presets over (concepts, attributes, instances) -----------------------------------------
+def with_attribute(concepts: DataFrame, attributes: DataFrame, key: str, kind: str = "int") -> DataFrame:
+    """concepts with the attribute ``key`` as a typed column; a value that is no such number is an error."""
+    a = attributes.where(F.col("attr_key") == key).select(F.col("object_id").alias("oid_"), F.col("attr_value").cast(kind).alias(key))
+    return concepts.join(a, F.col("concept_id") == F.col("oid_")).drop("oid_")
+
+
+def paged(rows: DataFrame, order: list, limit: int = 100, offset: int = 0) -> DataFrame:
+    """A page of at most 10,000 ordered rows."""
+    return rows.orderBy(*order).offset(offset).limit(min(limit, 10_000))
+
+
+def concepts_by(concepts: DataFrame, attributes: DataFrame, key: str, limit: int = 100, offset: int = 0) -> DataFrame:
+    return paged(with_attribute(concepts, attributes, key).select("unit_text", key), [F.desc(key), "unit_text"], limit, offset)
+
+
+def high_value_concepts(concepts: DataFrame, attributes: DataFrame, least_count: int = 10, least_paths: int = 5, limit: int = 100, offset: int = 0) -> DataFrame:
+    """Frequent concepts on many paths, with the share of their dominant path where it is known; one aggregation in place of three joins."""
+    value = lambda k, kind: F.max(F.when(F.col("attr_key") == k, F.col("attr_value"))).cast(kind).alias(k)
+    wide = attributes.where(F.col("attr_key").isin("occurrence_count", "path_diversity", "dominant_path_ratio")).groupBy(F.col("object_id").alias("oid_")).agg(value("occurrence_count", "int"), value("path_diversity", "int"), value("dominant_path_ratio", "double"))
+    wide = wide.where((F.col("occurrence_count") >= least_count) & (F.col("path_diversity") >= least_paths))
+    found = concepts.join(wide, F.col("concept_id") == F.col("oid_")).select("unit_text", "occurrence_count", "path_diversity", "dominant_path_ratio")
+    return paged(found, [F.desc("occurrence_count"), "unit_text"], limit, offset)
+
+
+def concept_profile(concepts: DataFrame, attributes: DataFrame, text: str, limit: int = 100) -> DataFrame:
+    one = concepts.where(F.col("unit_text") == text).select(F.col("concept_id").alias("object_id"))
+    return paged(attributes.join(one, "object_id", "left_semi").select("attr_key", "attr_value", "attr_state"), ["attr_key", "attr_value"], limit)
+
+
+def concept_instances(concepts: DataFrame, instances: DataFrame, text: str, limit: int = 100) -> DataFrame:
+    one = concepts.where(F.col("unit_text") == text).select("concept_id")
+    return paged(instances.join(one, "concept_id", "left_semi").select("asset_id", "path", "segment_index", "char_start", "char_end"), ["asset_id", "path", "segment_index", "char_start"], limit)
+
+
+def table_stats(**tables: DataFrame) -> DataFrame:
+    """One row of counts."""
+    out = None
+    for name, rows in tables.items():
+        one = rows.agg(F.count(F.lit(1)).alias(f"{name}_count"))
+        out = one if out is None else out.crossJoin(one)  # single rows
+    return out
+
+
+def sync_history(log: DataFrame, limit: int = 100) -> DataFrame:
+    return paged(log.select("sync_id", "source_table", "record_count", "finished_at"), [F.desc("finished_at"), "sync_id", "source_table"], limit)
+
+
+def concept_search(concepts: DataFrame, keyword: str, limit: int = 100) -> DataFrame:
+    return paged(concepts.where(F.col("unit_text").ilike("%" + keyword.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_") + "%")).select("concept_id", "unit_text"), ["unit_text"], limit)
+
+
+def enriched(hits: DataFrame, id_col: str, concepts: DataFrame, attributes: DataFrame, instances: DataFrame) -> DataFrame:
+    """hits with their concept's text, instance count and sorted attributes; each side is aggregated before it is joined."""
+    key = F.col(id_col)
+    counts = instances.groupBy(F.col("concept_id").alias("i_")).agg(F.count(F.lit(1)).alias("instance_count"))
+    lists = attributes.groupBy(F.col("object_id").alias("a_")).agg(F.array_sort(F.collect_list(F.concat_ws("=", "attr_key", "attr_value"))).alias("attributes"))
+    texts = concepts.select(F.col("concept_id").alias("c_"), "unit_text")
+    out = hits.join(texts, key == F.col("c_"), "left").join(counts, key == F.col("i_"), "left").join(lists, key == F.col("a_"), "left")
+    return out.withColumn("instance_count", F.coalesce("instance_count", F.lit(0))).withColumn("attributes", F.coalesce("attributes", F.array().cast("array<string>"))).drop("c_", "i_", "a_")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,16 @@ SLICE = 500
 SEGMENT = [*CONTAINER, "segment_index"]
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """df without its lineage, written to the folder that ``spark.checkpoint.dir`` names; where none is set (one process, tests), to a temporary folder of the driver."""
+    context = df.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lexicarium-"))
+    return df.checkpoint()
+
+
 def adjacency_edges(units: DataFrame) -> DataFrame:
     """(src, dst, weight): consecutive units of a segment; no self-loops."""
     order = Window.partitionBy(*SEGMENT).orderBy("sentence_index", "char_start", "char_end")
@@ -81,28 +94,31 @@ def graph_statistics(nodes: DataFrame, edges: DataFrame, directed: bool = True)
     return both.withColumn("density", F.when(n > 1, F.round((1 if directed else 2) * e / (n * (n - 1)), 12)).otherwise(0.0))
 
 
-def degree_histogram(degree: DataFrame, width: int = 5, last: int = 50) -> DataFrame:
+def degree_histogram(degree: DataFrame, width: int = 5, last: int = 200) -> DataFrame:
     """(bucket, n): degrees in buckets of ``width``, one overflow bucket from ``last``."""
     low = (F.floor(F.col("degree") / width) * width).cast("int")
     label = F.when(F.col("degree") >= last, F.lit(f"{last}+")).otherwise(F.concat_ws("-", low, low + width - 1))
     return degree.groupBy(label.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def weak_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, component): least node reachable over edges either way; a checkpoint every round cuts the lineage."""
-    both = edges.select("src", "dst").union(edges.select("dst", "src")).distinct()
-    both = both.checkpoint() if both.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else both.cache()
-    labels = both.groupBy(F.col("src").alias("node")).agg(F.min(F.least("src", "dst")).alias("component"))
-    for _ in range(rounds):
+def weak_components(edges: DataFrame) -> DataFrame:
+    """(node, component): least node reachable over edges either way, until nothing changes; a checkpoint every round cuts the lineage."""
+    both = _cut(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
+    labels = _cut(both.groupBy(F.col("src").alias("node")).agg(F.min(F.least("src", "dst")).alias("component")))
+    while True:
         near = both.join(labels, both["dst"] == labels["node"]).groupBy("src").agg(F.min("component").alias("near"))
         step = labels.join(near, labels["node"] == near["src"]).select("node", F.col("component").alias("old"), F.least("component", "near").alias("next"))
         far = labels.select(F.col("node").alias("at"), F.col("component").alias("far"))
-        moved = step.join(far, step["next"] == far["at"], "left").select("node", "old", F.least("next", F.coalesce("far", "next")).alias("component"))
-        moved = moved.checkpoint() if moved.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else moved.cache()
+        moved = _cut(step.join(far, step["next"] == far["at"], "left").select("node", "old", F.least("next", F.coalesce("far", "next")).alias("component")))
         labels = moved.select("node", "component")
         if moved.where("component <> old").isEmpty():
-            break
-    return labels
+            return labels
+
+
+def component_summary(components: DataFrame) -> DataFrame:
+    """One row: number of components and nodes of the largest."""
+    sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.count(F.lit(1)).alias("component_count"), F.coalesce(F.max("n"), F.lit(0)).alias("largest_size"))
 
 
 def conversation_nodes(conversations: DataFrame) -> DataFrame:
@@ -118,11 +134,6 @@ def canonical_role(role: Column) -> Column:
     return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in alias.items() for x in kv]), F.lower(F.trim(role))), F.lit("unknown"))
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """df without its lineage: under ``spark.checkpoint.dir`` where that is set, else (tests) in memory."""
-    return df.checkpoint() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.localCheckpoint()
-
-
 def tree_depths(nodes: DataFrame, most: int | None = None) -> DataFrame:
     """nodes with depth (roots 0, nodes that no root reaches -1) and is_leaf, by doubling pointers: rounds grow with the logarithm of the depth. ``most`` stops once that many steps are looked at; by default all are."""
     up = nodes.select("node_id", "parent_id")

@@ -5,10 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: First and last code point of the blocks told apart; anything else is "other".
-BLOCKS = (("ascii", 0x0, 0x7F), ("latin_1", 0x80, 0xFF), ("latin_extended", 0x100, 0x24F), ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x4FF), ("cjk_symbols", 0x3000, 0x303F), ("hiragana", 0x3040, 0x309F), ("katakana", 0x30A0, 0x30FF), ("cjk_unified", 0x4E00, 0x9FFF), ("hangul", 0xAC00, 0xD7AF), ("fullwidth", 0xFF00, 0xFFEF))
-#: Entropy looks at this many first characters, by the operator's definition.
+from lexicarium import policy
+
+#: Unicode blocks told apart, with first and last code point; anything else is "other".
+BLOCKS = (
+    ("basic_latin", 0x0000, 0x007F),
+    ("latin_supplement", 0x0080, 0x00FF),
+    ("latin_extended", 0x0100, 0x024F),
+    ("greek", 0x0370, 0x03FF),
+    ("cyrillic", 0x0400, 0x04FF),
+    ("general_punctuation", 0x2000, 0x206F),
+    ("superscripts_subscripts", 0x2070, 0x209F),
+    ("currency_symbols", 0x20A0, 0x20CF),
+    ("letterlike_symbols", 0x2100, 0x214F),
+    ("number_forms", 0x2150, 0x218F),
+    ("arrows", 0x2190, 0x21FF),
+    ("mathematical_operators", 0x2200, 0x22FF),
+    ("misc_technical", 0x2300, 0x23FF),
+    ("box_drawing", 0x2500, 0x257F),
+    ("block_elements", 0x2580, 0x259F),
+    ("geometric_shapes", 0x25A0, 0x25FF),
+    ("misc_symbols", 0x2600, 0x26FF),
+    ("dingbats", 0x2700, 0x27BF),
+    ("misc_math_symbols_a", 0x27C0, 0x27EF),
+    ("misc_math_symbols_b", 0x2980, 0x29FF),
+    ("supplemental_math_operators", 0x2A00, 0x2AFF),
+    ("cjk_symbols_punctuation", 0x3000, 0x303F),
+    ("hiragana", 0x3040, 0x309F),
+    ("katakana", 0x30A0, 0x30FF),
+    ("bopomofo", 0x3100, 0x312F),
+    ("cjk_extension_a", 0x3400, 0x4DBF),
+    ("cjk_unified", 0x4E00, 0x9FFF),
+    ("cjk_compatibility", 0xF900, 0xFAFF),
+    ("cjk_compatibility_forms", 0xFE30, 0xFE4F),
+    ("halfwidth_fullwidth", 0xFF00, 0xFFEF),
+    ("misc_symbols_pictographs", 0x1F300, 0x1F5FF),
+    ("emoticons", 0x1F600, 0x1F64F),
+)
+#: Entropy looks at this many first characters of a text, or of a block's characters in it, by the operator's definition.
 ENTROPY_WINDOW = 1024
+#: A block with fewer characters has no entropy of its own.
+LEAST_BLOCK = 10
 
 
 def block_of(code: Column) -> Column:
@@ -22,7 +59,7 @@ def block_of(code: Column) -> Column:
 def character_ratios(values: DataFrame) -> DataFrame:
     """Length and counts of digits, punctuation, control characters and paired symbols of every value, with their shares."""
     v, n = F.col("value"), F.length("value")
-    counts = {"digits": r"\p{Nd}", "punctuation": r"\p{P}", "control": r"\p{Cc}", "control_other": r"[\p{Cc}&&[^\n\r\t]]", "brackets": r"[()\[\]{}]", "separators": r"[,;|\t]"}
+    counts = {"digits": r"\p{Nd}", "punctuation": r"\p{P}", "control": r"\p{Cc}", "control_other": r"[\p{Cc}&&[^\n\r\t]]", "brackets": r"[()\[\]{}]", "separators": "[,.:;=]"}
     out = values.select("asset_id", n.alias("n"), *[F.regexp_count(v, F.lit(p)).alias(k) for k, p in counts.items()])
     return out.select("*", F.when(F.col("n") > 0, F.round(F.col("digits") / F.col("n"), 6)).otherwise(0.0).alias("digit_ratio"), F.when(F.col("n") > 0, F.round(F.col("punctuation") / F.col("n"), 6)).otherwise(0.0).alias("punctuation_ratio"))
 
@@ -40,15 +77,27 @@ def entropy(values: DataFrame) -> DataFrame:
 
 
 def block_distribution(values: DataFrame) -> DataFrame:
-    """(asset_id, block, n) of the first characters."""
-    return window_characters(values).groupBy("asset_id", block_of(F.ascii("ch")).alias("block")).agg(F.count(F.lit(1)).alias("n"))
+    """(asset_id, block, n, ratio) of all characters of every value."""
+    counted = text_block_distribution(values)
+    sizes = values.groupBy(F.col("asset_id").alias("a_")).agg(F.sum(F.length("value")).alias("all_"))
+    return counted.join(sizes, F.col("asset_id") == F.col("a_")).select("asset_id", "block", "n", F.round(F.col("n") / F.col("all_"), 6).alias("ratio"))
 
 
 def block_transitions(values: DataFrame, top: int = 10) -> DataFrame:
-    """(before, after, n): the commonest changes of block between neighbouring characters (a top report)."""
-    chars = window_characters(values).select("asset_id", "pos", block_of(F.ascii("ch")).alias("after"))
-    steps = chars.withColumn("before", F.lag("after").over(Window.partitionBy("asset_id").orderBy("pos"))).where("before <> after")
-    return steps.groupBy("before", "after").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "before", "after").limit(top)
+    """(before, after, n): the commonest changes of block between neighbouring characters of whole values (a top report)."""
+    return text_block_transitions(values, top)
+
+
+def entropy_by_block(values: DataFrame) -> DataFrame:
+    """(asset_id, block, n, entropy) of the blocks with LEAST_BLOCK characters or more; entropy of the block's first ENTROPY_WINDOW characters in the value."""
+    v = F.col("value")
+    span = {name: f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for name, lo, hi in BLOCKS}
+    inside = [F.struct(F.lit(name).alias("block"), F.regexp_replace(v, f"[^{x}]+", "").alias("chars")) for name, x in span.items()]
+    inside.append(F.struct(F.lit("other").alias("block"), F.regexp_replace(v, f"[{''.join(span.values())}]+", "").alias("chars")))
+    found = values.select("asset_id", F.explode(F.filter(F.array(*inside), lambda x: F.length(x["chars"]) >= LEAST_BLOCK)).alias("b"))
+    chars = found.select("asset_id", "b.block", F.length("b.chars").alias("n"), F.explode(F.split(F.substring("b.chars", 1, ENTROPY_WINDOW), "")).alias("ch")).where("ch <> ''")
+    counts = chars.groupBy("asset_id", "block", "n", "ch").agg(F.count(F.lit(1)).alias("c"))
+    return counts.groupBy("asset_id", "block", "n").agg(F.round(F.log2(F.sum("c")) - F.sum(F.col("c") * F.log2("c")) / F.sum("c"), 6).alias("entropy"))
 
 
 def text_block_distribution(values: DataFrame) -> DataFrame:
@@ -84,9 +133,45 @@ def line_structure(values: DataFrame) -> DataFrame:
     )
 
 
-#: A rule: metric, comparison, threshold, decision. Decisions rank FREEZE over DELAY over ALLOW.
-RULES = (("entropy", "lt", 1.5, "FREEZE"), ("n", "lt", 20, "DELAY"), ("digit_ratio", "gt", 0.5, "DELAY"), ("punctuation_ratio", "gt", 0.4, "FREEZE"))
+def observations(values: DataFrame) -> DataFrame:
+    """Per value: length, and structs of Unicode class shares, symbol totals, line structure and block transitions (whole values), and entropy (of the window)."""
+    v, n = F.col("value"), F.length("value")
+    share = lambda pattern: F.when(n > 0, F.regexp_count(v, F.lit(pattern)) / n).otherwise(0.0)
+    lines = F.split("value", "\n", -1)
+    full = F.filter("ls_", lambda x: x.rlike(r"(?U)\S"))
+    count = lambda test: F.size(F.filter("ls_", test))
+    of_full = lambda k: F.when(F.size("full_") > 0, k / F.size("full_")).otherwise(0.0)
+    span = [f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for _, lo, hi in BLOCKS]
+    # every run of one block is one match
+    changes = sum((F.regexp_count(v, F.lit(f"[{x}]+")) for x in span), F.regexp_count(v, F.lit(f"[^{''.join(span)}]+")))
+    wide = values.where("value is not null").select(
+        "asset_id", "value", n.alias("n"), lines.alias("ls_"), changes.alias("runs_"),
+        F.struct(share(r"[\x00-\x7f]").alias("ascii_ratio"), share(r"\p{Nd}").alias("digit_ratio"), share(r"\p{P}").alias("punct_ratio"), share(r"\p{Cc}").alias("control_ratio"), share(r"[\p{Cc}&&[^\n\r\t]]").alias("control_ratio_strict")).alias("unicode"),
+        F.struct(F.regexp_count(v, F.lit(r"[()\[\]{}]")).alias("paired_total"), F.regexp_count(v, F.lit("[,.:;=]")).alias("separators_total")).alias("symbols"),
+    ).withColumn("full_", full)
+    total = F.size("ls_")
+    structure = F.struct(
+        total.alias("total_lines"), (F.aggregate("ls_", F.lit(0).cast("long"), lambda s, x: s + F.length(x)) / total).alias("avg_line_length"), ((total - F.size("full_")) / total).alias("empty_line_ratio"),
+        of_full(F.size(F.filter("full_", lambda x: x.rlike("^[ \t]")))).alias("indented_line_ratio"), (count(lambda x: x.rlike(r"[()\[\]{}]")) / total).alias("paired_symbol_line_ratio"),
+        of_full(F.size(F.filter("full_", lambda x: F.length(F.regexp_replace(x, r"(?U)^\s+|\s+$", "")) <= 5))).alias("short_line_ratio"),
+    )
+    steps = F.greatest(F.col("runs_") - 1, F.lit(0))
+    moved = F.struct(steps.alias("transition_count"), F.when(F.col("n") > 1, steps / (F.col("n") - 1)).otherwise(0.0).alias("transition_density"))
+    out = wide.select("asset_id", "n", "unicode", "symbols", structure.alias("line_structure"), moved.alias("block_transitions"))
+    bits = entropy(values).select(F.col("asset_id").alias("a_"), F.struct(F.col("entropy").alias("avg")).alias("entropy"))
+    return out.join(bits, F.col("asset_id") == F.col("a_"), "left").drop("a_").withColumn("entropy", F.coalesce("entropy", F.struct(F.lit(0.0).alias("avg"))))
+
+
+def with_blocks(observed: DataFrame, values: DataFrame) -> DataFrame:
+    """observed with ``blocks``: an array of (block, ratio, entropy), entropy null below LEAST_BLOCK characters."""
+    by = block_distribution(values).join(entropy_by_block(values).select("asset_id", "block", "entropy"), ["asset_id", "block"], "left")
+    listed = by.groupBy(F.col("asset_id").alias("a_")).agg(F.array_sort(F.collect_list(F.struct("block", "ratio", "entropy"))).alias("blocks"))  # a few blocks a value
+    return observed.join(listed, F.col("asset_id") == F.col("a_"), "left").drop("a_")
+
+
 _COMPARE = {"gt": lambda a, b: a > b, "lt": lambda a, b: a < b, "ge": lambda a, b: a >= b, "le": lambda a, b: a <= b}
+#: Rules that look at more than one observation: parameters -> Column.
+COMPOSITES = {"dominant_block_low_entropy": lambda p: F.coalesce(F.exists("blocks", lambda b: (b["ratio"] >= p["share"]) & (b["entropy"] <= p["entropy"])), F.lit(False))}
 
 
 def compared(metric: Column, op: str, threshold: float) -> Column:
@@ -94,15 +179,46 @@ def compared(metric: Column, op: str, threshold: float) -> Column:
     return F.coalesce(_COMPARE[op](metric, F.lit(threshold)), F.lit(False))
 
 
-def eligibility(metrics: DataFrame, rules=RULES, override: Column | None = None) -> DataFrame:
-    """(asset_id, decision, reasons): the gravest decision of the rules that hold; an ALLOW override cancels DELAY before a missing metric raises ALLOW to DELAY."""
+def first_comparison(metric: Column, condition: dict) -> Column:
+    """The condition's first known operator in the order gt, lt, ge, le; others are not looked at."""
+    op = next((k for k in _COMPARE if k in condition), None)
+    return compared(metric, op, condition[op]) if op else F.lit(False)
+
+
+def evaluated(rule: dict, columns: list[str]) -> tuple[Column, Column, list[Column]]:
+    """(triggered, missing, hits) of one resolved rule; hits: 'rule:metric' or null. Metrics whose column is not there count as missing."""
+    if "composite" in rule:
+        test = COMPOSITES[rule["composite"]](rule["params"]) if rule["composite"] in COMPOSITES else F.lit(False)
+        return test, F.lit(False), [F.when(test, f"{rule['id']}:_composite:{rule['composite']}")]
+    metric = lambda path: F.col(path) if path.split(".")[0] in columns else F.lit(None).cast("double")
+    tests = {path: first_comparison(metric(path), condition) for path, condition in rule["when"].items()}
+    absent = F.greatest(*[metric(path).isNull().cast("int") for path in tests], F.lit(0)) > 0
+    hit = sum((t.cast("int") for t in tests.values()), F.lit(0))
+    triggered = hit == len(tests) if rule.get("match", "any") == "all" else hit > 0
+    return triggered, absent & ~triggered if rule.get("match", "any") == "all" else absent, [F.when(triggered & t, f"{rule['id']}:{path}") for path, t in tests.items()]
+
+
+def eligibility(observed: DataFrame, rules: dict = policy.ELIGIBILITY) -> DataFrame:
+    """(asset_id, decision, triggered): the gravest decision of the rules that hold; a protective ALLOW cancels DELAY, then a missing metric raises ALLOW to DELAY."""
     grave = {"ALLOW": 0, "DELAY": 1, "FREEZE": 2}
-    worst = F.greatest(F.lit(0), *[F.when(compared(F.col(m), op, t), grave[d]).otherwise(0) for m, op, t, d in rules], F.lit(0))
-    if override is not None:
-        worst = F.when(override & (worst == 1), 0).otherwise(worst)
-    missing = F.lit(False)
-    for m in {r[0] for r in rules}:
-        missing = missing | F.col(m).isNull()
-    worst = F.when(missing & (worst == 0), 1).otherwise(worst)
-    reasons = F.array_compact(F.array(*[F.when(compared(F.col(m), op, t), f"{m}_{op}") for m, op, t, _ in rules]))
-    return metrics.select("asset_id", F.element_at(F.array(F.lit("ALLOW"), F.lit("DELAY"), F.lit("FREEZE")), worst + 1).alias("decision"), reasons.alias("reasons"))
+    worst, override, missing, hits = F.lit(grave[rules["default"]]), F.lit(False), F.lit(False), []
+    for rule in rules["rules"]:
+        if rule.get("decision") not in grave:
+            continue
+        triggered, absent, found = evaluated(policy.resolved(rule, rules["thresholds"]), observed.columns)
+        missing, hits = missing | absent, hits + found
+        if rule.get("override") and rule["decision"] == "ALLOW":
+            override = override | triggered
+        else:
+            worst = F.greatest(worst, F.when(triggered, grave[rule["decision"]]).otherwise(0))
+    worst = F.when(override & (worst == 1), 0).otherwise(worst)
+    worst = F.when(missing, F.greatest(worst, F.lit(grave[rules["on_missing"]]))).otherwise(worst)
+    return observed.select("asset_id", F.element_at(F.array(F.lit("ALLOW"), F.lit("DELAY"), F.lit("FREEZE")), worst + 1).alias("decision"), F.array_compact(F.array(*hits)).alias("triggered"))
+
+
+def sampled_values(values: DataFrame, most: int = 200, most_chars: int = 8_000, total_chars: int = 2_000_000, seed: int = 42) -> DataFrame:
+    """The values of each path that a profile samples (a sampling operator): in hash order, at most ``most`` of at most ``most_chars`` characters, until ``total_chars`` are read."""
+    order = Window.partitionBy("path").orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), "asset_id", F.col("value_index").cast("string"))), "asset_id")
+    cut = values.where("value is not null").withColumn("chars", F.least(F.length("value"), F.lit(most_chars)))
+    ranked = cut.withColumn("r_", F.row_number().over(order)).withColumn("before_", F.coalesce(F.sum("chars").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return ranked.where((F.col("r_") <= most) & (F.col("before_") + F.col("chars") <= total_chars)).select("asset_id", "path", "value_index", "chars")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexicarium import policy
+
 CONTAINER = ["asset_id", "path", "value_index"]
 COORDINATE = [*CONTAINER, "segment_index", "sentence_index", "char_start", "char_end"]
 SENTENCE = "[^.?!。！？]*[.?!。！？]+|[^.?!。！？]+$"
@@ -58,27 +60,41 @@ def frequent_units(units: DataFrame, least: int = 2, most_paths: int = 20) -> Da
     return grouped.where(F.col("occurrence_count") >= least)
 
 
-def noise_verdict(units: DataFrame, most_symbol_ratio: float = 0.5, least_length: int = 2) -> DataFrame:
+def unit_marks(units: DataFrame) -> DataFrame:
+    """(unit_id, char_len, punct_count) of every unit."""
+    return units.select("unit_id", F.length("unit_text").alias("char_len"), F.regexp_count("unit_text", F.lit(PUNCTUATION)).alias("punct_count"))
+
+
+def _only(c: Column, characters: str) -> Column:
+    """Not empty, and nothing but the given characters."""
+    return (F.length(c) > 0) & (F.translate(c, characters, "") == "")
+
+
+def noise_verdict(units: DataFrame, rules: dict = policy.NOISE) -> DataFrame:
     """KEEP or DROP with ordered reasons for every distinct unit text; a numeric text gives its reason by rule and by pattern."""
     t = F.col("unit_text")
-    symbols = F.regexp_count(t, F.lit(r"[^\p{L}\p{N}\s]"))
     reasons = F.array_compact(
         F.array(
-            F.when(F.length(t) < least_length, "too_short"),
+            F.when(t == "", "empty_unit_text"),
+            F.when(F.length(t) < rules["min_length"], "below_min_length"),
             F.when(t.rlike(r"^\p{Nd}+$"), "numeric_only"),
-            F.when(t.rlike(r"^\p{P}+$"), "punctuation_only"),
-            F.when(t.rlike(r"^[^\p{L}\p{N}\s]+$"), "symbol_only"),
-            F.when(symbols > F.length(t) * most_symbol_ratio, "symbol_heavy"),
-            F.when(t.rlike(r"^[0-9]+$"), "numeric_only"),
+            F.when(_only(t, rules["punctuation"]), "pure_punctuation"),
+            F.when(_only(t, rules["symbols"]), "symbol_only"),
+            *[F.when(t.rlike(f"(?U){pattern}"), reason) for pattern, reason in rules["patterns"]],
         )
     )
     return units.select("unit_text").distinct().withColumn("reasons", reasons).withColumn("verdict", F.when(F.size("reasons") > 0, "DROP").otherwise("KEEP"))
 
 
+def noise_reason_counts(verdicts: DataFrame) -> DataFrame:
+    """(verdict, reason, n): how many texts each reason meets, KEEP with a null reason."""
+    return verdicts.select("verdict", F.explode_outer(F.array_distinct("reasons")).alias("reason")).groupBy("verdict", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def position_bucket(sentence: Column, last: Column) -> Column:
     """early, middle or late by the sentence's place against its container's last sentence."""
     ratio = F.when(last > 0, sentence / last).otherwise(0.0)
-    return F.when(ratio <= 0.33, "early").when(ratio < 0.67, "middle").otherwise("late")
+    return F.when(ratio <= policy.STRUCTURE["early"], "early").when(ratio < policy.STRUCTURE["late"], "middle").otherwise("late")
 
 
 def structure_profile(units: DataFrame) -> DataFrame:
@@ -97,28 +113,83 @@ def structure_profile(units: DataFrame) -> DataFrame:
         F.max(F.struct("n", "path")).alias("top"),
         *[F.sum(b).alias(b) for b in ("early", "middle", "late")],
     )
-    ratio = F.round(F.col("top.n") / F.col("occurrence_count"), 6)
-    role = F.when((F.col("occurrence_count") >= 3) & (ratio >= 0.8), "stable").when(F.col("occurrence_count") < 3, "incidental").otherwise("diffuse")
-    return total.select("unit_text", "occurrence_count", "segment_coverage", "path_diversity", F.col("top.path").alias("dominant_path"), ratio.alias("dominant_path_ratio"), role.alias("structural_role"), "early", "middle", "late")
-
-
-def boundary_profile(units: DataFrame, least: int = 3, unstable: float = 0.5, anomalous: float = 0.8) -> DataFrame:
-    """Per unit text: length variance over the containers' segments, cross-segment ratio 1 - max/total (0 for one key) and status."""
-    by_segment = units.groupBy("unit_text", "segment_index").agg(F.count(F.lit(1)).alias("n"))
-    crossed = by_segment.groupBy("unit_text").agg(F.sum("n").alias("occurrence_count"), F.count(F.lit(1)).alias("keys"), F.max("n").alias("top"))
-    ratio = F.when(F.col("keys") > 1, F.round(1 - F.col("top") / F.col("occurrence_count"), 6)).otherwise(0.0)
-    lengths = units.groupBy("unit_text").agg(F.round(F.coalesce(F.var_pop((F.col("char_end") - F.col("char_start")).cast("double")), F.lit(0.0)), 6).alias("length_variance"), F.min("segment_index").alias("first_segment"), F.max("segment_index").alias("last_segment"))
-    status = F.when(F.col("occurrence_count") < least, "OK").when(ratio >= anomalous, "ANOMALOUS").when(ratio >= unstable, "UNSTABLE").otherwise("OK")
-    out = crossed.select("unit_text", "occurrence_count", ratio.alias("cross_ratio"), status.alias("boundary_status"), (F.col("occurrence_count") < least).alias("insufficient_sample"))
-    return out.join(lengths, "unit_text")
-
-
-def prominence(profile: DataFrame, boundary: DataFrame, noise: DataFrame) -> DataFrame:
-    """ALLOW, DELAY or FREEZE a unit text: boundary first, then noise, then role; with the confidence of its evidence."""
-    joined = profile.join(boundary.select("unit_text", "boundary_status"), "unit_text", "left").join(noise.select("unit_text", "verdict"), "unit_text", "left")
-    decision = F.when(F.col("boundary_status") == "ANOMALOUS", "FREEZE").when(F.col("verdict") == "DROP", "FREEZE").when(F.col("boundary_status") == "UNSTABLE", "DELAY").when(F.col("structural_role") == "stable", "ALLOW").otherwise("DELAY")
-    confidence = F.when(F.col("occurrence_count") >= 10, "high").when(F.col("occurrence_count") >= 3, "medium").otherwise("low")
-    return joined.select("unit_text", decision.alias("decision"), confidence.alias("audit_confidence"), F.when(F.col("boundary_status").isNull(), "miss").otherwise("hit").alias("join_status"))
+    rule, ratio = policy.STRUCTURE, F.col("top.n") / F.col("occurrence_count")
+    paths, segments = F.col("path_diversity"), F.col("segment_coverage")
+    role = F.when((paths >= rule["stable_paths"]) & (segments >= rule["stable_segments"]), "stable").when((paths == 1) & (segments <= rule["incidental_segments"]), "incidental").otherwise("diffuse")
+    return total.select("unit_text", "occurrence_count", "segment_coverage", "path_diversity", F.col("top.path").alias("dominant_path"), F.round(ratio, 6).alias("dominant_path_ratio"), role.alias("structural_role"), "early", "middle", "late", (ratio >= rule["dominant"]).alias("high_path_concentration"), (segments == 1).alias("single_segment_bias"))
+
+
+def classified(value: Column, limits: tuple[float, float]) -> Column:
+    """0 up to the first limit, 1 up to the second, 2 beyond."""
+    return F.when(value <= limits[0], 0).when(value <= limits[1], 1).otherwise(2)
+
+
+def boundary_profile(units: DataFrame, rule: dict = policy.BOUNDARY) -> DataFrame:
+    """Per unit text: length variance, how its occurrences spread over segment and (segment, sentence) indexes (1 - largest / all, 0 for one), issues and status.
+
+    Texts of too few occurrences are OK with the issue ``insufficient_sample`` and no evidence.
+    """
+    n, size = F.count(F.lit(1)), F.length("unit_text")
+    sentences = units.groupBy("unit_text", "segment_index", "sentence_index").agg(n.alias("n"), F.min(size).alias("low"), F.max(size).alias("high"), F.sum(size).alias("s"), F.sum(size * size).alias("ss"))
+    segments = sentences.groupBy("unit_text", "segment_index").agg(F.sum("n").alias("n"), F.max("n").alias("top"), n.alias("keys"), *[f(c).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.sum, "s"), (F.sum, "ss"))])
+    found = segments.groupBy("unit_text").agg(F.sum("n").alias("occurrence_count"), F.max("n").alias("top"), n.alias("segments"), F.max("top").alias("sentence_top"), F.sum("keys").alias("sentences"), *[f(c).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.sum, "s"), (F.sum, "ss"))])
+    all_ = F.col("occurrence_count")
+    crossing = lambda top, keys: F.when(F.col(keys) > 1, 1 - F.col(top) / all_).otherwise(0.0)
+    variance = F.when(all_ < 2, 0.0).otherwise(F.greatest(F.lit(0.0), F.col("ss") / all_ - (F.col("s") / all_) * (F.col("s") / all_)))
+    measures = (("length_variance", variance, "length_variance_high", "length_variance_severe"), ("segment_crossing", crossing("top", "segments"), "segment_crossing_frequent", "segment_crossing_severe"), ("sentence_crossing", crossing("sentence_top", "sentences"), "sentence_crossing_frequent", "sentence_crossing_severe"))
+    enough = all_ >= rule["min_occurrences"]
+    levels = {name: classified(value, rule[name]) for name, value, _, _ in measures}
+    issues = F.array_compact(F.array(*[F.when(levels[name] == 1, high).when(levels[name] == 2, severe) for name, _, high, severe in measures]))
+    worst = F.greatest(*levels.values())
+    status = F.when(~enough, "OK").otherwise(F.element_at(F.array(F.lit("OK"), F.lit("UNSTABLE"), F.lit("ANOMALOUS")), worst + 1))
+    shown = lambda value: F.when(enough, value)
+    return found.select(
+        "unit_text", "occurrence_count", status.alias("boundary_status"), F.when(enough, issues).otherwise(F.array(F.lit("insufficient_sample"))).alias("boundary_issues"),
+        shown(F.round(variance, 6)).alias("length_variance"), shown(F.col("low")).alias("length_min"), shown(F.col("high")).alias("length_max"),
+        shown(F.round(measures[1][1], 6)).alias("segment_cross_ratio"), shown(F.round(measures[2][1], 6)).alias("sentence_cross_ratio"), shown(F.col("segments")).alias("segments_observed"), shown(F.col("sentences")).alias("sentences_observed"),
+    )
+
+
+def kept_boundaries(boundary: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Boundary rows of the texts that the noise rules keep."""
+    return boundary.join(verdicts.where("verdict = 'KEEP'").select("unit_text"), "unit_text", "left_semi")
+
+
+def prominence(profile: DataFrame, boundary: DataFrame, rule: dict = policy.PROMINENCE) -> DataFrame:
+    """ALLOW, DELAY or FREEZE a unit text: an unstable or unknown boundary first, then a noise risk (where ``boundary`` has one), then the role; with the confidence that its evidence gives."""
+    risk = F.lower(F.trim("noise_risk")) if "noise_risk" in boundary.columns else F.lit(None).cast("string")
+    side = boundary.select(F.trim("unit_text").alias("key_"), F.trim("boundary_status").alias("boundary_status"), risk.alias("noise_risk"))
+    joined = profile.join(side, F.trim("unit_text") == F.col("key_"), "left")
+    stable, role = F.coalesce(F.lower("boundary_status").isin("ok", "stable"), F.lit(False)), F.lower(F.trim("structural_role"))
+    decision = F.when(~stable, rule["boundary"])
+    for level, action in rule["noise"].items():
+        decision = decision.when(F.col("noise_risk") == level, action)
+    for name, action in rule["role"].items():
+        decision = decision.when(role == name, action)
+    decision = decision.otherwise("ALLOW")
+    evidence = sum((F.col(c).isNotNull().cast("int") for c in ("boundary_status", "noise_risk", "structural_role")), F.lit(0))
+    confidence = F.when(decision == "ALLOW", F.when(evidence >= 2, 1.0).otherwise(0.75)).when(decision == "FREEZE", F.when(evidence >= 2, 0.75).otherwise(0.5)).otherwise(F.when(evidence >= 1, 0.5).otherwise(0.25))
+    return joined.select("unit_text", decision.alias("decision"), confidence.alias("audit_confidence"), F.when(F.col("key_").isNull(), "miss").otherwise("hit").alias("join_status"), "boundary_status", "noise_risk", "structural_role")
+
+
+def register(decisions: DataFrame) -> DataFrame:
+    """(unit_id, registry_id, unit_text) of the allowed texts, equal trimmed ones once."""
+    text = decisions.where("decision = 'ALLOW'").select(F.trim("unit_text").alias("unit_text")).where("unit_text <> ''").distinct()
+    return text.select(F.sha1("unit_text").alias("unit_id"), F.concat(F.lit("SU_v0002_"), F.substring(F.sha2("unit_text", 256), 1, 12)).alias("registry_id"), "unit_text")
+
+
+def selected_units(units: DataFrame, paths: list[str], most: int | None = None) -> DataFrame:
+    """Units of the given paths, in the order of their coordinates; ``most`` is the operator's own limit. A unit_id on two rows is an error."""
+    out = units.where(F.col("path").isin(paths))
+    twice = F.count(F.lit(1)).over(Window.partitionBy("unit_id"))
+    out = out.withColumn("unit_id", F.when(twice > 1, F.raise_error(F.concat(F.lit("unit_id on several rows: "), "unit_id"))).otherwise(F.col("unit_id")))
+    return out.orderBy(*COORDINATE).limit(most) if most is not None else out
+
+
+def record_reasons(records: DataFrame) -> DataFrame:
+    """(unit_id, reason) of records that are not valid units: a missing field, a wrong span, an empty text; null for valid ones."""
+    missing = [F.when(F.col(c).isNull(), f"missing_{c}") for c in ("asset_id", "path", "segment_index", "sentence_index", "char_start", "char_end")]
+    return records.select("unit_id", F.coalesce(*missing, F.when(F.coalesce(stripped(F.col("unit_text")), F.lit("")) == "", "empty_text"), F.when((F.col("char_start") < 0) | (F.col("char_end") < F.col("char_start")), "invalid_span")).alias("reason"))
 
 
 def unit_statistics(units: DataFrame) -> DataFrame:

@@ -60,21 +60,34 @@ def frequent_units(spark, sf_dir):
     return units.frequent_units(_units(spark, sf_dir))
 
 
-@query(
-    UNITS
-    + r"""SELECT unit_text, list_filter([CASE WHEN length(unit_text) < 2 THEN 'too_short' END, CASE WHEN regexp_matches(unit_text, '^\p{Nd}+$') THEN 'numeric_only' END, CASE WHEN regexp_matches(unit_text, '^\p{P}+$') THEN 'punctuation_only' END,
-CASE WHEN regexp_matches(unit_text, '^[^\p{L}\p{N}\s]+$') THEN 'symbol_only' END, CASE WHEN length(regexp_replace(unit_text, '[\p{L}\p{N}\s]', '', 'g')) > 0.5 * length(unit_text) THEN 'symbol_heavy' END, CASE WHEN regexp_matches(unit_text, '^[0-9]+$') THEN 'numeric_only' END], lambda x: x IS NOT NULL) AS reasons,
-CASE WHEN len(reasons) > 0 THEN 'DROP' ELSE 'KEEP' END AS verdict FROM (SELECT DISTINCT unit_text FROM units)"""
-)
+NOISE = r""", noise AS (SELECT unit_text, list_filter([CASE WHEN unit_text = '' THEN 'empty_unit_text' END, CASE WHEN length(unit_text) < 2 THEN 'below_min_length' END, CASE WHEN regexp_matches(unit_text, '^\p{Nd}+$') THEN 'numeric_only' END,
+CASE WHEN regexp_matches(unit_text, '^[.,;:!?，。；：？！]+$') THEN 'pure_punctuation' END, CASE WHEN regexp_matches(unit_text, '^[-_=+*/\\|<>~`^#@]+$') THEN 'symbol_only' END,
+CASE WHEN regexp_matches(unit_text, '^[-_]{2,}$') THEN 'repeated_symbols' END, CASE WHEN regexp_matches(unit_text, '^\*{2,}$') THEN 'repeated_symbols' END, CASE WHEN regexp_matches(unit_text, '^\p{Nd}+$') THEN 'numeric_only' END], lambda x: x IS NOT NULL) AS reasons,
+CASE WHEN len(reasons) > 0 THEN 'DROP' ELSE 'KEEP' END AS verdict FROM (SELECT DISTINCT unit_text FROM units))
+"""
+
+
+@query(UNITS + NOISE + "SELECT * FROM noise")
 def noise_units(spark, sf_dir):
     return units.noise_verdict(_units(spark, sf_dir))
 
 
+@query(UNITS + NOISE + "SELECT verdict, reason, count(*) AS n FROM (SELECT verdict, unnest(CASE WHEN len(reasons) > 0 THEN list_distinct(reasons) ELSE [NULL] END) AS reason FROM noise) GROUP BY ALL")
+def noise_reason_counts(spark, sf_dir):
+    return units.noise_reason_counts(units.noise_verdict(_units(spark, sf_dir)))
+
+
+@query(UNITS + "SELECT unit_id, length(unit_text) AS char_len, len(regexp_extract_all(unit_text, '[.,;:!?。！？]')) AS punct_count FROM units")
+def unit_marks(spark, sf_dir):
+    return units.unit_marks(_units(spark, sf_dir))
+
+
 PROFILE = """, pos AS (SELECT *, max(sentence_index) OVER (PARTITION BY asset_id, path, segment_index) AS last FROM units),
 bk AS (SELECT *, CASE WHEN last > 0 THEN CAST(sentence_index AS DOUBLE) / last ELSE 0 END AS r FROM pos),
 bp AS (SELECT unit_text, path, count(*) AS n, count(DISTINCT asset_id || ':' || segment_index) AS segments, count(*) FILTER (r <= 0.33) AS early, count(*) FILTER (r > 0.33 AND r < 0.67) AS middle, count(*) FILTER (r >= 0.67) AS late FROM bk GROUP BY unit_text, path),
 profile AS (SELECT unit_text, CAST(sum(n) AS BIGINT) AS occurrence_count, CAST(sum(segments) AS BIGINT) AS segment_coverage, count(*) AS path_diversity, arg_max(path, lpad(CAST(n AS VARCHAR), 12, '0') || path) AS dominant_path, round(max(n) / sum(n), 6) AS dominant_path_ratio,
-CASE WHEN sum(n) >= 3 AND round(max(n) / sum(n), 6) >= 0.8 THEN 'stable' WHEN sum(n) < 3 THEN 'incidental' ELSE 'diffuse' END AS structural_role, CAST(sum(early) AS BIGINT) AS early, CAST(sum(middle) AS BIGINT) AS middle, CAST(sum(late) AS BIGINT) AS late FROM bp GROUP BY unit_text)
+CASE WHEN count(*) >= 3 AND sum(segments) >= 5 THEN 'stable' WHEN count(*) = 1 AND sum(segments) <= 2 THEN 'incidental' ELSE 'diffuse' END AS structural_role, CAST(sum(early) AS BIGINT) AS early, CAST(sum(middle) AS BIGINT) AS middle, CAST(sum(late) AS BIGINT) AS late,
+max(n) / sum(n) >= 0.8 AS high_path_concentration, sum(segments) = 1 AS single_segment_bias FROM bp GROUP BY unit_text)
 """
 
 
@@ -83,10 +96,17 @@ def structure_profile(spark, sf_dir):
     return units.structure_profile(_units(spark, sf_dir))
 
 
-BOUNDARY = """, cs AS (SELECT unit_text, segment_index, count(*) AS n FROM units GROUP BY ALL),
-cr AS (SELECT unit_text, CAST(sum(n) AS BIGINT) AS occurrence_count, CASE WHEN count(*) > 1 THEN round(1 - max(n) / sum(n), 6) ELSE 0.0 END AS cross_ratio FROM cs GROUP BY unit_text),
-le AS (SELECT unit_text, round(var_pop(CAST(char_end - char_start AS DOUBLE)), 6) AS length_variance, min(segment_index) AS first_segment, max(segment_index) AS last_segment FROM units GROUP BY unit_text),
-boundary AS (SELECT cr.unit_text, occurrence_count, cross_ratio, CASE WHEN occurrence_count < 3 THEN 'OK' WHEN cross_ratio >= 0.8 THEN 'ANOMALOUS' WHEN cross_ratio >= 0.5 THEN 'UNSTABLE' ELSE 'OK' END AS boundary_status, occurrence_count < 3 AS insufficient_sample, length_variance, first_segment, last_segment FROM cr JOIN le ON cr.unit_text = le.unit_text)
+BOUNDARY = """, ba AS (SELECT unit_text, count(*) AS n, var_pop(CAST(length(unit_text) AS DOUBLE)) AS lv, min(length(unit_text)) AS lo, max(length(unit_text)) AS hi FROM units GROUP BY unit_text),
+bs AS (SELECT unit_text, CASE WHEN count(*) > 1 THEN 1 - max(n) / sum(n) ELSE 0 END AS seg, count(*) AS segs FROM (SELECT unit_text, segment_index, count(*) AS n FROM units GROUP BY ALL) GROUP BY unit_text),
+bt AS (SELECT unit_text, CASE WHEN count(*) > 1 THEN 1 - max(n) / sum(n) ELSE 0 END AS sen, count(*) AS sens FROM (SELECT unit_text, segment_index, sentence_index, count(*) AS n FROM units GROUP BY ALL) GROUP BY unit_text),
+bi AS (SELECT *, list_filter([CASE WHEN lv > 3.5 THEN 'length_variance_severe' WHEN lv > 1.5 THEN 'length_variance_high' END, CASE WHEN seg > 0.5 THEN 'segment_crossing_severe' WHEN seg > 0.2 THEN 'segment_crossing_frequent' END, CASE WHEN sen > 0.6 THEN 'sentence_crossing_severe' WHEN sen > 0.3 THEN 'sentence_crossing_frequent' END], lambda x: x IS NOT NULL) AS issues FROM ba JOIN bs USING (unit_text) JOIN bt USING (unit_text)),
+boundary AS (SELECT unit_text, n AS occurrence_count, CASE WHEN n < 3 OR len(issues) = 0 THEN 'OK' WHEN list_has_any(issues, ['length_variance_severe', 'segment_crossing_severe', 'sentence_crossing_severe']) THEN 'ANOMALOUS' ELSE 'UNSTABLE' END AS boundary_status, CASE WHEN n < 3 THEN ['insufficient_sample'] ELSE issues END AS boundary_issues,
+CASE WHEN n >= 3 THEN round(lv, 6) END AS length_variance, CASE WHEN n >= 3 THEN lo END AS length_min, CASE WHEN n >= 3 THEN hi END AS length_max, CASE WHEN n >= 3 THEN round(seg, 6) END AS segment_cross_ratio, CASE WHEN n >= 3 THEN round(sen, 6) END AS sentence_cross_ratio, CASE WHEN n >= 3 THEN segs END AS segments_observed, CASE WHEN n >= 3 THEN sens END AS sentences_observed FROM bi)
+"""
+#: Boundary rows of kept texts only meet the decision, as in the chain of stages.
+DECIDED = """, decided AS (SELECT p.unit_text, CASE WHEN coalesce(lower(b.boundary_status), '') <> 'ok' THEN 'DELAY' WHEN structural_role = 'stable' THEN 'ALLOW' WHEN structural_role = 'diffuse' THEN 'DELAY' WHEN structural_role = 'incidental' THEN 'FREEZE' ELSE 'ALLOW' END AS decision,
+CASE WHEN decision = 'ALLOW' THEN 1.0 WHEN decision = 'FREEZE' THEN 0.75 ELSE 0.5 END AS audit_confidence, CASE WHEN b.unit_text IS NULL THEN 'miss' ELSE 'hit' END AS join_status, b.boundary_status, CAST(NULL AS VARCHAR) AS noise_risk, structural_role
+FROM profile p LEFT JOIN (SELECT * FROM boundary WHERE unit_text IN (SELECT unit_text FROM noise WHERE verdict = 'KEEP')) b ON p.unit_text = b.unit_text)
 """
 
 
@@ -95,10 +115,28 @@ def boundary_profile(spark, sf_dir):
     return units.boundary_profile(_units(spark, sf_dir))
 
 
-@query()
+def _decided(u: DataFrame) -> DataFrame:
+    return units.prominence(units.structure_profile(u), units.kept_boundaries(units.boundary_profile(u), units.noise_verdict(u)))
+
+
+@query(UNITS + PROFILE + BOUNDARY + NOISE + DECIDED + "SELECT * FROM decided")
 def prominence(spark, sf_dir):
-    u = _units(spark, sf_dir)
-    return units.prominence(units.structure_profile(u), units.boundary_profile(u), units.noise_verdict(u))
+    return _decided(_units(spark, sf_dir))
+
+
+@query(UNITS + PROFILE + BOUNDARY + NOISE + DECIDED + "SELECT sha1(t) AS unit_id, 'SU_v0002_' || substr(sha256(t), 1, 12) AS registry_id, t AS unit_text FROM (SELECT DISTINCT trim(unit_text) AS t FROM decided WHERE decision = 'ALLOW') WHERE t <> ''")
+def structural_register(spark, sf_dir):
+    return units.register(_decided(_units(spark, sf_dir)))
+
+
+@query(UNITS + "SELECT * FROM units WHERE path IN ('/src0/en', '/src1/de')")
+def selected_units(spark, sf_dir):
+    return units.selected_units(_units(spark, sf_dir), ["/src0/en", "/src1/de"])
+
+
+@query(UNITS + "SELECT unit_id, CASE WHEN unit_text = '' THEN 'empty_text' WHEN char_start < 0 OR char_end < char_start THEN 'invalid_span' END AS reason FROM units")
+def record_reasons(spark, sf_dir):
+    return units.record_reasons(_units(spark, sf_dir))
 
 
 @query(
@@ -157,7 +195,7 @@ def graph_statistics(spark, sf_dir):
     return graphs.graph_statistics(graphs.nodes_of(e), e)
 
 
-@query(UNITS + ADJACENCY + ENDS + "SELECT CASE WHEN degree >= 50 THEN '50+' ELSE CAST(degree // 5 * 5 AS VARCHAR) || '-' || CAST(degree // 5 * 5 + 4 AS VARCHAR) END AS bucket, count(*) AS n FROM dg GROUP BY bucket")
+@query(UNITS + ADJACENCY + ENDS + "SELECT CASE WHEN degree >= 200 THEN '200+' ELSE CAST(degree // 5 * 5 AS VARCHAR) || '-' || CAST(degree // 5 * 5 + 4 AS VARCHAR) END AS bucket, count(*) AS n FROM dg GROUP BY bucket")
 def degree_histogram(spark, sf_dir):
     e = graphs.adjacency_edges(_units(spark, sf_dir))
     return graphs.degree_histogram(graphs.degrees(graphs.nodes_of(e), e))
@@ -188,7 +226,7 @@ def weak_components(spark, sf_dir):
 
 
 CONCEPTS = """, concepts AS (SELECT sha256(t) AS concept_id, t AS unit_text FROM (SELECT DISTINCT trim(unit_text) AS t FROM units) WHERE t <> ''),
-instances AS (SELECT sha256(concat_ws('|', asset_id, path, value_index, segment_index, sentence_index, char_start, char_end)) AS instance_id, concept_id, asset_id, path, value_index, segment_index, sentence_index, char_start, char_end FROM units JOIN concepts USING (unit_text))
+instances AS (SELECT sha256(concat_ws('|', concept_id, asset_id, path, segment_index, char_start, char_end)) AS instance_id, concept_id, asset_id, path, value_index, segment_index, sentence_index, char_start, char_end FROM units JOIN concepts USING (unit_text))
 """
 
 
@@ -198,8 +236,7 @@ def _concepts(u: DataFrame) -> DataFrame:
 
 @query(UNITS + CONCEPTS + "SELECT * FROM instances")
 def instances(spark, sf_dir):
-    u = _units(spark, sf_dir)
-    return anchors.instance_declarations(u, _concepts(u))
+    return anchors.instance_declarations(_units(spark, sf_dir))
 
 
 @query(UNITS + CONCEPTS + "SELECT unit_text, count(*) AS n_instances, count(DISTINCT asset_id) AS n_assets FROM instances JOIN concepts USING (concept_id) GROUP BY unit_text ORDER BY n_instances DESC, unit_text LIMIT 100")
@@ -303,8 +340,8 @@ def _values(spark, sf_dir) -> DataFrame:
 
 @query(
     VALUES
-    + r"""SELECT asset_id, length(value) AS n, length(value) - length(regexp_replace(value, '\p{Nd}', '', 'g')) AS digits, length(value) - length(regexp_replace(value, '\p{P}', '', 'g')) AS punctuation, length(value) - length(regexp_replace(value, '\p{Cc}', '', 'g')) AS control, 0 AS control_other,
-length(value) - length(regexp_replace(value, '[()\[\]{}]', '', 'g')) AS brackets, length(value) - length(regexp_replace(value, '[,;|\t]', '', 'g')) AS separators,
+    + r"""SELECT asset_id, length(value) AS n, length(value) - length(regexp_replace(value, '\p{Nd}', '', 'g')) AS digits, length(value) - length(regexp_replace(value, '\p{P}', '', 'g')) AS punctuation, length(value) - length(regexp_replace(value, '\p{Cc}', '', 'g')) AS control, control - (length(value) - length(regexp_replace(value, '[\n\r\t]', '', 'g'))) AS control_other,
+length(value) - length(regexp_replace(value, '[()\[\]{}]', '', 'g')) AS brackets, length(value) - length(regexp_replace(value, '[,.:;=]', '', 'g')) AS separators,
 CASE WHEN length(value) > 0 THEN round(digits / length(value), 6) ELSE 0 END AS digit_ratio, CASE WHEN length(value) > 0 THEN round(punctuation / length(value), 6) ELSE 0 END AS punctuation_ratio FROM v"""
 )
 def character_ratios(spark, sf_dir):
@@ -320,19 +357,19 @@ def value_entropy(spark, sf_dir):
     return profiles.entropy(_values(spark, sf_dir))
 
 
-@query(VALUES + CHARS + f"SELECT asset_id, {BLOCK_CASE} AS block, count(*) AS n FROM c WHERE ch <> '' GROUP BY ALL")
+ALL_CHARS = ", c AS (SELECT asset_id, unnest(string_split(value, '')) AS ch, unnest(range(0, length(value))) AS pos FROM v)\n"
+
+
+@query(VALUES + ALL_CHARS + f"SELECT asset_id, {BLOCK_CASE} AS block, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY asset_id), 6) AS ratio FROM c WHERE ch <> '' GROUP BY asset_id, block")
 def block_distribution(spark, sf_dir):
     return profiles.block_distribution(_values(spark, sf_dir))
 
 
-@query(VALUES + CHARS + f", b AS (SELECT asset_id, pos, {BLOCK_CASE} AS after FROM c WHERE ch <> ''), t AS (SELECT lag(after) OVER (PARTITION BY asset_id ORDER BY pos) AS before, after FROM b) SELECT before, after, count(*) AS n FROM t WHERE before <> after GROUP BY before, after ORDER BY n DESC, before, after LIMIT 10")
+@query(VALUES + ALL_CHARS + f", b AS (SELECT asset_id, pos, {BLOCK_CASE} AS after FROM c WHERE ch <> ''), t AS (SELECT lag(after) OVER (PARTITION BY asset_id ORDER BY pos) AS before, after FROM b) SELECT before, after, count(*) AS n FROM t WHERE before <> after GROUP BY before, after ORDER BY n DESC, before, after LIMIT 10")
 def block_transitions(spark, sf_dir):
     return profiles.block_transitions(_values(spark, sf_dir))
 
 
-ALL_CHARS = ", c AS (SELECT asset_id, unnest(string_split(value, '')) AS ch, unnest(range(0, length(value))) AS pos FROM v)\n"
-
-
 @query(VALUES + ALL_CHARS + f"SELECT asset_id, {BLOCK_CASE} AS block, count(*) AS n FROM c WHERE ch <> '' GROUP BY ALL")
 def text_block_distribution(spark, sf_dir):
     return profiles.text_block_distribution(_values(spark, sf_dir))
@@ -348,10 +385,53 @@ def line_structure(spark, sf_dir):
     return profiles.line_structure(_values(spark, sf_dir))
 
 
-@query()
+BLOCK_ROWS = f""", k AS (SELECT asset_id, pos, ch, {BLOCK_CASE} AS block FROM c WHERE ch <> ''),
+kn AS (SELECT *, row_number() OVER (PARTITION BY asset_id, block ORDER BY pos) AS nth, count(*) OVER (PARTITION BY asset_id, block) AS n, count(*) OVER (PARTITION BY asset_id) AS total FROM k),
+kc AS (SELECT asset_id, block, n, total, ch, count(*) FILTER (nth <= 1024) AS q FROM kn GROUP BY ALL),
+blocks AS (SELECT asset_id, block, n, round(n / total, 6) AS ratio, CASE WHEN n >= 10 THEN round(log2(sum(q)) - sum(CASE WHEN q > 0 THEN q * log2(q) ELSE 0 END) / sum(q), 6) END AS entropy FROM kc GROUP BY asset_id, block, n, total)
+"""
+
+
+@query(VALUES + ALL_CHARS + BLOCK_ROWS + "SELECT asset_id, block, n, entropy FROM blocks WHERE n >= 10")
+def entropy_by_block(spark, sf_dir):
+    return profiles.entropy_by_block(_values(spark, sf_dir))
+
+
+OBSERVED = r""", ol AS (SELECT asset_id, value, string_split(value, chr(10)) AS ls, list_filter(ls, lambda x: regexp_matches(x, '\S')) AS fl FROM v WHERE value IS NOT NULL),
+ot AS (SELECT asset_id, count(*) FILTER (block <> prev) AS steps FROM (SELECT asset_id, block, lag(block) OVER (PARTITION BY asset_id ORDER BY pos) AS prev FROM k) GROUP BY asset_id),
+oe AS (SELECT asset_id, round(log2(sum(n)) - sum(n * log2(n)) / sum(n), 6) AS entropy FROM (SELECT asset_id, ch, count(*) AS n FROM k WHERE pos < 1024 GROUP BY ALL) GROUP BY asset_id),
+obs AS (SELECT asset_id, length(value) AS n, (length(value) - length(regexp_replace(value, '[\x00-\x7f]', '', 'g'))) / length(value) AS ascii_ratio, (length(value) - length(regexp_replace(value, '\p{Nd}', '', 'g'))) / length(value) AS digit_ratio, (length(value) - length(regexp_replace(value, '\p{P}', '', 'g'))) / length(value) AS punct_ratio,
+(length(value) - length(regexp_replace(value, '\p{Cc}', '', 'g'))) / length(value) AS control_ratio, (length(regexp_replace(value, '[\n\r\t]', '', 'g')) - length(regexp_replace(value, '\p{Cc}', '', 'g'))) / length(value) AS control_ratio_strict,
+length(value) - length(regexp_replace(value, '[()\[\]{}]', '', 'g')) AS paired_total, length(value) - length(regexp_replace(value, '[,.:;=]', '', 'g')) AS separators_total, coalesce(oe.entropy, 0) AS entropy, len(ls) AS total_lines, list_sum(list_transform(ls, lambda x: length(x))) / len(ls) AS avg_line_length, (len(ls) - len(fl)) / len(ls) AS empty_line_ratio,
+CASE WHEN len(fl) > 0 THEN len(list_filter(fl, lambda x: regexp_matches(x, '^[ \t]'))) / len(fl) ELSE 0 END AS indented_line_ratio, len(list_filter(ls, lambda x: regexp_matches(x, '[()\[\]{}]'))) / len(ls) AS paired_symbol_line_ratio, CASE WHEN len(fl) > 0 THEN len(list_filter(fl, lambda x: length(trim(x)) <= 5)) / len(fl) ELSE 0 END AS short_line_ratio,
+coalesce(steps, 0) AS transition_count, CASE WHEN length(value) > 1 THEN coalesce(steps, 0) / (length(value) - 1) ELSE 0 END AS transition_density FROM ol LEFT JOIN ot USING (asset_id) LEFT JOIN oe USING (asset_id))
+"""
+RATIOS = ["ascii_ratio", "digit_ratio", "punct_ratio", "control_ratio", "control_ratio_strict", "entropy", "avg_line_length", "empty_line_ratio", "indented_line_ratio", "paired_symbol_line_ratio", "short_line_ratio", "transition_density"]
+
+
+@query(VALUES + ALL_CHARS + BLOCK_ROWS + OBSERVED + f"SELECT asset_id, n, paired_total, separators_total, total_lines, transition_count, {', '.join(f'round({c}, 6) AS {c}' for c in RATIOS)} FROM obs")
+def string_observations(spark, sf_dir):
+    o = profiles.observations(_values(spark, sf_dir)).select("asset_id", "n", "unicode.*", "symbols.*", "line_structure.*", "block_transitions.*", F.col("entropy.avg").alias("entropy"))
+    return o.select("asset_id", "n", "paired_total", "separators_total", "total_lines", "transition_count", *[F.round(c, 6).alias(c) for c in RATIOS])
+
+
+@query(
+    VALUES
+    + ALL_CHARS
+    + BLOCK_ROWS
+    + OBSERVED
+    + """, rl AS (SELECT asset_id, indented_line_ratio >= 0.3 AND paired_symbol_line_ratio >= 0.3 AS protect, EXISTS (SELECT 1 FROM blocks b WHERE b.asset_id = o.asset_id AND ratio >= 0.5 AND b.entropy <= 1.5) AS junk, control_ratio_strict > 0.05 AS frozen, control_ratio_strict > 0.01 AS late, entropy > 5.5 AND transition_density > 0.4 AS damage FROM obs o)
+SELECT asset_id, CASE WHEN junk OR frozen THEN 'FREEZE' WHEN (late OR damage) AND NOT protect THEN 'DELAY' ELSE 'ALLOW' END AS decision,
+list_filter([CASE WHEN protect THEN 'allow_structured_content:line_structure.indented_line_ratio' END, CASE WHEN protect THEN 'allow_structured_content:line_structure.paired_symbol_line_ratio' END, CASE WHEN junk THEN 'freeze_repetitive_dominant_block:_composite:dominant_block_low_entropy' END, CASE WHEN frozen THEN 'freeze_extreme_control_chars:unicode.control_ratio_strict' END, CASE WHEN late THEN 'delay_control_char_ratio:unicode.control_ratio_strict' END, CASE WHEN damage THEN 'delay_encoding_damage:entropy.avg' END, CASE WHEN damage THEN 'delay_encoding_damage:block_transitions.transition_density' END], lambda x: x IS NOT NULL) AS triggered FROM rl"""
+)
 def eligibility(spark, sf_dir):
     v = _values(spark, sf_dir)
-    return profiles.eligibility(profiles.character_ratios(v).join(profiles.entropy(v), "asset_id", "left"))
+    return profiles.eligibility(profiles.with_blocks(profiles.observations(v), v))
+
+
+@query(r"WITH v AS (SELECT CAST(doc_id AS VARCHAR) AS asset_id, '/' || source || '/' || lang AS path, least(length(text), 8000) AS chars FROM documents WHERE text IS NOT NULL), r AS (SELECT *, row_number() OVER w AS r, coalesce(sum(chars) OVER (PARTITION BY path ORDER BY md5('42|' || asset_id || '|0'), asset_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM v WINDOW w AS (PARTITION BY path ORDER BY md5('42|' || asset_id || '|0'), asset_id)) SELECT asset_id, path, 0 AS value_index, chars FROM r WHERE r <= 20 AND b + chars <= 40000")
+def sampled_values(spark, sf_dir):
+    return profiles.sampled_values(_values(spark, sf_dir), most=20, total_chars=40_000)
 
 
 ANNOTATIONS = "WITH n AS (SELECT event_id AS annotation_id, user_id AS anchor_id, ts AS event_time, ts + INTERVAL 1 HOUR AS ingested_at, event_type AS annotation_type, props AS body, lag(event_id) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS supersedes FROM events)\n"
@@ -376,9 +456,9 @@ def current_revisions_as_of(spark, sf_dir):
     return retrieval.current_revisions(retrieval.selected(_annotations(spark, sf_dir), as_of="2024-01-20"))
 
 
-@query("SELECT item_id, text FROM benchmark WHERE contains(lower(text), 'the')")
+@query("SELECT doc_id, text FROM documents WHERE contains(lower(text), 'thing. the')")
 def text_search(spark, sf_dir):
-    return retrieval.containing(table(spark, sf_dir, "benchmark"), "text", "THE")
+    return retrieval.containing(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "THING. The")
 
 
 @query("SELECT doc_id, n_chars, true AS has_more FROM documents ORDER BY n_chars DESC, doc_id LIMIT 50 OFFSET 10")
@@ -404,16 +484,15 @@ def vector_problems(spark, sf_dir):
     return retrieval.vector_problems(table(spark, sf_dir, "embeddings"), 64)
 
 
-STORES = "WITH a AS (SELECT vec_id AS object_id, sha256('id=' || vec_id || '|label=' || label) AS signature FROM embeddings WHERE vec_id % 7 <> 0), b AS (SELECT vec_id AS object_id, sha256('id=' || vec_id || '|label=' || CASE WHEN vec_id % 11 = 0 THEN 'NULL' ELSE CAST(label AS VARCHAR) END) AS signature FROM embeddings WHERE vec_id % 5 <> 0)\n"
+STORES = "WITH a AS (SELECT doc_id AS object_id, sha256('id=' || doc_id || '|mark=' || coalesce(CAST(toxic AS VARCHAR), 'NULL')) AS signature FROM (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY doc_id)), b AS (SELECT doc_id AS object_id, sha256('id=' || doc_id || '|mark=' || CASE WHEN n_chars > 4000 THEN '1' ELSE '0' END) AS signature FROM documents)\n"
 
 
 def _stores(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Two stores of the same vectors that differ in known ways."""
-    e = table(spark, sf_dir, "embeddings")
-    v = F.col("vec_id")
-    a = e.withColumn("other", v % 7).where("other <> 0").select(v.alias("object_id"), retrieval.embedding_signature({"label": F.col("label"), "id": v}).alias("signature"))
-    b = e.withColumn("other", v % 5).where("other <> 0").select(v.alias("object_id"), retrieval.embedding_signature({"label": F.when(v % 11 != 0, F.col("label")), "id": v}).alias("signature"))
-    return a, b
+    """Two stores of marks: the labelled documents, and all documents marked by their length."""
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("mark"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") > 4000).cast("int").alias("mark"))
+    sign = lambda t: t.select(F.col("doc_id").alias("object_id"), retrieval.embedding_signature({"mark": F.col("mark"), "id": F.col("doc_id")}).alias("signature"))
+    return sign(labels), sign(docs)
 
 
 @query(STORES + "SELECT CASE WHEN a.object_id IS NULL THEN 'orphan' WHEN b.object_id IS NULL THEN 'missing' ELSE 'drift' END AS kind, count(*) AS n FROM a FULL JOIN b ON a.object_id = b.object_id WHERE a.signature IS DISTINCT FROM b.signature GROUP BY 1")

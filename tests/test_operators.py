@@ -34,7 +34,9 @@ def test_offsets_match_the_text_everywhere(spark):
 def test_numeric_text_gives_its_reason_twice(spark):
     got = {r.unit_text: (r.verdict, r.reasons) for r in units.noise_verdict(spark.createDataFrame([("123",), ("word",), ("!?",)], "unit_text string")).collect()}
     assert got["123"] == ("DROP", ["numeric_only", "numeric_only"]) and got["word"] == ("KEEP", [])
-    assert "punctuation_only" in got["!?"][1]
+    assert got["!?"] == ("DROP", ["pure_punctuation"])
+    more = {r.unit_text: r.reasons for r in units.noise_verdict(spark.createDataFrame([("",), ("a",), ("--",), ("**",), ("-*",), ("²",)], "unit_text string")).collect()}
+    assert more == {"": ["empty_unit_text", "below_min_length"], "a": ["below_min_length"], "--": ["symbol_only", "repeated_symbols"], "**": ["symbol_only", "repeated_symbols"], "-*": ["symbol_only"], "²": ["below_min_length"]}
 
 
 def unit_rows(spark, rows):
@@ -48,8 +50,20 @@ def test_dominant_path_tie_takes_the_larger(spark):
 
 def test_boundary_small_sample_and_cross_ratio(spark):
     got = {r.unit_text: r for r in units.boundary_profile(unit_rows(spark, [("1", "a", 0, 0, "s"), ("2", "a", 1, 0, "s"), *[(str(i), "a", 0, 0, "t") for i in range(3)], ("9", "a", 1, 0, "t"), *[(str(i), "a", 0, 1, "one") for i in range(4)]])).collect()}
-    assert got["s"].insufficient_sample and got["s"].boundary_status == "OK"
-    assert got["t"].cross_ratio == 0.25 and got["one"].cross_ratio == 0
+    assert (got["s"].boundary_status, got["s"].boundary_issues, got["s"].segment_cross_ratio) == ("OK", ["insufficient_sample"], None)
+    assert (got["t"].segment_cross_ratio, got["t"].boundary_status, got["t"].boundary_issues) == (0.25, "UNSTABLE", ["segment_crossing_frequent"])
+    assert got["one"].segment_cross_ratio == 0 and got["one"].boundary_status == "OK" and got["one"].length_variance == 0
+
+
+def test_roles_and_prominence_follow_the_policy(spark):
+    rows = [(str(i), f"p{i % 3}", i % 2, 0, "st") for i in range(6)] + [("1", "p0", 0, 1, "in"), *[(str(i), f"p{i % 2}", 0, 2, "di") for i in range(4)]]
+    profile = units.structure_profile(unit_rows(spark, rows))
+    assert {r.unit_text: r.structural_role for r in profile.collect()} == {"st": "stable", "in": "incidental", "di": "diffuse"}
+    boundary = spark.createDataFrame([("st ", "OK", None), ("in", "OK", "high"), ("di", "ANOMALOUS", None)], "unit_text string, boundary_status string, noise_risk string")
+    got = {r.unit_text: (r.decision, r.audit_confidence, r.join_status) for r in units.prominence(profile, boundary).collect()}
+    assert got == {"st": ("ALLOW", 1.0, "hit"), "in": ("FREEZE", 0.75, "hit"), "di": ("DELAY", 0.5, "hit")}
+    assert {r.decision for r in units.prominence(profile, boundary.limit(0)).collect()} == {"DELAY"}
+    assert units.register(units.prominence(profile, boundary)).count() == 1
 
 
 def test_positions(spark):
@@ -64,17 +78,24 @@ def test_nearest_rank_percentile(spark):
 
 
 def test_eligibility_order(spark):
-    m = spark.createDataFrame([("o", 3.0, 5, 0.0, 0.0), ("f", 1.0, 5, 0.0, 0.0), ("n", None, 500, 0.0, 0.0), ("a", 4.0, 500, 0.0, 0.0)], "asset_id string, entropy double, n int, digit_ratio double, punctuation_ratio double")
-    got = {r.asset_id: r.decision for r in profiles.eligibility(m, override=F.col("asset_id") == "o").collect()}
-    assert got == {"o": "ALLOW", "f": "FREEZE", "n": "DELAY", "a": "ALLOW"}
+    """An override cancels DELAY but not FREEZE; then a missing metric raises ALLOW to DELAY."""
+    one = "struct<indented_line_ratio: double, paired_symbol_line_ratio: double>"
+    rows = [("o", (1.0, 1.0), (0.02,), 3.0, []), ("f", (1.0, 1.0), (0.06,), 3.0, []), ("n", (1.0, 1.0), (None,), 3.0, []), ("d", (0.0, 0.0), (0.02,), 3.0, []), ("j", (0.0, 0.0), (0.0,), 3.0, [("greek", 0.5, 1.5)]), ("s", (0.0, 0.0), (0.0,), 3.0, [("greek", 0.9, None)]), ("e", (0.0, 0.0), (0.0,), 6.0, [])]
+    m = spark.createDataFrame(rows, f"asset_id string, line_structure {one}, unicode struct<control_ratio_strict: double>, bits double, blocks array<struct<block: string, ratio: double, entropy: double>>")
+    m = m.withColumn("entropy", F.struct(F.col("bits").alias("avg"))).withColumn("block_transitions", F.struct(F.lit(0.5).alias("transition_density")))
+    got = {r.asset_id: r.decision for r in profiles.eligibility(m).collect()}
+    assert got == {"o": "ALLOW", "f": "FREEZE", "n": "DELAY", "d": "DELAY", "j": "FREEZE", "s": "ALLOW", "e": "DELAY"}
+    hits = {r.asset_id: r.triggered for r in profiles.eligibility(m).collect()}
+    assert hits["e"] == ["delay_encoding_damage:entropy.avg", "delay_encoding_damage:block_transitions.transition_density"] and hits["s"] == []
+    assert {r.decision for r in profiles.eligibility(m.drop("unicode")).collect()} == {"DELAY", "FREEZE"}  # the metric is missing everywhere
 
 
 def test_blocks_are_counted_after_the_first_1024_characters(spark):
     v = spark.createDataFrame([("a", "", 0, "x" * 1_100 + "жж 日\ue003😀é"), ("b", "", 0, ""), ("c", "", 0, None)], VALUE)
     got = {(r.asset_id, r.block): r.n for r in profiles.text_block_distribution(v).collect()}
-    assert got == {("a", "ascii"): 1_101, ("a", "cyrillic"): 2, ("a", "cjk_unified"): 1, ("a", "other"): 2, ("a", "latin_1"): 1}
+    assert got == {("a", "basic_latin"): 1_101, ("a", "cyrillic"): 2, ("a", "cjk_unified"): 1, ("a", "other"): 1, ("a", "emoticons"): 1, ("a", "latin_supplement"): 1}
     steps = {(r.before, r.after): r.n for r in profiles.text_block_transitions(v).collect()}
-    assert steps == {p: 1 for p in [("ascii", "cyrillic"), ("cyrillic", "ascii"), ("ascii", "cjk_unified"), ("cjk_unified", "other"), ("other", "latin_1")]}
+    assert steps == {p: 1 for p in [("basic_latin", "cyrillic"), ("cyrillic", "basic_latin"), ("basic_latin", "cjk_unified"), ("cjk_unified", "other"), ("other", "emoticons"), ("emoticons", "latin_supplement")]}
 
 
 def test_graph_density_and_isolated_nodes(spark):
