@@ -12,7 +12,8 @@ columns (``n_lines``, ``n_removed``) are replaced.
 
 Plan: one pass hashes lines and windows (two independent 64-bit hashes) inside the scan; the
 windows, 40 bytes each and without text, are pre-aggregated before the shuffle, so one window
-that a third of the table holds is one row a task; only repeated windows are joined back, and the
+that a third of the table holds is one row a task; only repeated windows are joined back (a broadcast
+when they are counted to be at most 500,000 rows of 60 bytes, else a join that Spark splits where it is skewed), and the
 runs found are gathered by document. Texts cross a shuffle once, to meet their runs.
 """
 
@@ -21,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexicarium.llm.decontaminate import let
+from lexicarium.llm.decontaminate import _sized, let
+from lexicarium.llm.store import written
 
 WINDOW_LINES = 3
 
@@ -52,7 +54,7 @@ def removed_runs(windows: DataFrame, width: int = WINDOW_LINES) -> DataFrame:
     """(id, th, runs): per document the merged runs (first line, lines) that later occurrences cover, in order."""
     repeated = windows.groupBy("a", "b").agg(F.min(F.struct("id", "th", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("a").alias("ra"), F.col("b").alias("rb"), "first")
     is_first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th")) & (F.col("pos") == F.col("first.pos"))
-    later = windows.join(repeated, (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb"))).where(~is_first).select("id", "th", "pos").distinct()
+    later = windows.join(_sized(written(repeated, "windows")), (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb"))).where(~is_first).select("id", "th", "pos").distinct()
     # islands: a start within reach of the previous one continues its run
     by_doc = Window.partitionBy("id", "th").orderBy("pos")
     opened = F.coalesce((F.col("pos") > F.lag("pos").over(by_doc) + width).cast("int"), F.lit(1))
