@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexicarium.operators.tables import cut, drop
 from lexicarium.operators.units import CONTAINER
 
 #: ``skipped_containers`` reports containers of more units than this unless told otherwise.
@@ -17,16 +15,6 @@ SLICE = 500
 SEGMENT = [*CONTAINER, "segment_index"]
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """df without its lineage, written to the folder that ``spark.checkpoint.dir`` names; where none is set (one process, tests), to a temporary folder of the driver."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lexicarium-"))
-    return df.checkpoint()
-
-
 def adjacency_edges(units: DataFrame) -> DataFrame:
     """(src, dst, weight): consecutive units of a segment; no self-loops."""
     order = Window.partitionBy(*SEGMENT).orderBy("sentence_index", "char_start", "char_end")
@@ -102,16 +90,19 @@ def degree_histogram(degree: DataFrame, width: int = 5, last: int = 200) -> Data
 
 
 def weak_components(edges: DataFrame) -> DataFrame:
-    """(node, component): least node reachable over edges either way, until nothing changes; a checkpoint every round cuts the lineage."""
-    both = _cut(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
-    labels = _cut(both.groupBy(F.col("src").alias("node")).agg(F.min(F.least("src", "dst")).alias("component")))
+    """(node, component): least node reachable over edges either way, until nothing changes; a written table a round, of which the last stays."""
+    spark = edges.sparkSession
+    both, edge_path = cut(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
+    labels, path = cut(both.groupBy(F.col("src").alias("node")).agg(F.min(F.least("src", "dst")).alias("component")))
     while True:
         near = both.join(labels, both["dst"] == labels["node"]).groupBy("src").agg(F.min("component").alias("near"))
         step = labels.join(near, labels["node"] == near["src"]).select("node", F.col("component").alias("old"), F.least("component", "near").alias("next"))
         far = labels.select(F.col("node").alias("at"), F.col("component").alias("far"))
-        moved = _cut(step.join(far, step["next"] == far["at"], "left").select("node", "old", F.least("next", F.coalesce("far", "next")).alias("component")))
-        labels = moved.select("node", "component")
+        moved, new = cut(step.join(far, step["next"] == far["at"], "left").select("node", "old", F.least("next", F.coalesce("far", "next")).alias("component")))
+        drop(spark, path)
+        labels, path = moved.select("node", "component"), new
         if moved.where("component <> old").isEmpty():
+            drop(spark, edge_path)
             return labels
 
 
@@ -138,12 +129,13 @@ def tree_depths(nodes: DataFrame, most: int | None = None) -> DataFrame:
     """nodes with depth (roots 0, nodes that no root reaches -1) and is_leaf, by doubling pointers: rounds grow with the logarithm of the depth. ``most`` stops once that many steps are looked at; by default all are."""
     up = nodes.select("node_id", "parent_id")
     known = up.join(up.select(F.col("node_id").alias("p")), up["parent_id"] == F.col("p"), "left")
-    jump = _cut(known.select("node_id", F.col("p").alias("anchor"), F.when(F.col("p").isNull(), 0).otherwise(1).alias("steps"), (F.col("parent_id").isNull()).alias("rooted")))
+    jump, path = cut(known.select("node_id", F.col("p").alias("anchor"), F.when(F.col("p").isNull(), 0).otherwise(1).alias("steps"), (F.col("parent_id").isNull()).alias("rooted")))
     reach, left = 1, jump.where("anchor is not null").count()
     while left and (most is None or reach < most):
         up2 = jump.select(F.col("node_id").alias("a"), F.col("anchor").alias("a2"), F.col("steps").alias("s2"), F.col("rooted").alias("r2"))
-        jump = _cut(jump.join(up2, jump["anchor"] == up2["a"], "left").select("node_id", F.col("a2").alias("anchor"), (F.col("steps") + F.coalesce("s2", F.lit(0))).alias("steps"), F.coalesce("r2", "rooted").alias("rooted")))
-        reach *= 2
+        jump, new = cut(jump.join(up2, jump["anchor"] == up2["a"], "left").select("node_id", F.col("a2").alias("anchor"), (F.col("steps") + F.coalesce("s2", F.lit(0))).alias("steps"), F.coalesce("r2", "rooted").alias("rooted")))
+        drop(nodes.sparkSession, path)
+        path, reach = new, reach * 2
         before, left = left, jump.where("anchor is not null").count()
         if left == before:  # no depth between reach / 2 and reach, so none beyond: what is left is in or below cycles
             break
@@ -163,3 +155,51 @@ def neighbourhood(edges: DataFrame, start: DataFrame, hops: int = 4, most: int =
         frontier = step.join(found.select("node"), "node", "left_anti").withColumn("hop", F.lit(k))
         found = found.unionByName(frontier)
     return found.orderBy("hop", "node").limit(most)
+
+
+def normalised_edges(edges: DataFrame, directed: bool = True) -> DataFrame:
+    """(src, dst, weight): weight, else count, else 1; negative ones 0; endpoints of undirected edges in order, parallel edges kept."""
+    found = [F.col(c).cast("double") for c in ("weight", "count") if c in edges.columns]
+    weight = F.greatest(F.coalesce(*found, F.lit(1.0)), F.lit(0.0))
+    ends = (F.col("src"), F.col("dst")) if directed else (F.least("src", "dst"), F.greatest("src", "dst"))
+    return edges.where("src is not null and dst is not null").select(ends[0].alias("src"), ends[1].alias("dst"), weight.alias("weight"))
+
+
+def hierarchy_edges(edges: DataFrame, per_parent: int | None = None) -> DataFrame:
+    """(parent, child, weight): repeated edges keep their largest weight; of each parent the ``per_parent`` heaviest children, if given."""
+    once = edges.groupBy("parent", "child").agg(F.max("weight").alias("weight"))
+    if per_parent is None:
+        return once
+    rank = F.row_number().over(Window.partitionBy("parent").orderBy(F.desc("weight"), "child"))
+    return once.withColumn("r_", rank).where(F.col("r_") <= per_parent).drop("r_")
+
+
+def tree_statistics(tree: DataFrame) -> DataFrame:
+    """One row over nodes with depth and is_leaf (``tree_depths``): nodes, roots, leaves, greatest depth, nodes with a parent that is none of them, and whether some node hangs on a cycle."""
+    known = tree.select(F.col("node_id").alias("k_")).distinct()
+    dangling = tree.where("parent_id is not null").join(known, F.col("parent_id") == F.col("k_"), "left_anti").agg(F.count(F.lit(1)).alias("dangling_parents"))
+    own = tree.agg(F.count(F.lit(1)).alias("nodes"), F.count_if(F.col("parent_id").isNull()).alias("roots"), F.count_if("is_leaf").alias("leaves"), F.max("depth").alias("max_depth"), F.count_if(F.col("depth") < 0).alias("unreached"))
+    return own.crossJoin(dangling).withColumn("has_cycle", (F.col("unreached") > 0) & (F.col("dangling_parents") == 0))  # two single rows
+
+
+def snapshot_trend(snapshots: DataFrame) -> DataFrame:
+    """One row over snapshots (taken, node_count, edge_count, density): how many, their time range, and least, mean and greatest of each figure; snapshots without counts are left out."""
+    used = snapshots.where("node_count is not null and edge_count is not null and taken is not null")
+    figures = [f(c).alias(f"{c}_{name}") for c in ("node_count", "edge_count", "density") for name, f in (("min", F.min), ("mean", lambda c: F.round(F.avg(c), 6)), ("max", F.max))]
+    return used.agg(F.count(F.lit(1)).alias("snapshots"), F.min("taken").alias("first_taken"), F.max("taken").alias("last_taken"), *figures)
+
+
+RELATIONS = ("follows", "modifies", "based_on", "caused_by")
+
+
+def relation_problems(relations: DataFrame, nodes: DataFrame) -> DataFrame:
+    """relations with ``problem``: unknown kind, a reference to itself, an unknown end; null for those that may be appended."""
+    known = nodes.select("node").distinct()
+    out = relations.join(known.select(F.col("node").alias("a_")), F.col("src") == F.col("a_"), "left").join(known.select(F.col("node").alias("b_")), F.col("dst") == F.col("b_"), "left")
+    problem = F.when(~F.coalesce(F.col("kind").isin(*RELATIONS), F.lit(False)), "unknown_kind").when(F.col("src") == F.col("dst"), "self_reference").when(F.col("a_").isNull() | F.col("b_").isNull(), "unknown_end")
+    return out.withColumn("problem", problem).drop("a_", "b_")
+
+
+def payload(edges: DataFrame) -> DataFrame:
+    """Edges as JSON lines of a drawing: source, target, weight."""
+    return edges.select(F.to_json(F.struct(F.col("src").alias("source"), F.col("dst").alias("target"), "weight")).alias("json"))

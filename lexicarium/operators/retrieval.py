@@ -95,3 +95,111 @@ def store_differences(sql: DataFrame, store: DataFrame) -> DataFrame:
 def hybrid(hits: DataFrame, structured: DataFrame) -> DataFrame:
     """Vector hits that the structured query also has, in the order of their distance."""
     return hits.join(structured, hits.columns[0], "left_semi").orderBy("distance", hits.columns[0])
+
+
+def failures(annotations: DataFrame, status_col: str, statuses: list[str], decision_col: str, decisions: list[str]) -> DataFrame:
+    """What failure learning looks at: a failing status or a rejecting decision."""
+    return annotations.where(F.coalesce(F.col(status_col).isin(statuses), F.lit(False)) | F.coalesce(F.col(decision_col).isin(decisions), F.lit(False)))
+
+
+def json_search(rows: DataFrame, json_col: str, path: str, query: str) -> DataFrame:
+    """Rows whose JSON value at ``path`` holds the query, letter case aside; % and _ are plain characters."""
+    return rows.where(F.lower(F.get_json_object(json_col, path)).contains(query.lower()))
+
+
+def with_conflicts(annotations: DataFrame) -> DataFrame:
+    """annotations with ``branches``: how many supersede the same one, null where only this one does."""
+    return annotations.join(conflicts(annotations).select(F.col("supersedes").alias("s_"), F.col("n").alias("branches")), F.col("supersedes") == F.col("s_"), "left").drop("s_")
+
+
+def appended(requests: DataFrame, receipts: DataFrame, key: list[str], payload: Column) -> DataFrame:
+    """requests with ``outcome``: inserted, duplicate (a receipt of equal key and content) or conflict (equal key, other content); within the requests the first of a key counts as its receipt."""
+    hashed = requests.withColumn("content_hash", F.sha2(payload, 256))
+    known = receipts.select(*[F.col(k).alias(f"{k}_") for k in key], F.col("content_hash").alias("known_"))
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
+    own = Window.partitionBy(*key).orderBy("request_at", "content_hash")
+    joined = hashed.withColumn("first_", F.first("content_hash").over(own)).withColumn("place_", F.row_number().over(own)).join(known, same, "left")
+    held = F.coalesce("known_", F.when(F.col("place_") > 1, F.col("first_")))
+    outcome = F.when(held.isNull(), "inserted").when(held == F.col("content_hash"), "duplicate").otherwise("conflict")
+    return joined.withColumn("outcome", outcome).drop("first_", "place_", "known_", *[f"{k}_" for k in key])
+
+
+def episodes(annotations: DataFrame, key: list[str], slot_col: str, required: list[str], failing: list[str]) -> DataFrame:
+    """Per key an episode: members a slot, missing and contested slots, completeness, and the reasons that speak against using it; one aggregation."""
+    slots = annotations.groupBy(*key, slot_col).agg(F.count(F.lit(1)).alias("n"))
+    held = F.sort_array(F.collect_set(slot_col))  # a few slots an episode
+    out = slots.groupBy(*key).agg(F.sum("n").alias("members"), held.alias("slots"), F.sort_array(F.collect_set(F.when(F.col("n") > 1, F.col(slot_col)))).alias("contested"))
+    missing = F.sort_array(F.array_except(F.array(*[F.lit(x) for x in required]), "slots"))
+    out = out.withColumn("missing", missing).withColumn("completeness", F.when(F.size("missing") == 0, "complete").otherwise("incomplete"))
+    failed = F.arrays_overlap("slots", F.array(*[F.lit(x) for x in failing]))
+    reasons = F.array_compact(F.array(F.when(F.size("missing") > 0, "incomplete"), F.when(F.size("contested") > 0, "snapshot_conflict"), F.when(failed, "failure_counterexample")))
+    return out.withColumn("reasons", reasons).withColumn("eligible", F.size("reasons") == 0)
+
+
+def packed(rows: DataFrame, text_col: str, group: str, order: list[str], budget: int) -> DataFrame:
+    """Rows of each group, in order, that fit what is left of the byte budget; rows that do not are skipped, later ones may fit.
+
+    What is chosen depends on all choices before it, so the sizes (not the texts) of a group are streamed in order through one task.
+    """
+    small = rows.select(F.col(group).alias("g"), *order, F.octet_length(text_col).cast("long").alias("size")).where(F.col("size") <= budget)
+    names = [f for f in small.schema.fields if f.name != "size"]
+
+    def choose(batches):
+        now, left = None, budget
+        for batch in batches:
+            keep = []
+            for g, size in zip(batch["g"], batch["size"], strict=True):
+                if now is None or g != now[0]:
+                    now, left = (g,), budget
+                keep.append(size <= left)
+                left -= size if keep[-1] else 0
+            yield batch.loc[keep, [f.name for f in names]]
+
+    chosen = small.repartition("g").sortWithinPartitions("g", *order).mapInPandas(choose, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names))
+    return chosen.withColumnRenamed("g", group)
+
+
+def latest_by(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The last row of each key in order; one aggregation."""
+    rest = [c for c in rows.columns if c not in key]
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*key, "r.*")
+
+
+def nearest_to_each(queries: DataFrame, vectors: DataFrame, n: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", blocks: int = 16) -> DataFrame:
+    """(query_id, id, distance, rank): the n nearest vectors of every query, itself left out, exactly.
+
+    Queries are packed into ``blocks`` arrays that are broadcast (a query set counted to be small; beyond that call it in parts), each task keeps the n best of its rows for
+    every query, so what is shuffled is tasks x queries x n rows, not pairs.
+    """
+    import numpy as np
+    import pandas as pd
+
+    count = queries.limit(100_001).count()
+    if count > 100_000:
+        raise ValueError("more than 100,000 queries: pass them in parts")
+    found = queries.select(id_col, vector_col).orderBy(id_col).toArrow()  # counted above
+    ids = np.array(found.column(id_col).to_pylist(), np.int64)
+    q = np.array(found.column(vector_col).to_pylist(), np.float64).reshape(len(ids), -1)
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, q / np.linalg.norm(q, axis=1, keepdims=True) if len(ids) else q))
+
+    def best(batches):
+        qid, qv = shared.value
+        held_id, held = np.full((len(qid), n), -1, np.int64), np.full((len(qid), n), np.inf)
+        for batch in batches:
+            v = np.array(batch[vector_col].tolist(), np.float64)
+            mine = batch[id_col].to_numpy(np.int64)
+            for at in range(0, len(qid) if len(mine) else 0, 1024):
+                part = slice(at, at + 1024)
+                d = np.round(1 - qv[part] @ (v / np.linalg.norm(v, axis=1, keepdims=True)).T, 9)
+                d[qid[part][:, None] == mine[None, :]] = np.inf
+                both, who = np.hstack([held[part], d]), np.hstack([held_id[part], np.broadcast_to(mine, d.shape)])
+                order = np.lexsort((who, both), axis=1)[:, :n]
+                held[part], held_id[part] = np.take_along_axis(both, order, 1), np.take_along_axis(who, order, 1)
+        keep = np.isfinite(held)
+        yield pd.DataFrame({"query_id": np.repeat(qid, n)[keep.ravel()], id_col: held_id[keep], "distance": held[keep]})
+
+    top = vectors.select(id_col, vector_col).mapInPandas(best, f"query_id long, `{id_col}` long, distance double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", id_col))
+    return top.withColumn("rank", rank).where(F.col("rank") <= n).withColumn("distance", F.round("distance", 6))

