@@ -39,6 +39,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,8 +101,8 @@ def ngrams(vocabulary: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> t
     before = np.concatenate([[_START], h[:-1]])
     before[first] = _START
     pair = _joined(before, h)
-    history = np.concatenate([pair[:1], pair[:-1]])  # the pair that ends at the word before
-    triple = _joined(history, ~h)
+    before = np.concatenate([pair[:1], pair[:-1]])  # the pair that ends at the word before
+    triple = _joined(before, ~h)
     start = np.concatenate([[0], first])
     triple[start] = pair[start]
     return pair, triple
@@ -109,19 +110,27 @@ def ngrams(vocabulary: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> t
 
 def block_keys(vocabulary: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The block's sorted distinct keys (bucket and 40 bits, the last telling words from longer n-grams) and where its words, pairs and triples stand among them."""
-    pair, triple = ngrams(vocabulary, tokens, lengths)
-    shift, one = np.uint64(24 - bits), np.uint64(1)
-    keys = np.concatenate([(vocabulary >> shift) | one, (pair >> shift) & ~one, (triple >> shift) & ~one])
-    del pair, triple
-    keys, at = np.unique(keys, return_inverse=True)
-    at = at.astype(np.int32)
     n, v = len(tokens), len(vocabulary)
-    return keys, at[:v][tokens], at[v : v + n], at[v + n :]
+    shift, one = np.uint64(24 - bits), np.uint64(1)
+    keys = np.empty(v + 2 * n, np.uint64)
+    keys[v : v + n], keys[v + n :] = ngrams(vocabulary, tokens, lengths)
+    keys[:v] = vocabulary
+    keys >>= shift
+    keys[:v] |= one
+    keys[v:] &= ~one
+    # as np.unique with its inverse, by 32-bit positions: a block's memory is a task's memory
+    order = keys.argsort().astype(np.int32)
+    keys = keys[order]
+    new = np.concatenate([[True], keys[1:] != keys[:-1]])
+    at = np.empty(len(keys), np.int32)
+    at[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    del order
+    return keys[new], at[:v][tokens], at[v : v + n], at[v + n :]
 
 
 def _to_blocks(batches: Iterable[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes = np.array([len(x) if x is not None else 0 for x in batch.column("raw").to_pylist()], np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column("raw")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         cut = np.cumsum(sizes) // block_bytes
         edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), batch.num_rows]
         for start, end in zip(edges, edges[1:], strict=False):
@@ -151,17 +160,20 @@ def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 def _requests(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
             vocabulary, tokens, lengths, learn = _open(row)
             keys, words, pairs, triples = block_keys(vocabulary, tokens, lengths, bits)
-            inner = np.ones(len(tokens), bool)
+            inner = learn.copy()
             inner[np.cumsum(lengths) - lengths] = False  # where a text starts there is no triple
-            counts = sum(np.bincount(where[learn & use], minlength=len(keys)).astype(np.uint32) for where, use in ((words, True), (pairs, True), (triples, inner)))
-            bucket = (keys >> np.uint64(40)).astype(np.int64)
-            edges = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() + [len(keys)]
-            out = [(int(bucket[a]), row["block"], pack(keys[a:b] & np.uint64((1 << 40) - 1)), _planes(counts[a:b])) for a, b in zip(edges, edges[1:], strict=False)]
-            for a in range(0, len(out), 512):
-                yield _rows(out[a : a + 512], REQUEST_TYPES)
+            counts = np.zeros(len(keys), np.uint32)
+            for where, use in ((words, learn), (pairs, learn), (triples, inner)):
+                counts += np.bincount(where[use], minlength=len(keys)).astype(np.uint32)
+            del vocabulary, tokens, words, pairs, triples, where, use, inner, learn
+            edges = [*np.flatnonzero(np.diff(keys >> np.uint64(40), prepend=np.uint64(1 << 24))).tolist(), len(keys)]
+            spans = list(zip(edges, edges[1:], strict=False))
+            for a in range(0, len(spans), 128):
+                yield _rows([(int(keys[b]) >> 40, row["block"], pack(keys[b:c] & np.uint64((1 << 40) - 1)), _planes(counts[b:c])) for b, c in spans[a : a + 128]], REQUEST_TYPES)
 
 
 def _planes(values: np.ndarray) -> bytes:
