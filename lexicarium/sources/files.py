@@ -8,8 +8,13 @@ from pyspark.sql.types import StructType
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, bad lines): lines that do not parse keep their text and file."""
-    every = spark.read.schema(f"{schema}, _corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).withColumn("_file", F.col("_metadata.file_path"))
+    """(rows, bad lines): lines that do not parse keep their text and file; blank lines are neither.
+
+    Lines are read as text and parsed after: a JSON scan refuses to return its corrupt records alone.
+    """
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    parsed = F.from_json("value", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    every = lines.select(parsed.alias("r"), F.col("_metadata.file_path").alias("_file")).select("r.*", "_file")
     return every.where("_corrupt is null").drop("_corrupt"), every.where("_corrupt is not null").select("_file", "_corrupt")
 
 

@@ -199,9 +199,10 @@ def test_text_functions(spark):
 
 
 def test_json_lines_keep_bad_lines(spark, tmp_path):
-    (tmp_path / "a.jsonl").write_text('{"a": 1}\nnot json\n{"a": 2}\n')
+    (tmp_path / "a.jsonl").write_text('{"a": 1}\nnot json\n\n{"a": 2}\n{"a": "x"}\n')
     good, bad = files.json_lines(spark, str(tmp_path), "a long")
-    assert sorted(r.a for r in good.collect()) == [1, 2] and bad.first()._corrupt == "not json"
+    assert sorted(r.a for r in good.collect()) == [1, 2] and sorted(r._corrupt for r in bad.collect()) == ["not json", '{"a": "x"}']
+    assert good.columns == ["a", "_file"] and bad.first()._file.endswith("a.jsonl")
 
 
 def test_inventory_and_duplicates(spark, tmp_path):
