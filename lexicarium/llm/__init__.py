@@ -1 +1 @@
-"""Training-data operators: ten corpus-scale jobs and their registered queries."""
+"""Training-data operators: corpus-scale jobs and their registered queries."""

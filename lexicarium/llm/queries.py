@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with production parameters, and their DuckDB SQL where SQL can express them."""
+"""Registered queries of the operators, with production parameters, and their DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexicarium.llm import bpe, decontaminate, jaccard_join, language_id, line_dedup, lm_score, quality, sharding, toxicity, warc
+from lexicarium.llm import bpe, decontaminate, jaccard_join, language_id, line_dedup, lm_score, periodic_runs, quality, sharding, toxicity, warc
 from lexicarium.llm.store import new_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -76,6 +76,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = periodic_runs.find_runs(docs.select("doc_id", "text"), periodic_runs.planted_text(F.col("doc_id"), F.col("text")))
+    lines = F.transform("runs", lambda r: F.concat(r.start.cast("string"), F.lit(","), r.length.cast("string"), F.lit(","), r.period.cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best_run.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best_run.length div best_run.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -87,6 +101,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE_SQL = {
