@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexicarium.llm import alignment, bpe, decontaminate, jaccard_join, language_id, line_dedup, lm_score, periodic_runs, quality, sharding, toxicity, warc
+from lexicarium.llm import alignment, bpe, decontaminate, jaccard_join, language_id, line_dedup, lm_score, packing, periodic_runs, quality, sharding, toxicity, warc
 from lexicarium.llm.store import new_path
 
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -91,6 +92,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), WORDS)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(_table(spark, sf_dir, "documents").select("doc_id", "text"), BYTES, PIECES)
 
@@ -107,6 +112,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_packing": op12_packing,
     "op13_alignment": op13_alignment,
 }
 
