@@ -21,16 +21,20 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import sentencepiece
+import tiktoken
+from public_tokenizers import PATTERN
 from tokenizers import Tokenizer
 
 from lexicarium.llm.bpe import PIECE_CHARS, safe_pieces
 
-KEEP_CHUNKS, KEEP_CHARS = 200_000, 48
+KEEP_CHUNKS, KEEP_CHARS = 500_000, 48
 
 #: What the byte-level pattern's \s matches: the characters with the property White_Space.
 _WHITE = r"\t-\r " + "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -38,35 +42,71 @@ _WORDS = re.compile(rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]")
 _PIECES = re.compile(r" +[^ \n]*|\n[^ \n]*")
 
 
-class Memory(dict):
-    """chunk -> its ids as little-endian 32-bit integers (None: they do not spell it), encoded on demand."""
+class Memory:
+    """chunk -> its ids as little-endian 32-bit integers (None: they do not spell it); chunks not met before are encoded together."""
 
-    def __init__(self, encode: Callable[[str | bytes], bytes | None]):
-        super().__init__()
-        self.encode = encode
+    def __init__(self, encode_many: Callable[[list], list[bytes | None]]):
+        self.known: dict = {}
+        self.encode_many = encode_many
 
-    def __missing__(self, chunk):
-        value = self.encode(chunk)
-        if len(chunk) <= KEEP_CHARS:
-            if len(self) >= KEEP_CHUNKS:
-                self.clear()
-            self[chunk] = value
-        return value
+    def of(self, chunks: list) -> list[bytes | None]:
+        missing = set(chunks).difference(self.known)
+        if missing:
+            if len(self.known) + len(missing) > KEEP_CHUNKS:
+                self.known.clear()
+                missing = set(chunks)
+            new = list(missing)
+            self.known.update(zip(new, self.encode_many(new), strict=True))
+        out = list(map(self.known.__getitem__, chunks))
+        for chunk in missing:
+            if len(chunk) > KEEP_CHARS:
+                del self.known[chunk]
+        return out
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.asarray(ids, "<i4").tobytes()
+    return array("i", ids).tobytes()  # four bytes each, as on every machine that Spark runs on
+
+
+#: How the word vocabulary's file says that it normalises and splits a text.
+_WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same split of printable ASCII without white space.
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 class WordVocabulary:
-    """A vocabulary whose tokenizer drops white space, from its JSON file."""
+    """A vocabulary whose tokenizer drops white space, from its JSON file.
+
+    Chunks in printable ASCII are split here, as the file says, so that the tokenizer's model sees a new word once, whatever
+    stands around it; any other chunk, and one that may hold a special token, goes through the whole tokenizer.
+    """
 
     def __init__(self, file: bytes):
         tokenizer = Tokenizer.from_buffer(file)
-        self._memory = Memory(lambda chunk: _packed(tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids))
+        whole = lambda chunk: tokenizer.encode(chunk, add_special_tokens=False).ids
+        tokenize = tokenizer.model.tokenize
+        words = Memory(lambda new: [_packed([t.id for t in tokenize(w)]) for w in new])
+        plain = self._splits_as_known(json.loads(file))
+
+        def encode_many(chunks: list[bytes]) -> list[bytes]:
+            texts = [c.decode("utf-8", "replace") for c in chunks]
+            split = [_ASCII_WORDS.findall(t.lower()) if plain and t.isascii() and t.isprintable() and "<|" not in t else None for t in texts]
+            packed = iter(words.of([w for ws in split if ws for w in ws]))
+            return [_packed(whole(t)) if ws is None else b"".join(islice(packed, len(ws))) for t, ws in zip(texts, split, strict=True)]
+
+        self._memory = Memory(encode_many)
+
+    @staticmethod
+    def _splits_as_known(file: dict) -> bool:
+        normalizers = [n["type"] for n in (file.get("normalizer") or {}).get("normalizers", [])]
+        splits = (file.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        pattern = splits[0].get("pattern", {}).get("Regex")
+        special = all("<|" in t["content"] for t in file.get("added_tokens", []))
+        return special and normalizers == _WORD_NORMALIZERS and pattern == _WORD_PATTERN
 
     def ids(self, raw: bytes) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self._memory.__getitem__, raw.split())), "<i4")
+        return np.frombuffer(b"".join(self._memory.of(raw.split())), "<i4")
 
 
 class _Spelled:
@@ -74,12 +114,11 @@ class _Spelled:
 
     token_bytes: list[bytes]
 
-    def _finish(self, encode_chunk: Callable[[str], list[int]]) -> None:
+    def _finish(self, encode_many: Callable[[list[str]], list[list[int]]]) -> None:
         self.sizes = np.array([len(b) for b in self.token_bytes], np.int64)
 
-        def checked(chunk: str) -> bytes | None:
-            ids = encode_chunk(chunk)
-            return _packed(ids) if self.spell(ids) == chunk.encode() else None
+        def checked(chunks: list[str]) -> list[bytes | None]:
+            return [_packed(ids) if self.spell(ids) == chunk.encode() else None for chunk, ids in zip(chunks, encode_many(chunks), strict=True)]
 
         self._memory = Memory(checked)
 
@@ -95,7 +134,7 @@ class _Spelled:
     def ids(self, text: str) -> np.ndarray | None:
         """Ids of a space and the text; None if the tokens' bytes differ from it."""
         spaced = " " + text
-        chunks = list(map(self._memory.__getitem__, self._chunks(spaced)))
+        chunks = self._memory.of(self._chunks(spaced))
         if text and None not in chunks:
             return np.frombuffer(b"".join(chunks), "<i4")
         ids = self._whole(spaced)  # a chunk is not spelled out (or there is no text): the whole decides
@@ -120,7 +159,13 @@ class ByteVocabulary(_Spelled):
         names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
         self.token_bytes = [special[i].encode() if i in special else bytes(letters[c] for c in t) for i, t in enumerate(names)]
         self._encode = lambda text: [i for piece in ([text] if len(text) <= PIECE_CHARS else safe_pieces(text)) for i in tokenizer.encode(piece, add_special_tokens=False).ids]
-        self._finish(self._encode)
+        merges = [m if isinstance(m, list) else m.split(" ") for m in json.loads(file)["model"]["merges"]]
+        made = [tokenizer.token_to_id("".join(m)) for m in merges]
+        same_order = made == sorted(set(made), key=lambda i: (i is None, i)) and set(made).isdisjoint(tokenizer.token_to_id(c) for c in letters)
+        ranks = {b: i for i, b in enumerate(self.token_bytes) if i not in special}
+        # where ids rise with the merges they are ranks, and ASCII, which all pattern libraries class alike, takes the faster encoder
+        fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if same_order else None
+        self._finish(lambda chunks: [fast.encode_ordinary(c) if fast and c.isascii() and len(c) <= PIECE_CHARS else self._encode(c) for c in chunks])
 
     def _chunks(self, spaced: str) -> list[str]:
         return _WORDS.findall(spaced)
@@ -140,13 +185,16 @@ class PieceVocabulary(_Spelled):
         plain = [n for i, n in enumerate(names) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
         self._cuts = not any("\n" in n or "▁" in n.lstrip("▁") for n in plain)
 
-        def encode_chunk(chunk: str) -> list[int]:
-            if chunk[0] == " ":  # the model puts this space back
-                return model.encode(chunk[1:]) if len(chunk) > 1 else [space]
-            ids = model.encode(chunk)
-            return ids[1:] if ids[:1] == [space] else ids  # without its own space
+        def encode_many(chunks: list[str]) -> list[list[int]]:
+            found = model.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)  # the model puts a leading space back
+            for k, c in enumerate(chunks):
+                if c == " ":
+                    found[k] = [space]
+                elif c[0] != " " and found[k][:1] == [space]:
+                    found[k] = found[k][1:]  # a line feed gets no space of its own
+            return found
 
-        self._finish(encode_chunk)
+        self._finish(encode_many)
 
     def _chunks(self, spaced: str) -> list[str]:
         return _PIECES.findall(spaced) if self._cuts else [spaced]

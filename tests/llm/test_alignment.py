@@ -67,8 +67,10 @@ def test_chunks_encode_like_the_whole_documents(spark):
 
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(vocabularies, "KEEP_CHUNKS", 3)
-    memory = vocabularies.Memory(lambda c: c.encode())
-    assert [memory[c] for c in "abcabcdefg"] == [c.encode() for c in "abcabcdefg"] and len(memory) <= 3
+    memory = vocabularies.Memory(lambda new: [c.encode() for c in new])
+    long = "x" * (vocabularies.KEEP_CHARS + 1)
+    for chunks in ("ab", "abc", "cd", "e", ["f", long]):
+        assert memory.of(list(chunks)) == [c.encode() for c in chunks] and len(memory.known) <= 3 and long not in memory.known
 
 
 def plain_alignment(rows):
