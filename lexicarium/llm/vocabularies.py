@@ -7,7 +7,7 @@ cheaper than encoding it. The memory of a vocabulary is bounded: it is emptied w
 
 The places of the cuts, by kind of vocabulary:
 
-* ``WordVocabulary``: at ASCII white space, which the tokenizer drops between words.
+* ``WordVocabulary``: at ASCII white space, which the tokenizer drops between words, and in ASCII and Latin letters at every word.
 * ``ByteVocabulary``: a chunk is a word with the space before it, or a run of white space as far as
   its pattern's ``\\s+(?!\\S)`` takes it.
 * ``PieceVocabulary``: before the first of several spaces and before a line feed, provided that no
@@ -38,6 +38,7 @@ KEEP_CHUNKS, KEEP_CHARS = 500_000, 48
 
 #: What the byte-level pattern's \s matches: the characters with the property White_Space.
 _WHITE = r"\t-\r " + "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+_CHUNKS = re.compile(r"[^ \t-\r]+")
 _WORDS = re.compile(rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]")
 _PIECES = re.compile(r" +[^ \n]*|\n[^ \n]*")
 
@@ -71,31 +72,28 @@ def _packed(ids: list[int]) -> bytes:
 #: How the word vocabulary's file says that it normalises and splits a text.
 _WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The same split of printable ASCII without white space.
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Letters beyond ASCII that are one composed character each, with one lower-case form: Latin-1 and Latin Extended A and B without the dotted capital I.
+_LATIN = "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x12F), (0x131, 0x24F)))
+#: The same split of printable ASCII and these letters, before it is put in lower case; a chunk with any other character stays whole.
+_KNOWN_WORDS = re.compile(rf"(?<![^ \t-\r])[!-~{_LATIN}]*+[^ -~\t-\r{_LATIN}][^ \t-\r]*|'(?:[sStTmMdD]|[rR][eE]|[vV][eE]|[lL][lL])|[a-zA-Z{_LATIN}]+|[0-9]|[^a-zA-Z0-9 \t-\r{_LATIN}]+")
+_KNOWN_WORD = re.compile(rf"[!-~{_LATIN}]+")
 
 
 class WordVocabulary:
     """A vocabulary whose tokenizer drops white space, from its JSON file.
 
-    Chunks in printable ASCII are split here, as the file says, so that the tokenizer's model sees a new word once, whatever
-    stands around it; any other chunk, and one that may hold a special token, goes through the whole tokenizer.
+    Words in printable ASCII and Latin letters are split off here, as the file says, so that the tokenizer's model sees a new word once, whatever
+    stands around it; any other chunk, and a text that may hold a special token, goes through the whole tokenizer.
     """
 
     def __init__(self, file: bytes):
         tokenizer = Tokenizer.from_buffer(file)
-        whole = lambda chunk: tokenizer.encode(chunk, add_special_tokens=False).ids
         tokenize = tokenizer.model.tokenize
-        words = Memory(lambda new: [_packed([t.id for t in tokenize(w)]) for w in new])
-        plain = self._splits_as_known(json.loads(file))
-
-        def encode_many(chunks: list[bytes]) -> list[bytes]:
-            texts = [c.decode("utf-8", "replace") for c in chunks]
-            split = [_ASCII_WORDS.findall(t.lower()) if plain and t.isascii() and t.isprintable() and "<|" not in t else None for t in texts]
-            packed = iter(words.of([w for ws in split if ws for w in ws]))
-            return [_packed(whole(t)) if ws is None else b"".join(islice(packed, len(ws))) for t, ws in zip(texts, split, strict=True)]
-
-        self._memory = Memory(encode_many)
+        whole = lambda chunk: tokenizer.encode(chunk, add_special_tokens=False).ids
+        self._chunks = Memory(lambda new: [_packed(whole(c)) for c in new])
+        letters = {b: c for c, b in byte_letters().items()}  # the model sees bytes as letters
+        self._words = Memory(lambda new: [_packed([t.id for t in tokenize(w.lower().encode().decode("latin-1").translate(letters))] if _KNOWN_WORD.fullmatch(w) else whole(w)) for w in new])
+        self._known_split = self._splits_as_known(json.loads(file))
 
     @staticmethod
     def _splits_as_known(file: dict) -> bool:
@@ -106,7 +104,9 @@ class WordVocabulary:
         return special and normalizers == _WORD_NORMALIZERS and pattern == _WORD_PATTERN
 
     def ids(self, raw: bytes) -> np.ndarray:
-        return np.frombuffer(b"".join(self._memory.of(raw.split())), "<i4")
+        text = raw.decode("utf-8", "replace")
+        plain = self._known_split and "<|" not in text
+        return np.frombuffer(b"".join(self._words.of(_KNOWN_WORDS.findall(text)) if plain else self._chunks.of(_CHUNKS.findall(text))), "<i4")
 
 
 class _Spelled:
