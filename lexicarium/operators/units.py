@@ -1,8 +1,7 @@
 """Text units: splitting with exact coordinates, identities, frequency, noise, structure and boundary profiles, prominence.
 
 A unit's coordinate is (asset_id, path, value_index, segment_index, sentence_index, char_start,
-char_end), offsets in code points. Containers are value positions, so the one shuffle of
-``split_units`` (by asset, path and value) serves every window that follows.
+char_end), offsets in code points.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexicarium import policy
+from lexicarium.functions.arrays import bound, sums_before
 
 CONTAINER = ["asset_id", "path", "value_index"]
 COORDINATE = [*CONTAINER, "segment_index", "sentence_index", "char_start", "char_end"]
@@ -29,17 +29,21 @@ def values_of(documents: DataFrame) -> DataFrame:
 
 
 def split_units(values: DataFrame) -> DataFrame:
-    """Paragraphs (non-blank lines) and their sentences with running indexes, exact offsets and a stable unit_id."""
-    line_at = Window.partitionBy(*CONTAINER).orderBy("line")
-    lines = values.where("value is not null").select(*CONTAINER, F.posexplode(F.split("value", "\n", -1)).alias("line", "paragraph"))
-    lines = lines.withColumn("base", F.coalesce(F.sum(F.length("paragraph") + 1).over(line_at.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    kept = lines.where(stripped(F.col("paragraph")) != "").withColumn("segment_index", F.row_number().over(line_at) - 1)
-    raw = kept.select(*CONTAINER, "segment_index", "base", F.posexplode(F.regexp_extract_all("paragraph", F.lit(SENTENCE), F.lit(0))).alias("part", "raw"))
-    part_at = Window.partitionBy(*CONTAINER, "segment_index").orderBy("part")
-    lead = F.length("raw") - F.length(F.regexp_replace("raw", r"(?U)^\s+", ""))
-    raw = raw.withColumn("char_start", F.col("base") + F.coalesce(F.sum(F.length("raw")).over(part_at.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + lead)
-    units = raw.withColumn("unit_text", stripped(F.col("raw"))).where("unit_text <> ''").withColumn("sentence_index", F.row_number().over(part_at) - 1)
-    units = units.withColumn("char_end", F.col("char_start") + F.length("unit_text")).select(*COORDINATE, "unit_text")
+    """Paragraphs (non-blank lines) and their sentences with running indexes, exact offsets and a stable unit_id; each value's offsets are folds within its row, so nothing is shuffled."""
+
+    def placed(lines: Column) -> Column:
+        starts = sums_before(F.transform(lines, lambda x: F.length(x) + 1))
+        return F.filter(F.arrays_zip(lines.alias("line"), starts.alias("base")), lambda x: stripped(x["line"]) != "")
+
+    def parted(raws: Column, base: Column) -> Column:
+        ahead = lambda raw: F.length(raw) - F.length(F.regexp_replace(raw, r"(?U)^\s+", ""))
+        pairs = F.arrays_zip(raws.alias("raw"), sums_before(F.transform(raws, F.length)).alias("before"))
+        parts = F.transform(pairs, lambda x: F.struct((base + x["before"] + ahead(x["raw"])).alias("char_start"), stripped(x["raw"]).alias("unit_text")))
+        return F.filter(parts, lambda x: x["unit_text"] != "")
+
+    lines = values.where("value is not null").select(*CONTAINER, F.posexplode(bound(F.split("value", "\n", -1), placed)).alias("segment_index", "l"))
+    found = bound(F.regexp_extract_all(F.col("l.line"), F.lit(SENTENCE), F.lit(0)), lambda raws: parted(raws, F.col("l.base")))
+    units = lines.select(*CONTAINER, "segment_index", F.posexplode(found).alias("sentence_index", "u")).select(*CONTAINER, "segment_index", "sentence_index", "u.char_start", (F.col("u.char_start") + F.length("u.unit_text")).alias("char_end"), "u.unit_text")
     return units.withColumn("unit_id", unit_id())
 
 
