@@ -607,4 +607,4 @@ def role_counts(spark, sf_dir):
     return table(spark, sf_dir, "conversations").groupBy(graphs.canonical_role(F.col("role")).alias("role")).agg(F.count(F.lit(1)).alias("n"))
 
 
-from lexicarium.plans import ledgers, reports  # noqa: E402, F401  registers their queries beside these
+from lexicarium.plans import ledgers, mechanisms, reports  # noqa: E402, F401  registers their queries beside these
