@@ -356,6 +356,48 @@ def test_toxicity_learns_from_documents_and_locates_sentences(spark):
     assert all(rows[i].score == 0 and rows[i].predicted == 0 for i in (700, 701, 702))
     assert {r.score for r in toxicity.score_documents(d, lab.limit(0)).collect()} == {0.0}
     assert toxicity.score_documents(d.limit(0), lab).count() == 0
+    twice = d.where("doc_id < 300").union(d.where("doc_id < 300")).union(spark.createDataFrame([(None, texts[0], "en", "s", 1), (9_000, texts[0] * 400, "en", "s", 1)], DOC))
+    again = toxicity.score_documents(twice, lab).collect()  # repeated rows teach once and score alike
+    assert len(again) == 602 and all(len({r.score for r in again if r.doc_id == i}) == 1 for i in (0, 1, 4))
+    loose = next(r for r in again if r.doc_id is None)
+    assert not loose.held_out and loose.score == next(r.score for r in again if r.doc_id == 0)
+    assert next(r for r in again if r.doc_id == 9_000).score >= loose.score
+
+
+def test_toxicity_slope_and_screening_equal_plain_sums():
+    rng = np.random.default_rng(2)
+    doc = np.sort(rng.integers(0, 12, 30))
+    bags = toxicity.Bags(doc, np.arange(30).repeat(3), rng.integers(0, 9, 90), rng.integers(1, 3, 90), rng.random(12) < 0.4)
+    w, b = rng.normal(0, 0.5, 9), -1.0
+
+    def plain(weights, intercept):
+        total = 0.0
+        for d in range(12):
+            none = 1.0
+            for i in np.flatnonzero(doc == d):
+                z = intercept + sum(weights[s] * t for s, t in zip(bags.slot[bags.instance == i], bags.times[bags.instance == i], strict=True))
+                none *= 1 - 1 / (1 + math.exp(-z))
+            total -= math.log(max(1e-9, 1 - none)) if bags.toxic[d] else math.log(max(none, 1e-300))
+        return total
+
+    loss, slope, own = toxicity.likelihood_and_slope(bags, w, b)
+    assert abs(loss - plain(w, b)) < 1e-9
+    for k in range(9):
+        step = np.eye(9)[k] * 1e-6
+        assert abs(slope[k] - (plain(w + step, b) - plain(w - step, b)) / 2e-6) < 1e-4
+    assert abs(own - (plain(w, b + 1e-6) - plain(w, b - 1e-6)) / 2e-6) < 1e-4
+    for k, found in enumerate(toxicity.deviations(bags, 9)):
+        docs = {d for d, s in zip(doc[bags.instance], bags.slot, strict=True) if s == k}
+        share, n = bags.toxic.mean(), len(docs)
+        spread = math.sqrt(max(n * share * (1 - share) * (1 - n / 13), 1e-9))
+        assert abs(found - (sum(bags.toxic[d] for d in docs) - n * share) / spread) < 1e-9
+    half = bags.of(np.arange(12) % 2 == 0)
+    assert len(half.toxic) == 6 and half.doc.max() < 6 and (half.toxic == bags.toxic[::2]).all()
+    full, part = toxicity.probabilities(bags, w, b), toxicity.probabilities(half, w, b)
+    assert np.allclose(full[::2], part)
+    assert toxicity.best_cut(np.array([0.1, 0.2, 0.6, 0.9]), np.array([False, False, True, True])) == 0.5
+    assert toxicity.best_cut(np.array([0.1, 0.2, 0.31, 0.9]), np.array([False, False, True, True])) in (0.25, 0.3)
+    assert toxicity._shown(0.3, 0.3) == 0.5 and toxicity._shown(0.0, 0.3) == 0 and toxicity._shown(1.0, 0.3) == 1
 
 
 # --- 9: WARC -----------------------------------------------------------------------------------
