@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lexicarium.operators import closure, graphs, hierarchy, sequences
+from lexicarium.operators import closure, graphs, hierarchy, sequences, structure
 from lexicarium.operators.tables import folder
 from lexicarium.plans.queries import UNITS, _units, query, table
 from lexicarium.sources import graph_store, json_arrays, published
@@ -116,8 +116,8 @@ def _array_files(spark, sf_dir):
 
 @query("SELECT page_id, url, sha256(html) AS html_sha256 FROM pages")
 def array_round_trip(spark, sf_dir):
-    """The pages written as JSON arrays and read back by byte ranges of 256 KB."""
-    items = json_arrays.root_array(spark, _array_files(spark, sf_dir), chunk_bytes=1 << 18, unique_fields=True)
+    """The pages written as JSON arrays and read back by byte ranges of 1 MB."""
+    items = json_arrays.root_array(spark, _array_files(spark, sf_dir), chunk_bytes=1 << 20, unique_fields=True)
     row = F.from_json("json", "page_id long, url string, html string").alias("r")
     return items.select(row).select("r.page_id", "r.url", F.sha2("r.html", 256).alias("html_sha256"))
 
@@ -125,7 +125,7 @@ def array_round_trip(spark, sf_dir):
 @query("SELECT count(*) AS items, CAST(sum(page_id) AS BIGINT) AS ids FROM pages")
 def array_inspection(spark, sf_dir):
     """Items of all array files, and the ids of items counted as the files number them: every file's last number is one less than its items."""
-    items = json_arrays.numbered(json_arrays.root_array(spark, _array_files(spark, sf_dir), chunk_bytes=1 << 18), 1 << 18)
+    items = json_arrays.numbered(json_arrays.root_array(spark, _array_files(spark, sf_dir), chunk_bytes=1 << 20), 1 << 20)
     per = items.groupBy("path").agg(F.max("index").alias("last"), F.sum(F.get_json_object("json", "$.page_id").cast("long")).alias("ids"))
     return per.agg(F.sum(F.col("last") + 1).alias("items"), F.sum("ids").alias("ids"))
 
@@ -258,3 +258,52 @@ def append_ledger(spark, sf_dir):
     stream = ledger.folder_stream(spark, f"{root}/requests", spark.read.parquet(f"{root}/requests").schema)
     ledger.append(stream, f"{root}/answers", f"{root}/state").awaitTermination()
     return spark.read.parquet(f"{root}/answers")
+
+
+# --- structure of JSON values, running intervals -------------------------------------------------
+def _event_statistics(spark, sf_dir):
+    """Structure of events as JSON: errors carry a detail that the contract does not know, cheap events have no props, purchases a number as tag."""
+    e = table(spark, sf_dir, "events")
+    props = F.when(F.col("value") >= 20, F.from_json("props", "k long"))
+    detail = F.when(F.col("event_type") == "error", F.struct(F.struct("user_id").alias("at")))
+    tags = F.when(F.col("event_type") == "purchase", F.to_json(F.array("user_id"))).otherwise(F.to_json(F.array("event_type", F.col("user_id").cast("string"))))
+    whole = F.to_json(F.struct(F.col("event_type").alias("kind"), props.alias("props"), detail.alias("detail")))
+    text = F.concat(F.expr("left(j_, length(j_) - 1)"), F.lit(',"tags":'), tags, F.lit("}"))
+    return structure.structure_statistics(e.withColumn("j_", whole).select(text.alias("json")), "json")
+
+
+STRUCTURE = """WITH e AS (SELECT event_type, user_id, value >= 20 AS has, event_type = 'error' AS err, event_type = 'purchase' AS buy FROM events),
+t AS (SELECT count(*) AS n, count(*) FILTER (has) AS props, count(*) FILTER (err) AS errs, count(*) FILTER (buy) AS buys, min(2 + has::INT + err::INT) AS lo, max(2 + has::INT + err::INT) AS hi, sum(2 + has::INT + err::INT) AS total FROM e),
+stats AS (SELECT '' AS path, 'object' AS type, n AS seen, lo AS size_min, hi AS size_max, total AS size_sum, ['array:' || n, 'object:' || (props + errs), 'string:' || n] AS child_types FROM t
+UNION ALL SELECT '/kind', 'string', n, NULL, NULL, NULL, NULL FROM t UNION ALL SELECT '/props', 'object', props, 1, 1, props, ['number:' || props] FROM t UNION ALL SELECT '/props/k', 'number', props, NULL, NULL, NULL, NULL FROM t
+UNION ALL SELECT '/detail', 'object', errs, 1, 1, errs, ['object:' || errs] FROM t UNION ALL SELECT '/detail/at', 'object', errs, 1, 1, errs, ['number:' || errs] FROM t UNION ALL SELECT '/detail/at/user_id', 'number', errs, NULL, NULL, NULL, NULL FROM t
+UNION ALL SELECT '/tags', 'array', n, 1, 2, 2 * n - buys, ['number:' || buys, 'string:' || (2 * (n - buys))] FROM t
+UNION ALL SELECT '/tags/*', 'number', buys, NULL, NULL, NULL, NULL FROM t UNION ALL SELECT '/tags/*', 'string', 2 * (n - buys), NULL, NULL, NULL, NULL FROM t)
+"""
+
+
+@query(STRUCTURE + "SELECT path, type, CAST(seen AS BIGINT) AS seen, CAST(size_min AS BIGINT) AS size_min, CAST(size_max AS BIGINT) AS size_max, round(size_sum / seen, 3) AS size_avg, child_types FROM stats")
+def structure_statistics(spark, sf_dir):
+    listed = F.transform(F.array_sort(F.map_entries("child_types")), lambda x: F.concat_ws(":", x["key"], x["value"].cast("string")))
+    return _event_statistics(spark, sf_dir).select("path", "type", "seen", "size_min", "size_max", "size_avg", listed.alias("child_types"))
+
+
+@query(
+    STRUCTURE
+    + """SELECT path, type, 'unknown_field' AS problem, CAST(seen AS BIGINT) AS n FROM stats WHERE path LIKE '/detail%' UNION ALL SELECT path, type, 'unexpected_type', CAST(seen AS BIGINT) FROM stats WHERE path = '/tags/*' AND type = 'number'
+UNION ALL SELECT '/props', NULL, 'missing', n - props FROM t WHERE n > props UNION ALL SELECT '/tags/0', NULL, 'missing', n FROM t WHERE false UNION ALL SELECT '/origin', NULL, 'missing', n FROM t"""
+)
+def structure_gate(spark, sf_dir):
+    contract = [("", ["object"], True), ("/kind", ["string"], True), ("/props", ["object"], True), ("/props/k", ["number"], True), ("/tags", ["array"], True), ("/tags/*", ["string"], False), ("/origin", ["string"], True)]
+    return structure.structure_gate(_event_statistics(spark, sf_dir), contract)
+
+
+@query(
+    """WITH i AS (SELECT event_type, CAST(floor(epoch(ts)) AS BIGINT) AS a, CAST(floor(epoch(ts)) AS BIGINT) + CAST(floor(value) AS BIGINT) * 60 AS b FROM events), m AS (SELECT event_type, a AS moment, 1 AS c FROM i WHERE a < b UNION ALL SELECT event_type, b, -1 FROM i WHERE a < b),
+g AS (SELECT event_type, moment, sum(c) AS c FROM m GROUP BY ALL) SELECT event_type, moment AS "at", CAST(sum(c) OVER (PARTITION BY event_type ORDER BY moment) AS BIGINT) AS running FROM g"""
+)
+def interval_concurrency(spark, sf_dir):
+    """Events as intervals of as many minutes as their value: how many of a type run at each moment."""
+    start = F.unix_timestamp("ts")
+    e = table(spark, sf_dir, "events").select("event_type", start.alias("a"), (start + F.floor("value") * 60).alias("b"))
+    return sequences.concurrency(e, ["event_type"], "a", "b", block=86_400)
