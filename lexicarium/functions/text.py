@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import unicodedata
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column
@@ -95,6 +97,44 @@ def canonical(c: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), r"(?U)\s+", " "))
 
 
+@dataclass(frozen=True)
+class CanonicalRules:
+    """What makes texts one concept: steps in the order of the fields."""
+
+    line_endings: bool = True
+    form: str = "NFC"
+    trim: bool = True
+    collapse: bool = True
+    casefold: bool = False
+    fullwidth: bool = False
+
+    def __post_init__(self):
+        if self.form not in ("NFC", "NFD", "NFKC", "NFKD"):
+            raise ValueError(f"unknown Unicode form {self.form}")
+
+    def apply(self, text: str) -> str:
+        if self.line_endings:
+            text = text.replace("\r\n", "\n").replace("\r", "\n")
+        text = unicodedata.normalize(self.form, text)
+        if self.trim:
+            text = text.strip()
+        if self.collapse:
+            text = re.sub(r"\s+", " ", text)
+        if self.casefold:
+            text = text.casefold()
+        return unicodedata.normalize("NFKC", text) if self.fullwidth else text
+
+
+def canonicaliser(rules: CanonicalRules = CanonicalRules()):
+    """A pandas UDF for the canonical form of texts; nulls stay."""
+
+    @F.pandas_udf("string")
+    def canonical_form(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if v is None else rules.apply(v))
+
+    return canonical_form
+
+
 def quality_flags(c: Column) -> Column:
     """Array of problems: empty, control characters, replacement characters."""
     return F.array_compact(F.array(F.when(F.trim(c) == "", "empty"), F.when(c.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]"), "control_noise"), F.when(c.contains("�"), "replacement_character")))

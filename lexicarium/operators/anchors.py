@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,18 +16,19 @@ def component_hash(*columns: str) -> Column:
     return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns]), 256)
 
 
-def concept_declarations(decisions: DataFrame) -> DataFrame:
-    """(concept_id, unit_text) of allowed texts (a missing decision passes), first of equal trimmed texts."""
-    kept = decisions.where(F.col("decision").isNull() | (F.col("decision") == "ALLOW")).select(F.trim("unit_text").alias("unit_text")).where("unit_text <> ''").distinct()
+def concept_declarations(decisions: DataFrame, canonical: Callable[[Column], Column] = F.trim) -> DataFrame:
+    """(concept_id, unit_text) of allowed texts (a missing decision passes), one of equal canonical texts; ``canonical`` trims by default, see ``text.canonicaliser``."""
+    allowed = decisions.where(F.col("decision").isNull() | (F.col("decision") == "ALLOW")).select("unit_text").distinct()
+    kept = allowed.select(canonical(F.col("unit_text")).alias("unit_text")).where("unit_text <> ''").distinct()
     return kept.select(F.sha2("unit_text", 256).alias("concept_id"), "unit_text")
 
 
 INSTANCE_PARTS = ["concept_id", "asset_id", "path", "segment_index", "char_start", "char_end"]
 
 
-def instance_declarations(units: DataFrame, concepts: DataFrame | None = None) -> DataFrame:
+def instance_declarations(units: DataFrame, concepts: DataFrame | None = None, canonical: Callable[[Column], Column] = F.trim) -> DataFrame:
     """(instance_id, concept_id, coordinate) of units; with ``concepts``, of those only whose concept is declared (a semi-join on its id, without texts)."""
-    own = units.where("trim(unit_text) <> ''").withColumn("concept_id", F.sha2(F.trim("unit_text"), 256))
+    own = units.where("trim(unit_text) <> ''").withColumn("concept_id", F.sha2(canonical(F.col("unit_text")), 256))
     own = own.join(concepts.select("concept_id"), "concept_id", "left_semi") if concepts is not None else own
     return own.select(component_hash(*INSTANCE_PARTS).alias("instance_id"), "concept_id", *COORDINATE)
 
@@ -37,20 +40,21 @@ def stable_attribute_id(scope: Column | None = None, kind: Column | None = None,
     return F.sha2(F.concat_ws("|", *[F.coalesce(p.cast("string"), none) for p in parts]), 256)
 
 
-def concept_attributes(profile: DataFrame, allowed: dict = policy.ATTRIBUTES, gate: bool = True) -> DataFrame:
+def concept_attributes(profile: DataFrame, allowed: dict = policy.ATTRIBUTES, gate: bool = True, order: str | None = None, canonical: Callable[[Column], Column] = F.trim) -> DataFrame:
     """(attr_id, object_type, object_id, attr_key, attr_value, attr_state) of the profiled concepts: known columns as rows, nulls left out.
 
     With ``gate`` only texts that are decided ALLOW have attributes. A value that its key does not allow is left out; of rows of one
-    (object, key) the last value in order stays.
+    (object, key) the last value by the column ``order`` stays; without such a column, or of equal places in it, the greatest.
     """
     keys = [k for k in allowed if k in profile.columns]
     rows = profile.where(F.col("decision").eqNullSafe("ALLOW")) if gate else profile
-    wide = rows.where("trim(unit_text) <> ''").select(F.sha2(F.trim("unit_text"), 256).alias("object_id"), *[F.col(k).cast("string").alias(k) for k in keys])
-    long = wide.unpivot("object_id", keys, "attr_key", "attr_value").where("attr_value is not null")
+    place = F.col(order) if order else F.lit(0)
+    wide = rows.where("trim(unit_text) <> ''").select(F.sha2(canonical(F.col("unit_text")), 256).alias("object_id"), place.alias("place_"), *[F.col(k).cast("string").alias(k) for k in keys])
+    long = wide.unpivot(["object_id", "place_"], keys, "attr_key", "attr_value").where("attr_value is not null")
     for k in keys:
         if allowed[k]:
             long = long.where((F.col("attr_key") != k) | F.col("attr_value").isin(*allowed[k]))
-    last = long.groupBy("object_id", "attr_key").agg(F.max("attr_value").alias("attr_value")).select(F.lit("concept").alias("object_type"), "object_id", "attr_key", "attr_value", F.lit("active").alias("attr_state"))
+    last = long.groupBy("object_id", "attr_key").agg(F.max_by("attr_value", F.struct("place_", "attr_value")).alias("attr_value")).select(F.lit("concept").alias("object_type"), "object_id", "attr_key", "attr_value", F.lit("active").alias("attr_state"))
     return last.select(stable_attribute_id().alias("attr_id"), "*")
 
 

@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lexicarium.operators import closure, graphs, hierarchy, sequences, structure
+from lexicarium.functions import text
+from lexicarium.operators import anchors, closure, graphs, hierarchy, sequences, structure, units
 from lexicarium.operators.tables import folder
 from lexicarium.plans.queries import UNITS, _units, query, table
 from lexicarium.sources import graph_store, json_arrays, published
@@ -148,13 +149,13 @@ def _closed(spark, sf_dir):
 
     e = table(spark, sf_dir, "events")
     a = annotations_of(e).join(e.select(F.col("event_id").alias("annotation_id"), "value"), "annotation_id")
-    text = lambda c: F.col(c).cast("string")
+    named = lambda c: F.col(c).cast("string")
     ref = lambda rows, kind, id_, relation, to_kind, to_id: rows.select(F.lit(kind).alias("kind"), id_.alias("id"), F.lit(relation).alias("relation"), F.lit(to_kind).alias("to_kind"), to_id.alias("to_id"))
-    attribute = F.concat(F.lit("k"), text("annotation_id"))
+    attribute = F.concat(F.lit("k"), named("annotation_id"))
     held = a.where("body is not null")
-    refs = ref(a.where("supersedes is not null"), "annotation", text("annotation_id"), "SUPERSEDES", "annotation", text("supersedes")).unionByName(ref(a, "annotation", text("annotation_id"), "ANCHORED_AT", "anchor", text("anchor_id"))).unionByName(ref(held, "attribute", attribute, "ATTRIBUTE_OF", "annotation", text("annotation_id")))
-    kept = a.where("not (annotation_type = 'view' and value < 20)").select(F.lit("annotation").alias("kind"), text("annotation_id").alias("id"), F.concat_ws(" ", "annotation_type", F.coalesce("body", F.lit(""))).alias("body"))
-    anchors = table(spark, sf_dir, "customer").select(F.lit("anchor").alias("kind"), text("c_custkey").alias("id"), F.col("c_name").alias("body"))
+    refs = ref(a.where("supersedes is not null"), "annotation", named("annotation_id"), "SUPERSEDES", "annotation", named("supersedes")).unionByName(ref(a, "annotation", named("annotation_id"), "ANCHORED_AT", "anchor", named("anchor_id"))).unionByName(ref(held, "attribute", attribute, "ATTRIBUTE_OF", "annotation", named("annotation_id")))
+    kept = a.where("not (annotation_type = 'view' and value < 20)").select(F.lit("annotation").alias("kind"), named("annotation_id").alias("id"), F.concat_ws(" ", "annotation_type", F.coalesce("body", F.lit(""))).alias("body"))
+    anchors = table(spark, sf_dir, "customer").select(F.lit("anchor").alias("kind"), named("c_custkey").alias("id"), F.col("c_name").alias("body"))
     bodies = kept.unionByName(anchors).unionByName(held.select(F.lit("attribute").alias("kind"), attribute.alias("id"), "body"))
     selected = held.where("annotation_type in ('error', 'view')").select(F.lit("attribute").alias("kind"), attribute.alias("id"))
     return closure.closure(selected, refs, bodies), refs, bodies
@@ -268,8 +269,8 @@ def _event_statistics(spark, sf_dir):
     detail = F.when(F.col("event_type") == "error", F.struct(F.struct("user_id").alias("at")))
     tags = F.when(F.col("event_type") == "purchase", F.to_json(F.array("user_id"))).otherwise(F.to_json(F.array("event_type", F.col("user_id").cast("string"))))
     whole = F.to_json(F.struct(F.col("event_type").alias("kind"), props.alias("props"), detail.alias("detail")))
-    text = F.concat(F.expr("left(j_, length(j_) - 1)"), F.lit(',"tags":'), tags, F.lit("}"))
-    return structure.structure_statistics(e.withColumn("j_", whole).select(text.alias("json")), "json")
+    both = F.concat(F.expr("left(j_, length(j_) - 1)"), F.lit(',"tags":'), tags, F.lit("}"))
+    return structure.structure_statistics(e.withColumn("j_", whole).select(both.alias("json")), "json")
 
 
 STRUCTURE = """WITH e AS (SELECT event_type, user_id, value >= 20 AS has, event_type = 'error' AS err, event_type = 'purchase' AS buy FROM events),
@@ -307,3 +308,28 @@ def interval_concurrency(spark, sf_dir):
     start = F.unix_timestamp("ts")
     e = table(spark, sf_dir, "events").select("event_type", start.alias("a"), (start + F.floor("value") * 60).alias("b"))
     return sequences.concurrency(e, ["event_type"], "a", "b", block=86_400)
+
+
+# --- canonical concepts --------------------------------------------------------------------------
+#: Texts are one concept when they are equal in NFC, trimmed, with white space collapsed and letter case folded away.
+CANONICAL = UNITS + r""", canon AS (SELECT *, lower(regexp_replace(nfc_normalize(unit_text), '\s+', ' ', 'g')) AS c FROM units)
+"""
+
+
+def _canonical():
+    return text.canonicaliser(text.CanonicalRules(casefold=False))
+
+
+def _folded(c):
+    return F.lower(_canonical()(c))
+
+
+@query(CANONICAL + "SELECT DISTINCT sha256(c) AS concept_id, c AS unit_text FROM canon WHERE c <> ''")
+def canonical_concepts(spark, sf_dir):
+    return anchors.concept_declarations(_units(spark, sf_dir).withColumn("decision", F.lit(None).cast("string")), _folded)
+
+
+@query(CANONICAL + "SELECT sha256(concat_ws('|', sha256(c), asset_id, path, segment_index, char_start, char_end)) AS instance_id, sha256(c) AS concept_id, unit_id FROM canon WHERE c <> ''")
+def canonical_instances(spark, sf_dir):
+    found = anchors.instance_declarations(_units(spark, sf_dir), canonical=_folded)
+    return found.select("instance_id", "concept_id", units.unit_id().alias("unit_id"))
