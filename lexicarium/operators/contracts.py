@@ -121,3 +121,86 @@ def intake_units(rows: DataFrame, id_col: str, text_col: str, adapter: str, vers
     lines = rows.select(id_col, F.sha2(text_col, 256).alias("source_hash"), F.posexplode(F.split(text_col, "\n")).alias("unit_index", "line_"))
     parts: list[Column] = [F.col("source_hash"), F.lit(adapter), F.lit(version), F.lit(policy), F.col("unit_index").cast("string")]
     return lines.where("trim(line_) <> ''").select(id_col, "unit_index", F.sha2(F.concat_ws("|", *parts), 256).alias("unit_id"))
+
+
+# --- messages, content parts and event times -------------------------------------------------
+#: What the canonical form of a message allows.
+ROLES = ("user", "assistant", "system", "tool", "developer", "unknown")
+PART_TYPES = ("text", "image", "audio", "file", "tool_call", "tool_result", "code", "structured", "unknown")
+RAW_TYPES = ("unix_seconds", "iso8601", "string", "integer", "decimal", "unknown")
+SEMANTIC_STATUSES = ("verified", "unverified", "ambiguous", "invalid", "missing")
+MAPPING_METHODS = ("direct", "renamed", "normalized", "derived_from_sequence", "synthesized_stable_id", "preserved_extension")
+LOSS_STATUSES = ("lossless", "represented_in_extension", "degraded", "unmapped")
+
+SOURCE_REF = "struct<source_file_id: string, source_path: string, source_index: bigint, source_id: string, source_value_sha256: string, mapping_method: string, loss_status: string>"
+PART = f"struct<part_id: string, part_index: bigint, part_type: string, text: string, source_ref: {SOURCE_REF}>"
+EVENT_TIME = f"struct<event_kind: string, raw_type: string, normalized_utc: string, semantic_status: string, source_ref: {SOURCE_REF}>"
+#: A message of the canonical form, a row each.
+MESSAGE = f"conversation_id string, node_id string, message_id string, role string, source_role string, content_type string, parts array<{PART}>, event_times array<{EVENT_TIME}>, source_ref {SOURCE_REF}"
+
+
+def _absent(c: Column) -> Column:
+    return F.coalesce(c == "", F.lit(True))
+
+
+def _not_in(c: Column, allowed: tuple[str, ...]) -> Column:
+    return ~F.coalesce(c.isin(*allowed), F.lit(False))
+
+
+def source_ref_errors(ref: Column, label: str) -> list[Column]:
+    """Errors of one source reference, null where there is none: no reference or file, a wrong index, digest, method or loss status."""
+    sha = F.coalesce(ref["source_value_sha256"].rlike("^[0-9a-f]{64}$"), F.lit(False))
+    tests = (("source_file", _absent(ref["source_file_id"])), ("source_path", ref["source_path"].isNull()), ("source_index", F.coalesce(ref["source_index"] < 0, F.lit(False))), ("source_sha256", ~sha), ("mapping_method", _not_in(ref["mapping_method"], MAPPING_METHODS)), ("loss_status", _not_in(ref["loss_status"], LOSS_STATUSES)))
+    return [F.when(test, f"{label}.{name}") for name, test in tests]
+
+
+def is_utc(c: Column) -> Column:
+    """ISO-8601 text in UTC with Z."""
+    return F.coalesce(c.rlike(r"^\d{4}-\d\d-\d\d([T ]\d\d(:\d\d(:\d\d(\.\d{1,6})?)?)?)?Z$") & F.try_to_timestamp(c).isNotNull(), F.lit(False))
+
+
+def _all_of(items: Column, errors) -> Column:
+    """The errors of every item of an array."""
+    return F.flatten(F.transform(F.coalesce(items, F.array()), lambda x, i: F.array_compact(F.array(*errors(x, i)))))
+
+
+def message_errors() -> Column:
+    """Array of errors of a row of MESSAGE: each error once, with the part or event time meant by ``part`` or ``event_time``."""
+
+    def part(p: Column, i: Column) -> list[Column]:
+        lost = F.coalesce(p["part_type"] == "text", F.lit(False)) & p["text"].isNull()
+        tests = (("part.part_id", _absent(p["part_id"])), ("part.part_index", ~F.coalesce(p["part_index"] == i, F.lit(False))), ("part.part_type", _not_in(p["part_type"], PART_TYPES)), ("part.text", lost))
+        return [F.when(test, name) for name, test in tests] + source_ref_errors(p["source_ref"], "part")
+
+    def event(e: Column, i: Column) -> list[Column]:
+        bad = e["normalized_utc"].isNotNull() & ~is_utc(e["normalized_utc"])
+        tests = (("event_time.event_kind", _absent(e["event_kind"])), ("event_time.raw_type", _not_in(e["raw_type"], RAW_TYPES)), ("event_time.normalized_utc", bad), ("event_time.semantic_status", _not_in(e["semantic_status"], SEMANTIC_STATUSES)))
+        return [F.when(test, name) for name, test in tests] + source_ref_errors(e["source_ref"], "event_time")
+
+    repeated = lambda items, key: F.coalesce(F.size(F.array_distinct(F.transform(items, key))) < F.size(items), F.lit(False))
+    own = (
+        ("message_id", _absent(F.col("message_id"))),
+        ("role", _not_in(F.col("role"), ROLES)),
+        ("source_role", _absent(F.col("source_role"))),
+        ("content_type", _absent(F.col("content_type"))),
+        ("parts", F.col("parts").isNull()),
+        ("event_times", F.col("event_times").isNull()),
+        ("repeated_part_id", repeated(F.col("parts"), lambda p: p["part_id"])),
+        ("repeated_event_time", repeated(F.col("event_times"), lambda e: F.struct(e["event_kind"], e["source_ref"]))),
+    )
+    mine = F.array_compact(F.array(*[F.when(test, name) for name, test in own], *source_ref_errors(F.col("source_ref"), "message")))
+    return F.array_distinct(F.concat(mine, _all_of(F.col("parts"), part), _all_of(F.col("event_times"), event)))
+
+
+def message_violations(messages: DataFrame) -> DataFrame:
+    """(conversation_id, node_id, message_id, error) of messages (columns of MESSAGE) that break the canonical form; a message_id on several rows, in any conversation, is ``repeated_message_id`` on each."""
+    rows = messages.select("conversation_id", "node_id", "message_id", F.explode(message_errors()).alias("error"))
+    twice = messages.where("message_id <> ''").groupBy("message_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("message_id").alias("m_"))
+    again = messages.join(twice, F.col("message_id") == F.col("m_"), "left_semi").select("conversation_id", "node_id", "message_id", F.lit("repeated_message_id").alias("error"))
+    return rows.unionByName(again)
+
+
+def message_counts(messages: DataFrame) -> DataFrame:
+    """One row: conversations, messages, content_parts, event_times."""
+    total = lambda c: F.coalesce(F.sum(F.coalesce(F.size(c), F.lit(0))), F.lit(0))
+    return messages.agg(F.count_distinct("conversation_id").alias("conversations"), F.count(F.lit(1)).alias("messages"), total("parts").alias("content_parts"), total("event_times").alias("event_times"))

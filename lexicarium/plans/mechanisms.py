@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexicarium.functions import text
-from lexicarium.operators import anchors, closure, graphs, hierarchy, sequences, structure, units
+from lexicarium.operators import anchors, closure, contracts, graphs, hierarchy, sequences, structure, units
 from lexicarium.operators.tables import folder
 from lexicarium.plans.queries import UNITS, _units, query, table
 from lexicarium.sources import graph_store, json_arrays, published
@@ -333,3 +333,43 @@ def canonical_concepts(spark, sf_dir):
 def canonical_instances(spark, sf_dir):
     found = anchors.instance_declarations(_units(spark, sf_dir), canonical=_folded)
     return found.select("instance_id", "concept_id", units.unit_id().alias("unit_id"))
+
+
+# --- messages of the canonical form --------------------------------------------------------------
+MESSAGES = """WITH m AS (SELECT CAST(conv_id AS VARCHAR) AS c, conv_id || ':' || turn AS node, CASE WHEN role = 'system' THEN 'system' ELSE conv_id || ':' || turn END AS id, role, turn, text,
+CASE WHEN length(text) > 120 THEN 1 ELSE 0 END AS place, CASE WHEN text LIKE '%.' THEN 'iso8601' ELSE 'date' END AS raw, CASE WHEN length(text) < 80 THEN '2024-05-0' || (turn % 9 + 1) || 'T10:00:00' ELSE '2024-05-0' || (turn % 9 + 1) || 'T10:00:00Z' END AS utc FROM conversations),
+e AS (SELECT *, list_filter([CASE WHEN role = 'assistant' AND turn > 2 THEN 'role' END, CASE WHEN turn = 0 THEN 'content_type' END, CASE WHEN place = 1 THEN 'part.part_index' END, CASE WHEN raw = 'date' THEN 'event_time.raw_type' END, CASE WHEN utc NOT LIKE '%Z' THEN 'event_time.normalized_utc' END, CASE WHEN turn = 1 THEN 'message.source_sha256' END], lambda x: x IS NOT NULL) AS errors FROM m)
+"""
+
+
+def _messages(spark, sf_dir):
+    """Turns as canonical messages with faults: system turns share an id, later assistants have an unknown role, long texts a wrong part index, short ones a time without zone."""
+    c = table(spark, sf_dir, "conversations")
+    node = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    sha = F.sha2("text", 256)
+    ref = lambda digest: F.struct(F.lit("f").alias("source_file_id"), F.lit("").alias("source_path"), F.lit(None).cast("long").alias("source_index"), F.lit(None).cast("string").alias("source_id"), digest.alias("source_value_sha256"), F.lit("direct").alias("mapping_method"), F.lit("lossless").alias("loss_status"))
+    part = F.struct(F.lit("p0").alias("part_id"), F.when(F.length("text") > 120, 1).otherwise(0).cast("long").alias("part_index"), F.lit("text").alias("part_type"), F.col("text"), ref(sha).alias("source_ref"))
+    day = F.concat(F.lit("2024-05-0"), (F.col("turn") % 9 + 1).cast("string"), F.lit("T10:00:00"))
+    utc = F.when(F.length("text") < 80, day).otherwise(F.concat(day, F.lit("Z")))
+    event = F.struct(F.lit("created").alias("event_kind"), F.when(F.col("text").endswith("."), "iso8601").otherwise("date").alias("raw_type"), utc.alias("normalized_utc"), F.lit("verified").alias("semantic_status"), ref(sha).alias("source_ref"))
+    return c.select(
+        F.col("conv_id").cast("string").alias("conversation_id"),
+        node.alias("node_id"),
+        F.when(F.col("role") == "system", "system").otherwise(node).alias("message_id"),
+        F.when((F.col("role") == "assistant") & (F.col("turn") > 2), "bot").otherwise(F.col("role")).alias("role"),
+        F.col("role").alias("source_role"),
+        F.when(F.col("turn") > 0, "text").otherwise("").alias("content_type"),
+        F.array(part).alias("parts"),
+        F.array(event).alias("event_times"),
+        ref(F.when(F.col("turn") == 1, F.upper(sha)).otherwise(sha)).alias("source_ref"),
+    )
+
+
+@query(MESSAGES + "SELECT c AS conversation_id, node AS node_id, id AS message_id, unnest(errors) AS error FROM e UNION ALL SELECT c, node, id, 'repeated_message_id' FROM e WHERE id IN (SELECT id FROM e GROUP BY 1 HAVING count(*) > 1)")
+def message_violations(spark, sf_dir):
+    return contracts.message_violations(_messages(spark, sf_dir))
+
+
+@query("SELECT count(DISTINCT conv_id) AS conversations, count(*) AS messages, count(*) AS content_parts, count(*) AS event_times FROM conversations")
+def message_counts(spark, sf_dir):
+    return contracts.message_counts(_messages(spark, sf_dir))

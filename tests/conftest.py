@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,6 +18,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "3g")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

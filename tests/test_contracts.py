@@ -52,3 +52,36 @@ def test_ledgers(spark):
     d = spark.createDataFrame([("d",), ("e",)], "delivery_id string")
     i = spark.createDataFrame([("d", 1, "queued"), ("d", 2, "indexed")], "delivery_id string, event_id int, status string")
     assert {r.delivery_id: (r.index_events, r.index_status) for r in contracts.delivery_status(d, i).collect()} == {"d": (2, "indexed"), "e": (0, "not_requested")}
+
+
+def test_messages_parts_and_event_times(spark):
+    ref = {"source_file_id": "f", "source_path": "", "source_index": 0, "source_id": None, "source_value_sha256": "a" * 64, "mapping_method": "direct", "loss_status": "lossless"}
+    part = lambda k, **x: {"part_id": f"p{k}", "part_index": k, "part_type": "text", "text": "t", "source_ref": ref} | x
+    event = lambda **x: {"event_kind": "created", "raw_type": "iso8601", "normalized_utc": "2024-01-01T00:00:00.5Z", "semantic_status": "verified", "source_ref": ref} | x
+    message = lambda k, **x: {"conversation_id": "c", "node_id": f"n{k}", "message_id": f"m{k}", "role": "user", "source_role": "human", "content_type": "text", "parts": [part(0), part(1)], "event_times": [event()], "source_ref": ref} | x
+    cases = [
+        ({}, []),
+        ({"parts": [], "event_times": []}, []),
+        ({"message_id": None, "role": "bot", "source_role": "", "content_type": None}, ["message_id", "role", "source_role", "content_type"]),
+        ({"parts": None, "event_times": None}, ["parts", "event_times"]),
+        ({"parts": [part(0), part(1, part_id="p0")]}, ["repeated_part_id"]),
+        ({"parts": [part(1), part(1, part_type="poem"), part(2, part_id="")]}, ["part.part_index", "part.part_type", "part.part_id", "repeated_part_id"]),
+        ({"parts": [part(0, text=None), part(1, text=None, part_type="image")]}, ["part.text"]),
+        ({"event_times": [event(), event()]}, ["repeated_event_time"]),
+        ({"event_times": [event(event_kind=None, raw_type="x", normalized_utc="2024-01-01T00:00:00", semantic_status=None)]}, ["event_time.event_kind", "event_time.raw_type", "event_time.normalized_utc", "event_time.semantic_status"]),
+        ({"event_times": [event(normalized_utc=u) for u in ("2024-13-01T00:00:00Z",)]}, ["event_time.normalized_utc"]),
+        ({"event_times": [event(normalized_utc=None)]}, []),
+        ({"source_ref": None}, ["message.source_file", "message.source_path", "message.source_sha256", "message.mapping_method", "message.loss_status"]),
+        ({"source_ref": ref | {"source_index": -1, "source_value_sha256": "A" * 64}}, ["message.source_index", "message.source_sha256"]),
+    ]
+    rows = [message(k, **x) for k, (x, _) in enumerate(cases)] + [message(99, message_id="m0", conversation_id="d")]
+    df = spark.createDataFrame(rows, contracts.MESSAGE)
+    found = {}
+    for r in contracts.message_violations(df).collect():
+        found.setdefault(r.node_id, []).append(r.error)
+    expected = {f"n{k}": sorted(set(e)) for k, (_, e) in enumerate(cases) if e}
+    expected["n0"] = expected["n99"] = ["repeated_message_id"]
+    assert {k: sorted(v) for k, v in found.items()} == expected
+    counts = contracts.message_counts(df).first()
+    assert (counts.conversations, counts.messages) == (2, len(rows)) and counts.event_times == sum(len(r["event_times"] or []) for r in rows)
+    assert contracts.message_violations(df.limit(0)).count() == 0
