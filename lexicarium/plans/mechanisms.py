@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexicarium.functions import text
 from lexicarium.operators import anchors, closure, contracts, graphs, hierarchy, sequences, structure, units
-from lexicarium.operators.tables import folder
+from lexicarium.operators.tables import cut, folder
 from lexicarium.plans.queries import UNITS, _units, query, table
 from lexicarium.sources import graph_store, json_arrays, published
 from lexicarium.streaming import ledger
@@ -189,12 +189,16 @@ ok AS (SELECT * FROM ed WHERE src IN (SELECT t FROM texts x WHERE x.b <= ed.b) A
 @query(UNITS + MERGED + "SELECT src, dst, arg_max(weight, b) AS weight, 'batch' || min(b) AS created_in, 'batch' || max(b) AS synced_in FROM ok GROUP BY src, dst")
 def graph_merge(spark, sf_dir):
     """Adjacency of English and German documents merged into an empty graph, then that of all others, then the second batch once more."""
-    u = _units(spark, sf_dir)
-    first = F.col("path").endswith("/en") | F.col("path").endswith("/de")
+    u, _ = cut(_units(spark, sf_dir).drop("unit_id"))  # split once
+    first = F.coalesce(F.col("path").endswith("/en") | F.col("path").endswith("/de"), F.lit(False))
     store = graph_store.GraphStore(spark, _scratch(spark, "graph"), buckets=16)
-    for part, name in ((u.where(first), "batch1"), (u.where(~F.coalesce(first, F.lit(False))), "batch2"), (u.where(~F.coalesce(first, F.lit(False))), "batch2")):
-        store.merge_nodes(graph_store.unit_nodes(part, least=2), name)
-        store.merge_edges(graphs.adjacency_edges(part).withColumn("kind", F.lit("ADJACENT_TO")), name, "StructuralUnit", "StructuralUnit")
+    parts = {}
+    for name, part in (("batch1", u.where(first)), ("batch2", u.where(~first))):
+        parts[name] = cut(graph_store.unit_nodes(part, least=2))[0], cut(graphs.adjacency_edges(part).withColumn("kind", F.lit("ADJACENT_TO")))[0]
+    for name in ("batch1", "batch2", "batch2"):
+        nodes, edges = parts[name]
+        store.merge_nodes(nodes, name)
+        store.merge_edges(edges, name, "StructuralUnit", "StructuralUnit")
     if not store.verified():
         raise ValueError("the graph read back differs from its manifests")
     return store.edges.read().select("src", "dst", "weight", "created_in", "synced_in")

@@ -20,13 +20,11 @@ UNDIRECTED = ("CO_OCCURS_WITH",)
 NODE, EDGE = ["kind", "node_id"], ["kind", "src", "dst"]
 
 
-def _combined(key: list[str]):
-    def combine(both: DataFrame) -> DataFrame:
-        rest = [c for c in both.columns if c not in (*key, "is_new", "created_in")]
-        out = both.groupBy(*key).agg(F.max_by(F.struct(*rest), "is_new").alias("r_"), F.min_by("created_in", "is_new").alias("created_in"))
-        return out.select(*key, *[F.col(f"r_.{c}").alias(c) for c in rest], "created_in")
-
-    return combine
+def _combined(both: DataFrame, key: list[str]) -> DataFrame:
+    """Old and new rows of a key as one: everything of the new one but where it was created."""
+    rest = [c for c in both.columns if c not in (*key, "is_new", "created_in")]
+    out = both.groupBy(*key).agg(F.max_by(F.struct(*rest), "is_new").alias("r_"), F.min_by("created_in", "is_new").alias("created_in"))
+    return out.select(*key, *[F.col(f"r_.{c}").alias(c) for c in rest], "created_in")
 
 
 class GraphStore:
@@ -39,7 +37,7 @@ class GraphStore:
         """Merge nodes (kind, node_id, properties as JSON); of a repeated key in rows the greatest properties stay."""
         once = rows.where("kind is not null and node_id is not null").groupBy(*NODE).agg(F.max("properties").alias("properties"))
         stamped = once.withColumn("synced_in", F.lit(sync_id)).withColumn("created_in", F.lit(sync_id))
-        return self.nodes.merge(stamped, _combined(NODE))
+        return self.nodes.merge(stamped, _combined)
 
     def merge_edges(self, rows: DataFrame, sync_id: str, src_kind: str, dst_kind: str) -> dict:
         """Merge edges (kind, src, dst, weight) between nodes of two kinds; repeated ones keep their greatest weight. Returns the manifest with ``matched`` and ``unmatched`` edges."""
@@ -49,8 +47,8 @@ class GraphStore:
         known = self.nodes.read()
         of = lambda kind, name: known.where(F.col("kind") == kind).select(F.col("node_id").alias(name))
         matched, matched_path = cut(once.join(of(src_kind, "src"), "src", "left_semi").join(of(dst_kind, "dst"), "dst", "left_semi").select(*EDGE, "weight"))
-        manifest = self.edges.merge(matched.withColumn("synced_in", F.lit(sync_id)).withColumn("created_in", F.lit(sync_id)), _combined(EDGE))
-        n = matched.count()
+        n = matched.count()  # of a written table, as the count below
+        manifest = self.edges.merge(matched.withColumn("synced_in", F.lit(sync_id)).withColumn("created_in", F.lit(sync_id)), _combined)
         manifest = manifest | {"matched": n, "unmatched": once.count() - n}
         for p in (path, matched_path):
             drop(self.spark, p)

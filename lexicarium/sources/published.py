@@ -116,10 +116,11 @@ class PublishedTable:
         """Publish rows as the next version; the ones before stay as archive."""
         return self._publish(lambda base: (rows, list(range(self.buckets))))
 
-    def merge(self, rows: DataFrame, combine: Callable[[DataFrame], DataFrame] | None = None) -> dict:
-        """Publish the table with rows merged in: of equal keys the new row stays, or what ``combine`` makes of old and new rows (column ``is_new``).
+    def merge(self, rows: DataFrame, combine: Callable[[DataFrame, list[str]], DataFrame] | None = None) -> dict:
+        """Publish the table with rows merged in: of equal keys the new row stays, or what ``combine`` makes of old and new rows (column ``is_new``) grouped by the key columns it is given.
 
-        Only buckets that rows touch are read and written. ``rows`` must not repeat a key unless ``combine`` settles it.
+        Only buckets that rows touch are read and written. ``rows`` must not repeat a key unless ``combine`` settles it. Rows are
+        dealt out by bucket once; grouping (by bucket and key) and writing need no other shuffle.
         """
         touched = [r.b for r in rows.select(self.bucket().alias("b")).distinct().collect()]  # at most a row a bucket
         if not touched:
@@ -131,26 +132,30 @@ class PublishedTable:
                 both = new
             else:
                 both = self._rows(base, [str(b) for b in touched]).withColumn("is_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
+            dealt, keys = self._dealt(both, len(touched)), ["bucket_", *self.key]
             if combine is not None:
-                return combine(both), touched
+                return combine(dealt, keys), touched
             rest = [c for c in both.columns if c not in (*self.key, "is_new")]
-            last = both.groupBy(*self.key).agg(F.max_by(F.struct(*rest), "is_new").alias("r_")) if rest else both.select(*self.key).distinct()
-            return last.select(*self.key, *[F.col(f"r_.{c}").alias(c) for c in rest]), touched
+            last = dealt.groupBy(*keys).agg(F.max_by(F.struct(*rest), "is_new").alias("r_")) if rest else dealt.select(*keys).distinct()
+            return last.select(*keys, *[F.col(f"r_.{c}").alias(c) for c in rest]), touched
 
         return self._publish(merged)
 
+    def _dealt(self, rows: DataFrame, touched: int) -> DataFrame:
+        return rows.withColumn("bucket_", self.bucket()).repartition(max(1, min(self.buckets, touched)), "bucket_")
+
     def _publish(self, make: Callable[[dict], tuple[DataFrame, list[int]]], tries: int = 10) -> dict:
         for _ in range(tries):
             base = self.manifest()
             rows, touched = make(base)
             folder = f"data-{uuid.uuid4().hex}"
             target = str(self._path(folder).toString())
-            placed = rows.withColumn("bucket_", self.bucket())
-            placed.repartition(max(1, min(self.buckets, len(touched))), "bucket_").write.partitionBy("bucket_").parquet(target)
+            placed = rows if "bucket_" in rows.columns else self._dealt(rows, len(touched))
+            placed.write.partitionBy("bucket_").parquet(target)
             written = self.spark.read.schema(placed.schema).parquet(target).groupBy("bucket_").agg(F.count(F.lit(1)).alias("n")).collect()  # a row a bucket
             buckets = {k: b for k, b in base["buckets"].items() if int(k) not in set(touched)}
             buckets |= {str(r.bucket_): {"folder": f"{folder}/bucket_={r.bucket_}", "rows": r.n} for r in written}
-            manifest = {"version": base["version"] + 1, "schema": json.loads(rows.schema.json()), "key": self.key, "of": self.buckets, "buckets": buckets, "rows": sum(b["rows"] for b in buckets.values()), "written": len(touched)}
+            manifest = {"version": base["version"] + 1, "schema": json.loads(placed.drop("bucket_").schema.json()), "key": self.key, "of": self.buckets, "buckets": buckets, "rows": sum(b["rows"] for b in buckets.values()), "written": len(touched)}
             self._files().mkdirs(self._path("_versions"))
             try:
                 return self._commit(manifest)
