@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Arrays of at most this many numbers are folded as they are.
+SHORT = 64
+
+
 def bound(value: Column, f: Callable[[Column], Column]) -> Column:
     """f(value) with value computed once, however often f uses it."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
@@ -34,6 +38,6 @@ def sums_before(numbers: Column) -> Column:
             totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0).cast("long"), lambda s, n: s + n))
             return bound(_fold(totals, F.lit(0)), lambda starts: F.flatten(F.transform(parts, lambda p, j: _fold(p, F.get(starts, j)))))
 
-        return F.when(F.size(values) > 0, bound(pieces, folded)).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.size(values) <= SHORT, _fold(values, F.lit(0))).otherwise(bound(pieces, folded))
 
     return bound(numbers.cast("array<bigint>"), of)

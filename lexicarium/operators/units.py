@@ -33,17 +33,17 @@ def split_units(values: DataFrame) -> DataFrame:
 
     def placed(lines: Column) -> Column:
         starts = sums_before(F.transform(lines, lambda x: F.length(x) + 1))
-        return F.filter(F.arrays_zip(lines.alias("line"), starts.alias("base")), lambda x: stripped(x["line"]) != "")
-
-    def parted(raws: Column, base: Column) -> Column:
-        ahead = lambda raw: F.length(raw) - F.length(F.regexp_replace(raw, r"(?U)^\s+", ""))
-        pairs = F.arrays_zip(raws.alias("raw"), sums_before(F.transform(raws, F.length)).alias("before"))
-        parts = F.transform(pairs, lambda x: F.struct((base + x["before"] + ahead(x["raw"])).alias("char_start"), stripped(x["raw"]).alias("unit_text")))
-        return F.filter(parts, lambda x: x["unit_text"] != "")
+        return F.filter(F.arrays_zip(lines.alias("line"), starts.alias("base")), lambda x: x["line"].rlike(r"(?U)\S"))
 
+    zipped = lambda raws: F.arrays_zip(raws.alias("raw"), sums_before(F.transform(raws, F.length)).alias("before"))
     lines = values.where("value is not null").select(*CONTAINER, F.posexplode(bound(F.split("value", "\n", -1), placed)).alias("segment_index", "l"))
-    found = bound(F.regexp_extract_all(F.col("l.line"), F.lit(SENTENCE), F.lit(0)), lambda raws: parted(raws, F.col("l.base")))
-    units = lines.select(*CONTAINER, "segment_index", F.posexplode(found).alias("sentence_index", "u")).select(*CONTAINER, "segment_index", "sentence_index", "u.char_start", (F.col("u.char_start") + F.length("u.unit_text")).alias("char_end"), "u.unit_text")
+    sentences = bound(F.regexp_extract_all(F.col("l.line"), F.lit(SENTENCE), F.lit(0)), zipped)
+    raw = lines.select(*CONTAINER, "segment_index", F.col("l.base").alias("base"), F.posexplode(sentences).alias("sentence_index", "s"))
+    # only a line's last sentence can be blank (all others hold their end mark), so the others' numbers stand
+    kept = raw.withColumn("unit_text", stripped(F.col("s.raw"))).where("unit_text <> ''")
+    # what is stripped stands first where its first character does: only white space lies before it
+    start = F.col("base") + F.col("s.before") + F.instr("s.raw", F.col("unit_text")) - 1
+    units = kept.withColumn("char_start", start).withColumn("char_end", F.col("char_start") + F.length("unit_text")).select(*COORDINATE, "unit_text")
     return units.withColumn("unit_id", unit_id())
 
 

@@ -29,8 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt out to all cores where they are read in fewer partitions than there are cores; larger inputs stay as they are read."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return units.split_units(units.values_of(table(spark, sf_dir, "documents")))
+    return units.split_units(units.values_of(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))))
 
 
 # The units of documents in SQL, the common start of the statements below.
