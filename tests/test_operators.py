@@ -320,3 +320,9 @@ def test_replay_digest_is_order_free_and_sees_changes(spark):
     assert one == audits.replay_digest(d.orderBy(F.desc("id")).withColumn("generated_at", F.lit(0).cast("long")), ["id"]).first() and one.rows == 50
     assert audits.replay_digest(d.withColumn("t", F.when(F.col("id") == 3, None).otherwise(F.col("t"))), ["id"]).first().digest != one.digest
     assert [tuple(r) for r in audits.record_differences(d, d.where("id > 0").withColumn("t", F.when(F.col("id") == 3, "x").otherwise(F.col("t"))), ["id"]).orderBy("id").collect()] == [(0, "left_only"), (3, "changed")]
+
+
+def test_boundary_of_a_text_whose_squared_length_passes_an_int(spark):
+    row = units.boundary_profile(unit_rows(spark, [(str(i), "a", 0, 0, "x" * 50_001) for i in range(3)])).first()
+    assert (row.boundary_status, row.length_variance, row.length_min, row.length_max) == ("OK", 0, 50_001, 50_001)
+    assert dict(units.boundary_profile(unit_rows(spark, [("1", "a", 0, 0, "t")])).dtypes)["length_min"] == "int"
