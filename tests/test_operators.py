@@ -326,3 +326,19 @@ def test_boundary_of_a_text_whose_squared_length_passes_an_int(spark):
     row = units.boundary_profile(unit_rows(spark, [(str(i), "a", 0, 0, "x" * 50_001) for i in range(3)])).first()
     assert (row.boundary_status, row.length_variance, row.length_min, row.length_max) == ("OK", 0, 50_001, 50_001)
     assert dict(units.boundary_profile(unit_rows(spark, [("1", "a", 0, 0, "t")])).dtypes)["length_min"] == "int"
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_block_measures_need_no_row_a_character(spark):
+    v = spark.createDataFrame([("a", "/p", 0, "ab" * 20 + "éé" + "αβ" * 6 + "\U0001f600" * 12 + "\U00020000" * 10), ("b", "/p", 0, ""), ("c", "/p", 0, None)], VALUE)
+    got = {r.block: (r.n, r.entropy) for r in profiles.entropy_by_block(v).collect()}
+    assert got == {"basic_latin": (40, 1.0), "greek": (12, 1.0), "emoticons": (12, 0.0), "other": (10, 0.0)}
+    assert {(r.asset_id, r.block): (r.n, r.ratio) for r in profiles.block_distribution(v).collect()}["a", "latin_supplement"] == (2, round(2 / 76, 6))
+    assert "Generate" not in physical(profiles.entropy_by_block(v)) and "Generate" not in physical(profiles.text_block_distribution(v))
+    o = profiles.observations(v)
+    assert {r.asset_id: (r.block_transitions.transition_count, r.n) for r in o.collect()} == {"a": (4, 76), "b": (0, 0)}
+    assert "Exchange" not in physical(o)
+    assert [b.block for b in profiles.with_blocks(o, v).where("asset_id = 'a'").first().blocks] == ["basic_latin", "emoticons", "greek", "latin_supplement", "other"]
