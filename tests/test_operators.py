@@ -342,3 +342,12 @@ def test_block_measures_need_no_row_a_character(spark):
     assert {r.asset_id: (r.block_transitions.transition_count, r.n) for r in o.collect()} == {"a": (4, 76), "b": (0, 0)}
     assert "Exchange" not in physical(o)
     assert [b.block for b in profiles.with_blocks(o, v).where("asset_id = 'a'").first().blocks] == ["basic_latin", "emoticons", "greek", "latin_supplement", "other"]
+
+
+def test_units_are_cut_in_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(units, "BATCH", 2)
+    value = " A。B?\x1f　\r\n  \n\x0bc d\t"
+    got = units.split_units(spark.createDataFrame([("x", "/t", 3, value), ("y", None, 1, "q! r? s.")], VALUE)).orderBy("asset_id", "char_start").collect()
+    assert [(r.asset_id, r.path, r.value_index, r.segment_index, r.sentence_index, r.unit_text) for r in got] == [("x", "/t", 3, 0, 0, "A。"), ("x", "/t", 3, 0, 1, "B?"), ("x", "/t", 3, 0, 2, "\x1f"), ("x", "/t", 3, 1, 0, "c d"), *[("y", None, 1, 0, k, t) for k, t in enumerate(("q!", "r?", "s."))]]
+    assert all(value[r.char_start : r.char_end] == r.unit_text for r in got if r.asset_id == "x")
+    assert "Generate" not in physical(units.split_units(spark.createDataFrame([], VALUE)))
