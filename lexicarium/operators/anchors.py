@@ -50,11 +50,10 @@ def concept_attributes(profile: DataFrame, allowed: dict = policy.ATTRIBUTES, ga
     rows = profile.where(F.col("decision").eqNullSafe("ALLOW")) if gate else profile
     place = F.col(order) if order else F.lit(0)
     wide = rows.where("trim(unit_text) <> ''").select(F.sha2(canonical(F.col("unit_text")), 256).alias("object_id"), place.alias("place_"), *[F.col(k).cast("string").alias(k) for k in keys])
-    long = wide.unpivot(["object_id", "place_"], keys, "attr_key", "attr_value").where("attr_value is not null")
-    for k in keys:
-        if allowed[k]:
-            long = long.where((F.col("attr_key") != k) | F.col("attr_value").isin(*allowed[k]))
-    last = long.groupBy("object_id", "attr_key").agg(F.max_by("attr_value", F.struct("place_", "attr_value")).alias("attr_value")).select(F.lit("concept").alias("object_type"), "object_id", "attr_key", "attr_value", F.lit("active").alias("attr_state"))
+    valid = lambda k: F.col(k).isin(*allowed[k]) if allowed[k] else F.col(k).isNotNull()
+    # a row an object, not a row a value, is shuffled
+    once = wide.groupBy("object_id").agg(*[F.max(F.when(valid(k), F.struct("place_", k)))[k].alias(k) for k in keys])
+    last = once.unpivot(["object_id"], keys, "attr_key", "attr_value").where("attr_value is not null").select(F.lit("concept").alias("object_type"), "object_id", "attr_key", "attr_value", F.lit("active").alias("attr_state"))
     return last.select(stable_attribute_id().alias("attr_id"), "*")
 
 
