@@ -123,7 +123,7 @@ def attached_labels(spark, sf_dir):
 def replay_differences(spark, sf_dir):
     """A replay of the units against themselves in another order: no record differs, and the digests are equal."""
     u = _units(spark, sf_dir)
-    return audits.record_differences(u, u.repartition(7, "char_start"), ["unit_id"]).agg(F.count(F.lit(1)).alias("n"))
+    return audits.record_differences(u, u.repartition("unit_id", "char_start"), ["unit_id"]).agg(F.count(F.lit(1)).alias("n"))
 
 
 LOG = "WITH log AS (SELECT 'doc' AS object_type, label AS object_id, CAST(vec_id AS VARCHAR) AS signature, vec_id AS seq, CASE WHEN vec_id % 3 = 0 THEN 'replaced' ELSE 'active' END AS state FROM embeddings)\n"

@@ -351,3 +351,10 @@ def test_units_are_cut_in_one_pass(spark, monkeypatch):
     assert [(r.asset_id, r.path, r.value_index, r.segment_index, r.sentence_index, r.unit_text) for r in got] == [("x", "/t", 3, 0, 0, "A。"), ("x", "/t", 3, 0, 1, "B?"), ("x", "/t", 3, 0, 2, "\x1f"), ("x", "/t", 3, 1, 0, "c d"), *[("y", None, 1, 0, k, t) for k, t in enumerate(("q!", "r?", "s."))]]
     assert all(value[r.char_start : r.char_end] == r.unit_text for r in got if r.asset_id == "x")
     assert "Generate" not in physical(units.split_units(spark.createDataFrame([], VALUE)))
+
+
+def test_replay_spreads_with_the_session_and_not_over_seven_tasks(spark):
+    from lexicarium.plans import reports
+
+    plan = reports.replay_differences(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(unit_id" in plan and "REPARTITION_BY_NUM" not in plan
