@@ -50,9 +50,11 @@ def skipped_containers(units: DataFrame, most: int = MOST_UNITS) -> DataFrame:
 def prune_edges(edges: DataFrame, least: int = 1, per_node: int = 10, most: int | None = None) -> DataFrame:
     """Edges of at least ``least``, among the top ``per_node`` of either endpoint, then the ``most`` heaviest."""
     strong = edges.where(F.col("weight") >= least)
-    ends = strong.select(F.col("src").alias("node"), "src", "dst", "weight").unionByName(strong.select(F.col("dst").alias("node"), "src", "dst", "weight"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("weight"), "src", "dst"))
-    kept = ends.withColumn("r", rank).where(F.col("r") <= per_node).select("src", "dst", "weight").distinct()
+    # an end's own name is not carried twice: a row is a node, the other end and which way the edge goes
+    ends = strong.select(F.col("src").alias("node"), F.col("dst").alias("other"), F.lit(True).alias("out"), "weight").unionByName(strong.select(F.col("dst").alias("node"), F.col("src").alias("other"), F.lit(False).alias("out"), "weight"))
+    src, dst = (F.when(c, F.col("node")).otherwise(F.col("other")) for c in (F.col("out"), ~F.col("out")))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("weight"), src, dst))
+    kept = ends.withColumn("r", rank).where(F.col("r") <= per_node).select(src.alias("src"), dst.alias("dst"), "weight").distinct()
     return kept.orderBy(F.desc("weight"), "src", "dst").limit(most) if most else kept
 
 

@@ -358,3 +358,10 @@ def test_replay_spreads_with_the_session_and_not_over_seven_tasks(spark):
 
     plan = reports.replay_differences(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(unit_id" in plan and "REPARTITION_BY_NUM" not in plan
+
+
+def test_pruning_carries_two_names_an_end(spark):
+    edges = spark.createDataFrame([("a", "b", 3), ("b", "a", 3), ("a", "c", 2), ("c", "d", 1), ("d", "a", 1)], "src string, dst string, weight long")
+    kept = graphs.prune_edges(edges, per_node=1)
+    assert {tuple(r) for r in kept.collect()} == {("a", "b", 3), ("a", "c", 2), ("c", "d", 1)}
+    assert "node#" in physical(kept) and "other#" in physical(kept)
