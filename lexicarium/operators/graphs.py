@@ -92,25 +92,69 @@ def degree_histogram(degree: DataFrame, width: int = 5, last: int = 200) -> Data
 
 
 def weak_components(edges: DataFrame) -> DataFrame:
-    """(node, component): least node reachable over edges either way, until nothing changes; a written table a round, of which the last stays."""
+    """(node, component): least node reachable over edges either way, until nothing changes; a written table a round, of which the last stays.
+
+    Nodes with names go through the rounds by 16 bytes of their MD5; their names are joined at the end.
+    """
+    if dict(edges.dtypes)["src"] != "string":
+        return _labels(edges)
+    named, path = cut(edges.select("src", "dst"))
+    labels = _labels(named.select(short_key("src").alias("src"), short_key("dst").alias("dst")))
+    names = nodes_of(named).select("node", short_key("node").alias("key"))
+    members, own = cut(labels.select(F.col("node").alias("key"), F.col("component").alias("root")).join(names, "key").select("node", "root"))
+    least = members.groupBy("root").agg(F.min("node").alias("component"))
+    out, _ = cut(members.join(least, "root").select("node", "component"))
+    for p in (path, own):
+        drop(edges.sparkSession, p)
+    return out
+
+
+def short_key(name: str) -> Column:
+    """A name's identity in 16 bytes."""
+    return F.unhex(F.md5(F.col(name)))
+
+
+def component_sizes(edges: DataFrame) -> DataFrame:
+    """(component, n); give named nodes by their ``short_key``, and no names are shuffled."""
+    return _labels(edges).groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _labels(edges: DataFrame) -> DataFrame:
+    """(node, component) by contraction: every node is merged into the least of itself and its neighbours, edges move along, equal ones and loops go, until none is left; then the merges are followed.
+
+    What a round reads shrinks from round to round. A component's least node is never merged into another.
+    """
     spark = edges.sparkSession
-    both, edge_path = cut(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
-    labels, path = cut(both.groupBy(F.col("src").alias("node")).agg(F.min(F.least("src", "dst")).alias("component")))
+    level, path = cut(edges.where("src is not null and dst is not null").select("src", "dst").union(edges.where("src is not null and dst is not null").select("dst", "src")).distinct())
+    merges, paths = [], []
     while True:
-        near = both.join(labels, both["dst"] == labels["node"]).groupBy("src").agg(F.min("component").alias("near"))
-        step = labels.join(near, labels["node"] == near["src"]).select("node", F.col("component").alias("old"), F.least("component", "near").alias("next"))
-        far = labels.select(F.col("node").alias("at"), F.col("component").alias("far"))
-        moved, new = cut(step.join(far, step["next"] == far["at"], "left").select("node", "old", F.least("next", F.coalesce("far", "next")).alias("component")))
+        merge, own = cut(level.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("low")).select("node", F.least("node", "low").alias("component")))
+        merges.append(merge)
+        paths.append(own)
+        a, b = (merge.select(F.col("node").alias(f"{e}_"), F.col("component").alias(f"new_{e}")) for e in ("src", "dst"))
+        moved = level.join(a, F.col("src") == F.col("src_")).join(b, F.col("dst") == F.col("dst_")).where("new_src <> new_dst").select(F.col("new_src").alias("src"), F.col("new_dst").alias("dst")).distinct()
+        level, new = cut(moved)
         drop(spark, path)
-        labels, path = moved.select("node", "component"), new
-        if moved.where("component <> old").isEmpty():
-            drop(spark, edge_path)
-            return labels
+        path = new
+        if level.isEmpty():
+            break
+    labels = merges.pop()
+    while merges:
+        later = labels.select(F.col("node").alias("at_"), F.col("component").alias("root_"))
+        labels = merges.pop().join(later, F.col("component") == F.col("at_"), "left").select("node", F.coalesce("root_", "component").alias("component"))
+    out, _ = cut(labels)
+    for p in (path, *paths):
+        drop(spark, p)
+    return out
 
 
 def component_summary(components: DataFrame) -> DataFrame:
     """One row: number of components and nodes of the largest."""
-    sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    return size_summary(components.groupBy("component").agg(F.count(F.lit(1)).alias("n")))
+
+
+def size_summary(sizes: DataFrame) -> DataFrame:
+    """``component_summary`` from the components' sizes."""
     return sizes.agg(F.count(F.lit(1)).alias("component_count"), F.coalesce(F.max("n"), F.lit(0)).alias("largest_size"))
 
 

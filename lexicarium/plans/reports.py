@@ -45,7 +45,8 @@ def skipped_containers(spark, sf_dir):
 @query()
 def unit_components(spark, sf_dir):
     """Components of the units' whole adjacency graph: count and largest (no SQL: a recursion over all edges; a test holds it to a plain union-find)."""
-    return graphs.component_summary(graphs.weak_components(_pages_graph(spark, sf_dir)))
+    u = _units(spark, sf_dir).withColumn("unit_text", graphs.short_key("unit_text"))
+    return graphs.size_summary(graphs.component_sizes(graphs.adjacency_edges(u)))
 
 
 @query(NODES + "SELECT count(*) AS nodes, count(*) FILTER (parent_id IS NULL) AS roots, (SELECT count(*) FROM (SELECT asset_id FROM nodes GROUP BY 1)) AS leaves, max(depth) AS max_depth, CAST(0 AS BIGINT) AS unreached, CAST(0 AS BIGINT) AS dangling_parents, false AS has_cycle FROM nodes")

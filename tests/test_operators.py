@@ -357,7 +357,7 @@ def test_replay_spreads_with_the_session_and_not_over_seven_tasks(spark):
     from lexicarium.plans import reports
 
     plan = reports.replay_differences(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(unit_id" in plan and "REPARTITION_BY_NUM" not in plan
+    assert "hashpartitioning(unit_id" in plan and "hashpartitioning(char_start" not in plan
 
 
 def test_pruning_carries_two_names_an_end(spark):
@@ -365,3 +365,12 @@ def test_pruning_carries_two_names_an_end(spark):
     kept = graphs.prune_edges(edges, per_node=1)
     assert {tuple(r) for r in kept.collect()} == {("a", "b", 3), ("a", "c", 2), ("c", "d", 1)}
     assert "node#" in physical(kept) and "other#" in physical(kept)
+
+
+def test_components_by_contraction(spark):
+    chain = [(f"p{i}", f"p{i + 1}") for i in range(40)] + [("loop", "loop"), ("x", "y"), ("y", "x"), (None, "z")]
+    edges = spark.createDataFrame(chain, "src string, dst string")
+    got = {r.node: r.component for r in graphs.weak_components(edges).collect()}
+    assert got == {f"p{i}": "p0" for i in range(41)} | {"loop": "loop", "x": "x", "y": "x"}
+    keyed = edges.select(*[graphs.short_key(c).alias(c) for c in ("src", "dst")])
+    assert tuple(graphs.size_summary(graphs.component_sizes(keyed)).first()) == (3, 41)
