@@ -188,15 +188,18 @@ def nearest_to_each(queries: DataFrame, vectors: DataFrame, n: int = 10, id_col:
         qid, qv = shared.value
         held_id, held = np.full((len(qid), n), -1, np.int64), np.full((len(qid), n), np.inf)
         for batch in batches:
-            v = np.array(batch[vector_col].tolist(), np.float64)
-            mine = batch[id_col].to_numpy(np.int64)
-            for at in range(0, len(qid) if len(mine) else 0, 1024):
-                part = slice(at, at + 1024)
-                d = np.round(1 - qv[part] @ (v / np.linalg.norm(v, axis=1, keepdims=True)).T, 9)
-                d[qid[part][:, None] == mine[None, :]] = np.inf
-                both, who = np.hstack([held[part], d]), np.hstack([held_id[part], np.broadcast_to(mine, d.shape)])
-                order = np.lexsort((who, both), axis=1)[:, :n]
-                held[part], held_id[part] = np.take_along_axis(both, order, 1), np.take_along_axis(who, order, 1)
+            for first in range(0, len(batch), 1024):  # blocks of 1,024 rows and 256 queries: what a task holds does not grow with its batch
+                rows = batch.iloc[first : first + 1024]
+                v = np.array(rows[vector_col].tolist(), np.float64)
+                v /= np.linalg.norm(v, axis=1, keepdims=True)
+                mine = rows[id_col].to_numpy(np.int64)
+                for at in range(0, len(qid), 256):
+                    part = slice(at, at + 256)
+                    d = np.round(1 - qv[part] @ v.T, 9)
+                    d[qid[part][:, None] == mine[None, :]] = np.inf
+                    both, who = np.hstack([held[part], d]), np.hstack([held_id[part], np.broadcast_to(mine, d.shape)])
+                    order = np.lexsort((who, both), axis=1)[:, :n]
+                    held[part], held_id[part] = np.take_along_axis(both, order, 1), np.take_along_axis(who, order, 1)
         keep = np.isfinite(held)
         yield pd.DataFrame({"query_id": np.repeat(qid, n)[keep.ravel()], id_col: held_id[keep], "distance": held[keep]})
 
