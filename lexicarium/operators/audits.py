@@ -43,14 +43,22 @@ def conserved(selected: DataFrame, source: DataFrame, keys: list[str] = COORDINA
 
 
 def topology(concepts: DataFrame, instances: DataFrame, attributes: DataFrame) -> DataFrame:
-    """(check_name, violations) of a payload: instances and attributes without their object, repeated ids, attributes with several values."""
-    known = concepts.select(F.col("concept_id").alias("k_")).distinct()
-    missing = lambda rows, key: rows.join(known, F.col(key) == F.col("k_"), "left_anti")
-    twice = lambda rows, key: rows.groupBy(*key).count().where("count > 1")
-    several = attributes.groupBy("object_type", "object_id", "attr_key").agg(F.count_distinct("attr_value").alias("n")).where("n > 1")
-    checks = {"instance_without_concept": missing(instances, "concept_id"), "attribute_without_object": missing(attributes.where("object_type = 'concept'"), "object_id"), "repeated_concept": twice(concepts, ["concept_id"]), "repeated_instance": twice(instances, ["instance_id"]), "repeated_attribute": twice(attributes, ["attr_id"]), "attribute_conflict": several}
-    rows = [bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations") for name, bad in checks.items()]
-    return reduce(DataFrame.unionByName, rows)
+    """(check_name, violations) of a payload: instances and attributes without their object, repeated ids, attributes with several values.
+
+    Concepts and what refers to them are counted by id in one grouping, whose tasks first add up their own rows; a null id refers to nothing.
+    """
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    marked = lambda rows, key, kind: rows.select(F.col(key).alias("id"), *[(one if k == kind else none).alias(k) for k in ("c", "i", "a")])
+    rows = marked(concepts, "concept_id", "c").unionByName(marked(instances, "concept_id", "i")).unionByName(marked(attributes.where("object_type = 'concept'"), "object_id", "a"))
+    by = rows.groupBy("id").agg(F.sum("c").alias("c"), F.sum("i").alias("i"), F.sum("a").alias("a"))
+    lost = F.col("id").isNull() | (F.col("c") == 0)
+    total = lambda n: F.coalesce(F.sum(F.when(lost, F.col(n))), none)
+    counts = by.agg(total("i").alias("instance_without_concept"), total("a").alias("attribute_without_object"), F.count_if(F.col("c") > 1).alias("repeated_concept"))
+    own = counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("violations")) for n in counts.columns])).alias("r")).select("r.*")  # three rows
+    twice = lambda rows, key: rows.groupBy(key).count().where("count > 1")
+    several = attributes.groupBy("object_type", "object_id", "attr_key").agg(F.min("attr_value").alias("low"), F.max("attr_value").alias("high")).where("low <> high")
+    checks = {"repeated_instance": twice(instances, "instance_id"), "repeated_attribute": twice(attributes, "attr_id"), "attribute_conflict": several}
+    return reduce(DataFrame.unionByName, [own, *[bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations") for name, bad in checks.items()]])
 
 
 def run_counts(run_id: str, **tables: DataFrame) -> DataFrame:

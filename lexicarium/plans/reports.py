@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexicarium.functions import temporal, text
 from lexicarium.operators import anchors, audits, graphs, retrieval, structure, units
+from lexicarium.operators.tables import cut
 from lexicarium.plans.queries import ADJACENCY, ANNOTATIONS, CONCEPTS, ENDS, NODES, UNITS, _annotations, _units, query, table
 from lexicarium.sources import files
 
@@ -101,10 +102,11 @@ def conserved_selection(spark, sf_dir):
 @query(UNITS + CONCEPTS + ", d AS (SELECT CAST(unnest(['instance_without_concept', 'attribute_without_object', 'repeated_concept', 'repeated_instance', 'repeated_attribute', 'attribute_conflict']) AS VARCHAR) AS check_name) SELECT check_name, CASE check_name WHEN 'instance_without_concept' THEN (SELECT count(*) FROM instances JOIN concepts USING (concept_id) WHERE length(unit_text) < 4) WHEN 'repeated_instance' THEN (SELECT count(*) FROM (SELECT instance_id FROM instances GROUP BY 1 HAVING count(*) > 1)) WHEN 'attribute_without_object' THEN (SELECT count(*) FROM concepts WHERE length(unit_text) < 4) ELSE 0 END AS violations FROM d")
 def payload_topology(spark, sf_dir):
     """The instances and attributes of all concepts against the longer ones: short concepts are missing in the payload."""
-    u = _units(spark, sf_dir)
-    every = anchors.concept_declarations(u.select("unit_text", F.lit(None).cast("string").alias("decision")))
-    a = anchors.attribute_declarations(every.select(F.col("concept_id").alias("object_id"), F.length("unit_text").alias("size")), ["size"])
-    return audits.topology(every.where("length(unit_text) >= 4"), anchors.instance_declarations(u), a)
+    u, _ = cut(_units(spark, sf_dir).drop("unit_id"))  # split once
+    concepts = anchors.concept_declarations(u.select("unit_text", F.lit(None).cast("string").alias("decision")))
+    every, _ = cut(concepts.select("concept_id", F.length("unit_text").alias("size")))  # several checks read it
+    a = anchors.attribute_declarations(every.withColumnRenamed("concept_id", "object_id"), ["size"])
+    return audits.topology(every.where("size >= 4"), anchors.instance_declarations(u), a)
 
 
 @query("SELECT 'documents' AS table_name, count(*) AS total, count(*) FILTER (source = 'src0') AS current FROM documents UNION ALL SELECT 'labelled', count(*), count(*) FILTER (source = 'src0') FROM documents JOIN (SELECT DISTINCT doc_id FROM labels) USING (doc_id)")
