@@ -22,8 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -33,14 +32,6 @@ ANSWER = "anchor_id string, producer_id string, request_id string, annotation_id
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _text(value) -> str | None:
-    return None if value is None or value != value else str(value)
-
-
-def _number(value) -> int:
-    return 0 if value is None or value != value else int(value)
-
-
 def answer(request, head: int, receipt: Callable, kind_of: Callable, branches_of: Callable) -> tuple[str, int | None, int | None]:
     """(outcome, revision, branches) of one request against an anchor's state, given its head and lookups that return None or 0 where nothing is held."""
     held = receipt(request.producer_id, request.request_id)
@@ -48,14 +39,34 @@ def answer(request, head: int, receipt: Callable, kind_of: Callable, branches_of
         return ("existing", held[1], None) if held[0] == request.content_hash else ("idempotency_conflict", None, None)
     if kind_of(request.annotation_id) is not None:
         return "annotation_conflict", None, None
-    if _number(request.base_revision) != head:
+    if (request.base_revision or 0) != head:
         return "revision_conflict", None, None
-    target = _text(request.supersedes)
+    target = request.supersedes
     if target is not None and kind_of(target) != request.annotation_type:
         return "supersession_invalid", None, None
     return "persisted", head + 1, branches_of(target) + 1 if target is not None else None
 
 
+class _Held:
+    """Entries of a map state as one call sees them: each is read at most once, and written once, with its last value, by ``write``."""
+
+    def __init__(self, state):
+        self.state, self.seen, self.new = state, {}, set()
+
+    def get(self, key: tuple):
+        if key not in self.seen:
+            self.seen[key] = self.state.getValue(key) if self.state is not None else None
+        return self.seen[key]
+
+    def put(self, key: tuple, value: tuple) -> None:
+        self.seen[key] = value
+        self.new.add(key)
+
+    def write(self, state) -> None:
+        for key in self.new:
+            state.updateValue(key, self.seen[key])
+
+
 class AppendLedger(StatefulProcessor):
     """State of one anchor: head revision, receipts by request, annotation types, and how many supersede an annotation."""
 
@@ -65,26 +76,27 @@ class AppendLedger(StatefulProcessor):
         self.kinds = handle.getMapState("kinds", "annotation_id string", "annotation_type string")
         self.branches = handle.getMapState("branches", "annotation_id string", "n long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["request_at", "request_id", "annotation_id"], kind="stable")
-        first = self.head.get() if self.head.exists() else None
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        batch = sorted(rows, key=lambda r: tuple((r[c] is None, r[c]) for c in ("request_at", "request_id", "annotation_id")))
+        first = self.head.get()
         start = head = first[0] if first else 0
-        read = lambda state, k: state.getValue(k) if state.containsKey(k) else None
-        kind_of = lambda a: (read(self.kinds, (a,)) or (None,))[0]
-        branches_of = lambda a: (read(self.branches, (a,)) or (0,))[0]
-        out = []
-        for r in batch.itertuples(index=False):
-            outcome, revision, branches = answer(r, head, lambda p, q: read(self.receipts, (p, q)), kind_of, branches_of)
+        # every accepted request moves the head: an anchor without one holds nothing, and the store is not asked
+        receipts, kinds, branches = (_Held(state if first else None) for state in (self.receipts, self.kinds, self.branches))
+        kind_of = lambda a: (kinds.get((a,)) or (None,))[0]
+        branches_of = lambda a: (branches.get((a,)) or (0,))[0]
+        for r in batch:
+            outcome, revision, n = answer(r, head, lambda p, q: receipts.get((p, q)), kind_of, branches_of)
             if outcome == "persisted":
                 head = revision
-                self.receipts.updateValue((r.producer_id, r.request_id), (r.content_hash, revision))
-                self.kinds.updateValue((r.annotation_id,), (r.annotation_type,))
-                if branches:
-                    self.branches.updateValue((_text(r.supersedes),), (branches,))
-            out.append((r.anchor_id, r.producer_id, r.request_id, r.annotation_id, outcome, revision, branches))
+                receipts.put((r.producer_id, r.request_id), (r.content_hash, revision))
+                kinds.put((r.annotation_id,), (r.annotation_type,))
+                if n:
+                    branches.put((r.supersedes,), (n,))
+            yield Row(anchor_id=r.anchor_id, producer_id=r.producer_id, request_id=r.request_id, annotation_id=r.annotation_id, outcome=outcome, revision=revision, branches=n)
+        for held, state in ((receipts, self.receipts), (kinds, self.kinds), (branches, self.branches)):
+            held.write(state)
         if head != start:
             self.head.update((head,))
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in ANSWER.split(", ")]).astype({"revision": "Int64", "branches": "Int64"})
 
     def close(self) -> None:
         pass
@@ -101,7 +113,7 @@ _WHOLE = "anchor_id is not null and producer_id is not null and request_id is no
 def answered(requests: DataFrame) -> DataFrame:
     """Answers to a stream of requests (columns of REQUEST), in update of the anchors' state."""
     rows = _typed(requests).where(_WHOLE)
-    return rows.groupBy("anchor_id").transformWithStateInPandas(AppendLedger(), ANSWER, "append", "none")
+    return rows.groupBy("anchor_id").transformWithState(AppendLedger(), ANSWER, "append", "none")
 
 
 def invalid(requests: DataFrame) -> DataFrame:
