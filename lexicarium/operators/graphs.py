@@ -62,6 +62,13 @@ def edges_between(edges: DataFrame, register: DataFrame) -> DataFrame:
     return edges.join(nodes.withColumnRenamed("node", "src"), "src", "left_semi").join(nodes.withColumnRenamed("node", "dst"), "dst", "left_semi").select("src", "dst", "weight")
 
 
+def named_edges(edges: DataFrame, register: DataFrame) -> DataFrame:
+    """Edges between ``short_key``s as edges between the registered names; those without a registered end go."""
+    names = register.select("node").distinct().select(short_key("node").alias("key"), "node")
+    of = lambda end: names.select(F.col("key").alias(end), F.col("node").alias(f"{end}_"))
+    return edges.join(of("src"), "src").join(of("dst"), "dst").select(F.col("src_").alias("src"), F.col("dst_").alias("dst"), "weight")
+
+
 def nodes_of(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
 

@@ -192,13 +192,15 @@ def graph_merge(spark, sf_dir):
     u, _ = cut(_units(spark, sf_dir).drop("unit_id"))  # split once
     first = F.coalesce(F.col("path").endswith("/en") | F.col("path").endswith("/de"), F.lit(False))
     store = graph_store.GraphStore(spark, _scratch(spark, "graph"), buckets=16)
-    parts = {}
+    # adjacency goes by short keys; only edges between nodes of the store get their texts
+    near = lambda part: graphs.adjacency_edges(part.withColumn("unit_text", graphs.short_key("unit_text")))
     for name, part in (("batch1", u.where(first)), ("batch2", u.where(~first))):
-        parts[name] = cut(graph_store.unit_nodes(part, least=2))[0], cut(graphs.adjacency_edges(part).withColumn("kind", F.lit("ADJACENT_TO")))[0]
-    for name in ("batch1", "batch2", "batch2"):
-        nodes, edges = parts[name]
+        nodes, _ = cut(graph_store.unit_nodes(part, least=2))
         store.merge_nodes(nodes, name)
+        edges, _ = cut(graphs.named_edges(near(part), store.nodes.read().select(F.col("node_id").alias("node"))).withColumn("kind", F.lit("ADJACENT_TO")))
         store.merge_edges(edges, name, "StructuralUnit", "StructuralUnit")
+    store.merge_nodes(nodes, name)
+    store.merge_edges(edges, name, "StructuralUnit", "StructuralUnit")
     if not store.verified():
         raise ValueError("the graph read back differs from its manifests")
     return store.edges.read().select("src", "dst", "weight", "created_in", "synced_in")
