@@ -20,6 +20,8 @@ import json
 import re
 from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ from lexicarium.operators.sequences import sums_before
 
 CHUNK_BYTES = 16 << 20
 READ_BYTES = 1 << 20
+#: Rows of a batch that the writer passes on at once.
+SLICE_ROWS = 256
 
 _SPACE = b" \t\r\n"
 _TOKEN = re.compile(rb'"[^"\\]*(?:\\.[^"\\]*)*("?)|[\[\]{},:]', re.S)
@@ -304,17 +308,18 @@ def inspected(items: DataFrame) -> DataFrame:
 
 
 def write_arrays(rows: DataFrame, path: str) -> None:
-    """rows as JSON arrays, one file a partition."""
+    """rows as JSON arrays, one file a partition; a task puts the marks before slices of a batch as Arrow holds them and makes no Python strings."""
 
     def bracketed(batches):
-        import pandas as pd
-
         lead = "["
         for batch in batches:
-            if len(batch):
-                yield pd.DataFrame({"value": [(lead if k == 0 else ",") + x for k, x in enumerate(batch["json"])]})
-                lead = ","
-        yield pd.DataFrame({"value": ["]" if lead == "," else "[]"]})
+            column, at = batch.column("json"), 0
+            while at < batch.num_rows:
+                count = 1 if lead == "[" else SLICE_ROWS
+                marked = pc.binary_join_element_wise(lead, column.slice(at, count), "")
+                yield pa.RecordBatch.from_arrays([marked], ["value"])
+                lead, at = ",", at + count
+        yield pa.RecordBatch.from_pydict({"value": ["]" if lead == "," else "[]"]})
 
     whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"})
-    rows.select(whole.alias("json")).mapInPandas(bracketed, "value string").write.text(path)
+    rows.select(whole.alias("json")).mapInArrow(bracketed, "value string").write.text(path)
