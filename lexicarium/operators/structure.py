@@ -16,33 +16,57 @@ MOST_DEPTH = 64
 def json_nodes(rows: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """(id, path, type, size, keys, text) of every node of JSON values; array positions stand as *, identifiers as **.
 
-    One level of objects and arrays is opened a round, as Spark's variant functions do; rounds end with the deepest value.
+    A row a value or node is carried along; a round opens one more level as Spark's variants do and lets the levels before pass, so
+    every value is parsed once in the whole plan. Rounds end with the deepest value, found beforehand on the objects and arrays alone.
     """
     level = rows.select(F.col(id_col).alias("id"), F.lit("").alias("path"), F.try_parse_json(json_col).alias("v")).where("v is not null")
-    out = None
-    for _ in range(MOST_DEPTH):
-        kind = F.schema_of_variant("v")
-        name = F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").when(kind == "VOID", "null").otherwise("number")
-        text = F.to_json("v")
-        keys = F.when(name == "object", F.json_object_keys(text))
-        size = F.when(name == "object", F.size(keys)).when(name == "array", F.json_array_length(text))
-        nodes = level.select("id", "path", "v", name.alias("type"), size.cast("long").alias("size"), keys.alias("keys"))
-        flat = nodes.select("id", "path", "type", "size", "keys", F.when(F.col("type") == "string", F.expr("v::string")).alias("text"))
-        out = flat if out is None else out.unionByName(flat)
-        inner = nodes.where("type in ('object', 'array') and size > 0")
-        if inner.isEmpty():
-            return out
-        inner.createOrReplaceTempView("json_level_")
-        opened = rows.sparkSession.sql("select id, path, type, c.key as k, c.value as v from json_level_, lateral variant_explode(v) as c")
-        level = opened.select("id", F.concat("path", F.lit("/"), F.when(F.col("type") == "array", "*").otherwise(dynamic_key(F.col("k")))).alias("path"), "v")
-    raise ValueError(f"JSON nested deeper than {MOST_DEPTH}")
+    depth, inner = 0, level
+    while not (inner := inner.where(_opens("v"))).isEmpty():
+        depth += 1
+        if depth == MOST_DEPTH:
+            raise ValueError(f"JSON nested deeper than {MOST_DEPTH}")
+        inner = inner.select(F.explode(_members("v", F.lit(""))).alias("m")).select("m.v")
+    nodes = level.withColumn("open", F.lit(True))
+    for _ in range(depth):
+        own = F.array(F.struct("path", "v", F.lit(False).alias("open")))
+        within = F.transform(_members("v", F.col("path")), lambda m: F.struct(m["path"].alias("path"), m["v"].alias("v"), F.lit(True).alias("open")))
+        nodes = nodes.select("id", F.explode(F.when(F.col("open") & _opens("v"), F.concat(own, within)).otherwise(F.array(F.struct("path", "v", "open")))).alias("n")).select("id", "n.*")
+    kind = F.schema_of_variant("v")
+    name = F.when(_is("OBJECT"), "object").when(_is("ARRAY"), "array").when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").when(kind == "VOID", "null").otherwise("number")
+    keys = F.when(F.col("type") == "object", F.map_keys(F.expr("cast(v as map<string, variant>)")))
+    size = F.when(F.col("type") == "object", F.size("keys")).when(F.col("type") == "array", F.size(F.expr("cast(v as array<variant>)")))
+    typed = nodes.select("id", "path", "v", name.alias("type")).withColumn("keys", keys)
+    return typed.select("id", "path", "type", size.cast("long").alias("size"), "keys", F.when(F.col("type") == "string", F.expr("v::string")).alias("text"))
+
+
+def _is(kind: str) -> Column:
+    return F.schema_of_variant("v").startswith(kind)
+
+
+def _opens(v: str) -> Column:
+    """An object or array with members."""
+    return F.when(_is("OBJECT"), F.size(F.expr(f"cast({v} as map<string, variant>)")) > 0).when(_is("ARRAY"), F.size(F.expr(f"cast({v} as array<variant>)")) > 0).otherwise(False)
+
+
+def _members(v: str, path: Column) -> Column:
+    """(path, v) of the members of an object or array."""
+    fields = F.transform(F.map_entries(F.expr(f"cast({v} as map<string, variant>)")), lambda m: F.struct(F.concat(path, F.lit("/"), dynamic_key(m["key"])).alias("path"), m["value"].alias("v")))
+    items = F.transform(F.expr(f"cast({v} as array<variant>)"), lambda x: F.struct(F.concat(path, F.lit("/*")).alias("path"), x.alias("v")))
+    return F.when(_is("OBJECT"), fields).when(_is("ARRAY"), items)
 
 
 def structure_report(nodes: DataFrame) -> DataFrame:
-    """(path, type, seen, size_min, size_max, size_avg, keys): statistics of nodes by path pattern and type; sizes are key counts and array lengths."""
-    keys = nodes.select("path", "type", F.explode("keys").alias("k")).groupBy("path", "type").agg(F.slice(F.array_sort(F.collect_set(dynamic_key(F.col("k")))), 1, 50).alias("keys"))
-    stats = nodes.groupBy("path", "type").agg(F.count(F.lit(1)).alias("seen"), F.min("size").alias("size_min"), F.max("size").alias("size_max"), F.round(F.avg("size"), 3).alias("size_avg"))
-    return stats.join(keys, ["path", "type"], "left")
+    """(path, type, seen, size_min, size_max, size_avg, keys): statistics of nodes by path pattern and type; sizes are key counts and array lengths.
+
+    Nodes are read once: those of equal path, type and keys are added up first, and statistics and keys come from these sums.
+    """
+    alike = nodes.groupBy("path", "type", "keys").agg(F.count(F.lit(1)).alias("n"), F.count("size").alias("sized"), F.min("size").alias("low"), F.max("size").alias("high"), F.sum("size").alias("total"))
+    by_key = alike.select("*", F.posexplode_outer("keys").alias("at", "k"))
+    once = lambda c: F.when(F.coalesce("at", F.lit(0)) == 0, F.col(c))
+    by_key = by_key.groupBy("path", "type", dynamic_key(F.col("k")).alias("k")).agg(F.min("low").alias("low"), F.max("high").alias("high"), *[F.sum(once(c)).alias(c) for c in ("n", "sized", "total")])
+    keys = F.slice(F.array_sort(F.collect_set("k")), 1, 50)
+    whole = by_key.groupBy("path", "type").agg(F.sum("n").alias("seen"), F.min("low").alias("size_min"), F.max("high").alias("size_max"), F.round(F.try_divide(F.sum("total"), F.sum("sized")), 3).alias("size_avg"), keys.alias("keys"))
+    return whole.withColumn("keys", F.when(F.size("keys") > 0, F.col("keys")))
 
 
 def string_leaves(nodes: DataFrame, patterns: list[str] | None = None) -> DataFrame:

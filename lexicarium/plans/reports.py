@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexicarium.functions import temporal, text
 from lexicarium.operators import anchors, audits, graphs, retrieval, structure, units
 from lexicarium.operators.tables import cut
-from lexicarium.plans.queries import ADJACENCY, ANNOTATIONS, CONCEPTS, ENDS, NODES, UNITS, _annotations, _units, query, table
+from lexicarium.plans.queries import ADJACENCY, ANNOTATIONS, CONCEPTS, ENDS, NODES, UNITS, _annotations, _units, query, spread, table
 from lexicarium.sources import files
 
 
@@ -217,7 +217,7 @@ EVENT_JSON = "to_json({'kind': event_type, 'props': json(props), 'tags': [event_
 
 
 def _event_nodes(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     return structure.json_nodes(e.select("event_id", F.to_json(F.struct(F.col("event_type").alias("kind"), F.from_json("props", "k long").alias("props"), F.array("event_type", F.col("user_id").cast("string")).alias("tags"))).alias("j")), "event_id", "j")
 
 
