@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from lexicarium.operators.units import CONTAINER
 
 #: ``skipped_containers`` reports containers of more units than this unless told otherwise.
 MOST_UNITS = 500
-#: Pairs are made within slices of this many units of a container; between slices they follow from counts.
+#: Pairs are listed in lines of up to this many units; in longer ones they follow from counts.
 SLICE = 500
+#: Pairs that a task holds before it passes them on.
+PAIRS = 200_000
 SEGMENT = [*CONTAINER, "segment_index"]
 
 
@@ -24,21 +28,98 @@ def adjacency_edges(units: DataFrame) -> DataFrame:
 
 def cooccurrence_edges(units: DataFrame, most: int | None = None, size: int = SLICE) -> DataFrame:
     """(src, dst, weight): pairs i < j in text order within a segment; no self-loops. ``most`` leaves larger segments out, none by default."""
-    place = Window.partitionBy(*SEGMENT).orderBy("sentence_index", "char_start", "char_end")
-    ranked = units.select(*SEGMENT, F.row_number().over(place).alias("i"), F.count(F.lit(1)).over(Window.partitionBy(*SEGMENT)).alias("n"), "unit_text")
-    ranked = (ranked.where(F.col("n") <= most) if most is not None else ranked).withColumn("slice", F.floor((F.col("i") - 1) / size))
-    # a slice's units as one array: its pairs are made in place, without a self-join
-    packed = ranked.groupBy(*SEGMENT, "slice").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "unit_text"))), lambda x: x["unit_text"]).alias("u")).where(F.size("u") > 1)
-    pairs = packed.select(F.posexplode("u").alias("i", "src"), "u").select("src", F.explode_outer(F.slice("u", F.col("i") + 2, F.size("u"))).alias("dst"))
-    near = pairs.where("dst is not null and src <> dst").select("src", "dst", F.lit(1).cast("long").alias("weight"))
-    # all of an earlier slice stands before all of a later one: the products of their texts' counts
-    counts = ranked.where(F.col("n") > size).groupBy(*SEGMENT, "slice", "unit_text").agg(F.count(F.lit(1)).alias("c"))
-    later = counts.select(*[F.col(k).alias(f"{k}_2") for k in SEGMENT], F.col("slice").alias("slice_2"), F.col("unit_text").alias("dst"), F.col("c").alias("c_2"))
-    same = F.col("slice") < F.col("slice_2")
-    for k in SEGMENT:
-        same = same & F.col(k).eqNullSafe(F.col(f"{k}_2"))
-    far = counts.join(later, same).where("unit_text <> dst").select(F.col("unit_text").alias("src"), "dst", (F.col("c") * F.col("c_2")).alias("weight"))
-    return near.unionByName(far).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    placed = F.array_sort(F.collect_list(F.struct("sentence_index", "char_start", "char_end", "unit_text")))
+    lines = units.groupBy(*SEGMENT).agg(F.transform(placed, lambda x: x["unit_text"]).alias("u"))
+    return line_edges((lines.where(F.size("u") <= most) if most is not None else lines).select("u", F.lit(1).cast("long").alias("n")), size)
+
+
+def line_edges(lines: DataFrame, size: int = SLICE) -> DataFrame:
+    """The co-occurrence edges of lines (u, n): a line's texts in order, and how often it stands there; equal lines may come in several rows.
+
+    Equal lines are paired once. A text that no other line holds has all its pairs in its line, so their weights are final there; only
+    pairs of two texts that stand in several lines each are summed over lines. Texts are told apart by hashes for that, and two with
+    one hash count as texts of several lines. Pairs of lines of up to ``size`` texts are listed, those of longer lines follow from counts.
+    """
+    key = F.coalesce(F.unhex(F.md5(F.to_json(F.struct("u")))), F.lit(b""))  # never null, which Spark must see
+    keyed = lines.where(F.size("u") > 1).select(key.alias("key"), "u", "n").repartition("key")
+    # dealt out by key already, and so joined below; all three readers keep every column (n is positive) and need no null checks, so Spark shuffles the lines once
+    once = keyed.groupBy("key", "u").agg(F.sum("n").alias("n")).where("n > 0")
+    hashes = F.transform("u", lambda x: F.xxhash64(x))
+    seen = once.select("key", F.explode(F.array_distinct(hashes)).alias("h"))
+    of = Window.partitionBy("h")
+    several = seen.withColumn("low", F.min("key").over(of)).withColumn("high", F.max("key").over(of)).where("low <> high")
+    marks = several.groupBy("key").agg(F.collect_list("h").alias("marks"))
+    marked = once.join(marks, "key", "left").select("u", hashes.alias("h"), "marks", "n")
+    edge = "src string, dst string, weight long"
+    own = marked.mapInArrow(lambda it: _line_pairs(it, size, False), edge)
+    shared = marked.where(F.size("marks") > 1).mapInArrow(lambda it: _line_pairs(it, size, True), edge)
+    return own.unionByName(shared.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+
+
+def _line_pairs(batches, size: int, shared: bool):
+    """Weighted pairs of distinct lines: those of two marked texts, or all others, which no other line has."""
+    for batch in batches:
+        texts = batch.column("u").flatten().dictionary_encode()
+        code = texts.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        mark = np.isin(batch.column("h").flatten().to_numpy(), batch.column("marks").flatten().to_numpy())
+        line = np.repeat(np.arange(len(batch)), batch.column("u").value_lengths().to_numpy())
+        n = batch.column("n").to_numpy()
+        kept = (code >= 0) & mark if shared else code >= 0
+        if not shared:  # a line all of whose texts are marked has none of the others
+            kept &= np.bincount(line[~mark], minlength=len(batch))[line] > 0
+        code, mark, line = code[kept], mark[kept] & (not shared), line[kept]
+        found, held = [], 0
+        for part in _counted(code, mark, line, n, size, len(texts.dictionary)):
+            found.append(part)
+            held += len(part[0])
+            if held >= PAIRS:
+                yield from _edges(found, texts.dictionary)
+                found, held = [], 0
+        yield from _edges(found, texts.dictionary)
+
+
+def _edges(found, names):
+    """Record batches of (codes, codes, weights)."""
+    if found:
+        src, dst, weight = (np.concatenate(c) for c in zip(*found))
+        for k in range(0, len(src), PAIRS):
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(src[k : k + PAIRS])), names.take(pa.array(dst[k : k + PAIRS])), pa.array(weight[k : k + PAIRS], pa.int64())], ["src", "dst", "weight"])
+
+
+def _counted(code, mark, line, n, size, names):
+    """(codes, codes, weights) of each pair once for a few lines; pairs of two marked texts are left out. Memory is that of ``PAIRS`` pairs, of the pairs of ``size`` texts or of one line's texts."""
+    units = np.bincount(line, minlength=len(n))
+    end = np.cumsum(units)
+    # lines of up to ``size`` texts: their pairs as a list, sorted and summed, many lines at a time
+    upto = np.cumsum(np.where(units <= size, units * (units - 1) // 2, 0))
+    cuts = np.searchsorted(upto, np.arange(0, upto[-1] if len(upto) else 0, PAIRS), side="right")
+    for first, last in zip(cuts, [*cuts[1:], len(n)]):
+        at = np.arange(end[first] - units[first], end[last - 1]) if last > first else np.arange(0)
+        at = at[units[line[at]] <= size]
+        after = end[line[at]] - 1 - at
+        a = np.repeat(at, after)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(after) - after, after)
+        good = (code[a] != code[b]) & ~(mark[a] & mark[b])
+        a, b = a[good], b[good]
+        if len(a):
+            key = code[a] * names + code[b]
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            yield key[starts] // names, key[starts] % names, np.add.reduceat(n[line[a]][order], starts)
+    # longer ones: for each text, how many of it stand before every text
+    for k in np.flatnonzero(units > size):
+        row = slice(end[k] - units[k], end[k])
+        own, first, place = np.unique(code[row], return_index=True, return_inverse=True)
+        marked = mark[row][first]
+        for x in range(len(own)):
+            rest = place[first[x] :]
+            weight = np.bincount(rest, np.cumsum(rest == x), len(own)).astype(np.int64)
+            weight[x] = 0
+            if marked[x]:
+                weight[marked] = 0
+            to = np.flatnonzero(weight)
+            yield np.full(len(to), own[x]), own[to], weight[to] * n[k]
 
 
 def skipped_containers(units: DataFrame, most: int = MOST_UNITS) -> DataFrame:
