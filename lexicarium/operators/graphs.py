@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexicarium.operators.tables import cut, drop
-from lexicarium.operators.units import CONTAINER
+from lexicarium.operators.units import CONTAINER, containers_apart, split_pairs, split_units
 
 #: ``skipped_containers`` reports containers of more units than this unless told otherwise.
 MOST_UNITS = 500
@@ -26,6 +26,13 @@ def adjacency_edges(units: DataFrame) -> DataFrame:
     return steps.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
 
 
+def adjacency_pairs(values: DataFrame) -> DataFrame:
+    """(src, dst, n): the adjacency edges of the units of values, not yet added up; containers that several values share are ordered as a whole."""
+    alone, shared = containers_apart(values)
+    pairs = split_pairs(alone)
+    return pairs if shared is None else pairs.unionByName(adjacency_edges(split_units(shared)).withColumnRenamed("weight", "n"))
+
+
 def cooccurrence_edges(units: DataFrame, most: int | None = None, size: int = SLICE) -> DataFrame:
     """(src, dst, weight): pairs i < j in text order within a segment; no self-loops. ``most`` leaves larger segments out, none by default."""
     placed = F.array_sort(F.collect_list(F.struct("sentence_index", "char_start", "char_end", "unit_text")))
@@ -137,6 +144,24 @@ def prune_edges(edges: DataFrame, least: int = 1, per_node: int = 10, most: int
     return kept.orderBy(F.desc("weight"), "src", "dst").limit(most) if most else kept
 
 
+def pruned_pairs(pairs: DataFrame, per_node: int) -> DataFrame:
+    """``prune_edges`` of pairs (src, dst, n) that are edges once added up: those among the top ``per_node`` of either endpoint.
+
+    Pairs are shuffled once by either end. An edge's place at a node follows from the node's best edges out and in, which lie beside it
+    then; only edges that their first end does not keep are shuffled again, to their second.
+    """
+    pairs = pairs.where("src is not null and dst is not null")  # said here, else some readers say it and Spark shuffles anew for them
+    at = lambda end: pairs.repartition(end).groupBy("src", "dst").agg(F.sum("n").alias("weight"))
+    rank = lambda end: F.row_number().over(Window.partitionBy(end).orderBy(F.desc("weight"), "src", "dst"))
+    place = F.struct((-F.col("weight")).alias("low"), "src", "dst")
+    best = lambda end, name: at(end).withColumn("r", rank(end)).where(F.col("r") <= per_node).groupBy(F.col(end).alias(f"{name}_node")).agg(F.collect_list(place).alias(name))
+    ahead = lambda name: F.coalesce(F.size(F.filter(name, lambda x: x < place)), F.lit(0))
+    beside = lambda edges, end, name: edges.join(best("src" if name == "out" else "dst", name), F.col(end) == F.col(f"{name}_node"), "left")
+    first = beside(at("src").withColumn("r", rank("src")), "src", "into").withColumn("kept", F.col("r") + ahead("into") <= per_node).select("src", "dst", "weight", "kept")
+    second = beside(beside(first.where("not kept").select("src", "dst", "weight"), "dst", "into"), "dst", "out").where(ahead("into") + ahead("out") < per_node)
+    return first.where("kept").drop("kept").unionByName(second.select("src", "dst", "weight"))
+
+
 def edges_between(edges: DataFrame, register: DataFrame) -> DataFrame:
     """Edges both of whose ends are registered."""
     nodes = register.select("node").distinct()
