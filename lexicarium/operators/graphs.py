@@ -147,18 +147,21 @@ def prune_edges(edges: DataFrame, least: int = 1, per_node: int = 10, most: int
 def pruned_pairs(pairs: DataFrame, per_node: int) -> DataFrame:
     """``prune_edges`` of pairs (src, dst, n) that are edges once added up: those among the top ``per_node`` of either endpoint.
 
-    Pairs are shuffled once by either end. An edge's place at a node follows from the node's best edges out and in, which lie beside it
-    then; only edges that their first end does not keep are shuffled again, to their second.
+    Pairs are shuffled once by either end, by ``short_key``s, and with one text by the second. An edge's place at a node follows from the
+    node's best edges out and in, which lie beside it then; only edges that their first end does not keep are shuffled again, to their
+    second. Two edges of one node have other first texts or are both edges out, so a weight and a first text tell edges out from edges in.
     """
-    pairs = pairs.where("src is not null and dst is not null")  # said here, else some readers say it and Spark shuffles anew for them
-    at = lambda end: pairs.repartition(end).groupBy("src", "dst").agg(F.sum("n").alias("weight"))
-    rank = lambda end: F.row_number().over(Window.partitionBy(end).orderBy(F.desc("weight"), "src", "dst"))
-    place = F.struct((-F.col("weight")).alias("low"), "src", "dst")
-    best = lambda end, name: at(end).withColumn("r", rank(end)).where(F.col("r") <= per_node).groupBy(F.col(end).alias(f"{name}_node")).agg(F.collect_list(place).alias(name))
+    key = lambda end: F.coalesce(short_key(end), F.lit(b"")).alias("key")  # noqa: E731  never null, else some readers ask for that and Spark shuffles anew for them
+    pairs = pairs.where("src is not null and dst is not null")
+    summed = lambda end, *texts: pairs.select(key(end), *texts, "n").repartition("key").groupBy("key", *texts).agg(F.sum("n").alias("weight"))
+    ranked = lambda edges, text: edges.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), text)))
+    place = F.struct((-F.col("weight")).alias("low"), "src")
+    best = lambda edges, name: edges.where(F.col("r") <= per_node).groupBy(F.col("key").alias(f"{name}_key")).agg(F.collect_list(place).alias(name))
     ahead = lambda name: F.coalesce(F.size(F.filter(name, lambda x: x < place)), F.lit(0))
-    beside = lambda edges, end, name: edges.join(best("src" if name == "out" else "dst", name), F.col(end) == F.col(f"{name}_node"), "left")
-    first = beside(at("src").withColumn("r", rank("src")), "src", "into").withColumn("kept", F.col("r") + ahead("into") <= per_node).select("src", "dst", "weight", "kept")
-    second = beside(beside(first.where("not kept").select("src", "dst", "weight"), "dst", "into"), "dst", "out").where(ahead("into") + ahead("out") < per_node)
+    out, into = ranked(summed("src", "src", "dst"), "dst"), best(ranked(summed("dst", "src"), "src"), "into")
+    first = out.join(into, F.col("key") == F.col("into_key"), "left").select("src", "dst", "weight", (F.col("r") + ahead("into") <= per_node).alias("kept"))
+    rest = first.where("not kept").select(key("dst"), "src", "dst", "weight")
+    second = rest.join(into, F.col("key") == F.col("into_key"), "left").join(best(out, "out"), F.col("key") == F.col("out_key"), "left").where(ahead("into") + ahead("out") < per_node)
     return first.where("kept").drop("kept").unionByName(second.select("src", "dst", "weight"))
 
 
